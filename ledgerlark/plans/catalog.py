@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlark.operators import marts
+from ledgerlark.functions.columns import finite
+from ledgerlark.operators import marts, normalize
 from ledgerlark.plans import oracle_sql as sql
 from ledgerlark.sources.driver_tables import DriverTables
 
@@ -59,3 +61,84 @@ def q_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("country_revenue", sql.MART_SQL["country_revenue"])
 def q_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.country_revenue(marts.order_rollup(_fact(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ normalisation
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = DriverTables(spark, sf_dir)
+    return normalize.parsed_lines(tables.retail_source(), home_country=tables.home_country)
+
+
+def _finite_or_null(c: str):
+    return F.when(finite(c), F.col(c))
+
+
+@register("clean_text", sql.NORMALIZE_SQL["clean_text"])
+def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select(*normalize.TEXT_COLUMNS)
+
+
+@register("clean_numbers", sql.NORMALIZE_SQL["clean_numbers"])
+def q_clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = DriverTables(spark, sf_dir)
+    lines = normalize.parsed_lines(tables.retail_source(), tables.home_country,
+                                   passthrough=[("Quantity", "quantity_text")])
+    return lines.select(
+        F.col("quantity_text"),
+        _finite_or_null("quantity_value").alias("quantity_value"),
+        _finite_or_null("unit_price").alias("unit_price"),
+        "ok_quantity",
+        "ok_unit_price",
+    )
+
+
+@register("clean_timestamps", sql.NORMALIZE_SQL["clean_timestamps"])
+def q_clean_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = DriverTables(spark, sf_dir)
+    lines = normalize.parsed_lines(tables.retail_source(), tables.home_country,
+                                   passthrough=[("InvoiceDate", "order_date_text")])
+    return lines.select("order_date_text", "order_ts", "order_date", "ok_order_date")
+
+
+@register("valid_rows", sql.NORMALIZE_SQL["valid_rows"])
+def q_valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.clean_lines(_lines(spark, sf_dir))
+
+
+@register("line_status_segment", sql.NORMALIZE_SQL["line_status_segment"])
+def q_line_status_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per_order = (
+        normalize.clean_lines(_lines(spark, sf_dir))
+        .groupBy("status", "segment", "order_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("q"))
+    )
+    return per_order.groupBy("status", "segment").agg(
+        F.sum("n").alias("lines"),
+        F.sum("q").cast("bigint").alias("units"),
+        F.count("order_id").alias("orders"),
+    )
+
+
+@register("normalize_customers", sql.NORMALIZE_SQL["normalize_customers"])
+def q_norm_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.customers_from(normalize.clean_lines(_lines(spark, sf_dir)))
+
+
+@register("normalize_orders", sql.NORMALIZE_SQL["normalize_orders"])
+def q_norm_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.orders_from(normalize.clean_lines(_lines(spark, sf_dir)))
+
+
+@register("normalize_items", sql.NORMALIZE_SQL["normalize_items"])
+def q_norm_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.items_from(normalize.clean_lines(_lines(spark, sf_dir)))
+
+
+@register("drop_reasons", sql.NORMALIZE_SQL["drop_reasons"])
+def q_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.drop_reasons(_lines(spark, sf_dir))
+
+
+@register("preparation_counts", sql.NORMALIZE_SQL["preparation_counts"])
+def q_prep_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.preparation_counts(_lines(spark, sf_dir))
