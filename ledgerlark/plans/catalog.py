@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import finite
-from ledgerlark.operators import marts, normalize
+from ledgerlark.operators import marts, normalize, quality
 from ledgerlark.plans import oracle_sql as sql
 from ledgerlark.sources.driver_tables import DriverTables
 
@@ -142,3 +142,66 @@ def q_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("preparation_counts", sql.NORMALIZE_SQL["preparation_counts"])
 def q_prep_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.preparation_counts(_lines(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ quality
+_CHECK_COLUMNS = ("check_no", "name", "passed", "severity", "failed_rows")
+
+
+def _engine(spark: SparkSession, sf_dir: str, dirty: bool = True) -> quality.QualityEngine:
+    tables = DriverTables(spark, sf_dir)
+    return quality.QualityEngine(tables.dirty_tables() if dirty else tables.raw_tables())
+
+
+def _checks(kinds: set[str], dirty: bool = True) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        engine = _engine(spark, sf_dir, dirty)
+        engine.specs = [s for s in engine.specs if s.kind in kinds]
+        return engine.results().select(*_CHECK_COLUMNS)
+
+    return run
+
+
+_KIND_QUERIES = {
+    "structural_checks": {"table_present", "required_columns", "not_empty"},
+    "check_not_null": {"not_null"},
+    "check_not_blank": {"not_blank"},
+    "check_unique": {"unique"},
+    "check_accepted_values": {"accepted_values"},
+    "check_positive_finite": {"positive_finite"},
+    "check_parseable_date": {"parseable_date"},
+    "check_foreign_keys": {"foreign_key"},
+}
+for _name, _kinds in _KIND_QUERIES.items():
+    register(_name, sql.quality_sql(quality.DEFAULT_RULES, _kinds))(_checks(_kinds))
+
+_ALL_KINDS = set().union(*_KIND_QUERIES.values())
+register("quality_checks", sql.quality_sql(quality.DEFAULT_RULES))(_checks(_ALL_KINDS))
+register("quality_checks_clean", sql.quality_sql(quality.DEFAULT_RULES, dirty=False))(
+    _checks(_ALL_KINDS, dirty=False))
+
+
+@register("quality_report", sql.report_sql(quality.DEFAULT_RULES))
+def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report_frame(_engine(spark, sf_dir).results())
+
+
+def _samples(kinds: set[str]) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        engine = _engine(spark, sf_dir)
+        names = [s.name for s in engine.specs if s.kind in kinds]
+        return engine.samples(names)
+
+    return run
+
+
+_BAD_VALUE_KINDS = {"accepted_values", "positive_finite", "parseable_date"}
+register("bad_value_samples", sql.sample_sql(quality.DEFAULT_RULES, _BAD_VALUE_KINDS))(
+    _samples(_BAD_VALUE_KINDS))
+register("missing_key_samples", sql.sample_sql(quality.DEFAULT_RULES, {"foreign_key"}))(
+    _samples({"foreign_key"}))
+
+
+@register("table_row_counts", sql.row_counts_sql())
+def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _engine(spark, sf_dir).row_counts()
