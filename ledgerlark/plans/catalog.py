@@ -6,14 +6,18 @@ whole tables in ``sf_dir``.  ``ORACLE`` maps the same names to DuckDB SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import finite
-from ledgerlark.operators import marts, normalize, quality
+from ledgerlark.operators import marts, normalize, quality, reads
+from ledgerlark.plans import job, prepare
 from ledgerlark.plans import oracle_sql as sql
+from ledgerlark.session import shared_dir
+from ledgerlark.sources import files, sinks
 from ledgerlark.sources.driver_tables import DriverTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -205,3 +209,133 @@ register("missing_key_samples", sql.sample_sql(quality.DEFAULT_RULES, {"foreign_
 @register("table_row_counts", sql.row_counts_sql())
 def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _engine(spark, sf_dir).row_counts()
+
+
+# ------------------------------------------------------ sources, sinks, job
+SOURCE_CAP = 1000
+PAGE_OFFSET, PAGE_LIMIT = 100, 50
+
+
+def _scratch(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the session's shared work folder."""
+    return f"{shared_dir(spark)}/ledgerlark-queries/{tag}-{uuid.uuid4().hex}"
+
+
+@register("source_capped_scan", sql.source_cap_sql(SOURCE_CAP))
+def q_source_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = DriverTables(spark, sf_dir).retail_source()
+    return files.cap_rows(source, SOURCE_CAP, order_by=normalize.SOURCE_COLUMNS)
+
+
+def _relation_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return marts.build_marts(_fact(spark, sf_dir))
+
+
+@register("mart_summaries", sql.mart_summaries_sql())
+def q_mart_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for name, frame in _relation_marts(spark, sf_dir).items():
+        part = frame.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("mart"), "rows",
+            F.lit(",".join(frame.columns)).alias("columns"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("mart_page", sql.page_sql("daily_revenue", PAGE_LIMIT, PAGE_OFFSET))
+def q_mart_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = marts.daily_revenue(marts.order_rollup(_fact(spark, sf_dir)), ordered=False)
+    return reads.page(daily, "daily_revenue", PAGE_LIMIT, PAGE_OFFSET)
+
+
+@register("mart_page_customers", sql.page_sql("customer_revenue", PAGE_LIMIT, PAGE_OFFSET))
+def q_mart_page_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame = marts.customer_revenue(marts.order_rollup(_fact(spark, sf_dir)), ordered=False)
+    return reads.page(frame, "customer_revenue", PAGE_LIMIT, PAGE_OFFSET)
+
+
+@register("csv_round_trip", sql.RAW + "SELECT * FROM raw_order_items")
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _scratch(spark, "csv")
+    raw = DriverTables(spark, sf_dir).raw_tables()
+    job._parallel({n: (lambda n=n, df=df: sinks.write_csv(df, f"{root}/{files.RAW_FILES[n]}"))
+                   for n, df in raw.items()})
+    loaded = files.load_raw_tables(spark, root, fmt="csv")
+    loaded.verify()
+    return loaded.frames["order_items"]
+
+
+@register("report_table_round_trip", sql.quality_sql(quality.DEFAULT_RULES))
+def q_report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _scratch(spark, "reports")
+    checks = _engine(spark, sf_dir).run()
+    path = sinks.append_quality_results(spark, root, "query", sinks.iso_millis(sinks.utc_now()),
+                                        checks)
+    return spark.read.parquet(path).select(*_CHECK_COLUMNS)
+
+
+@register("staged_publish", sql.MART_SQL["daily_revenue"])
+def q_staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    release = sinks.Release(spark, _scratch(spark, "release"))
+    run_id = sinks.new_run_id(sinks.utc_now())
+    frame = marts.daily_revenue(marts.order_rollup(_fact(spark, sf_dir)))
+    sinks.write_table(frame, release.table_path(run_id, "marts/daily_revenue"))
+    release.publish(run_id)
+    return release.read("marts/daily_revenue")
+
+
+@register("prepared_customers", sql.NORMALIZE_SQL["normalize_customers"])
+def q_prepared_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = DriverTables(spark, sf_dir)
+    out = _scratch(spark, "prepare")
+    prepare.prepare_source(spark, tables.retail_source(), out, home_country=tables.home_country)
+    return spark.read.parquet(f"{out}/customers")
+
+
+def _gated(spark: SparkSession, sf_dir: str, dirty: bool) -> tuple[str, str]:
+    root = _scratch(spark, "run")
+    tables = DriverTables(spark, sf_dir)
+    raw = tables.dirty_tables() if dirty else tables.raw_tables()
+    try:
+        job.run_pipeline(spark, raw, f"{root}/warehouse", f"{root}/reports")
+    except quality.QualityGateError:
+        if not dirty:
+            raise
+    return f"{root}/warehouse", f"{root}/reports"
+
+
+_RUN_COLUMNS = ("status", "failed_stage", "total_checks", "passed_checks", "failed_checks")
+
+
+@register("gated_run_summary", sql.run_summary_sql(dirty=False))
+def q_gated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, reports_root = _gated(spark, sf_dir, dirty=False)
+    return reads.latest_run(spark, reports_root).select(
+        *_RUN_COLUMNS,
+        *[F.col("marts")[m]["rows"].alias(f"{m}_rows") for m in marts.MART_NAMES],
+    )
+
+
+@register("gated_run_failure", sql.run_summary_sql(dirty=True))
+def q_gated_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, reports_root = _gated(spark, sf_dir, dirty=True)
+    return reads.latest_run(spark, reports_root).select(*_RUN_COLUMNS)
+
+
+@register("latest_quality", sql.quality_sql(quality.DEFAULT_RULES, dirty=False))
+def q_latest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, reports_root = _gated(spark, sf_dir, dirty=False)
+    return reads.latest_quality(spark, reports_root).select(*_CHECK_COLUMNS)
+
+
+@register("readiness")
+def q_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out_root, reports_root = _gated(spark, sf_dir, dirty=False)
+    return reads.readiness(spark, out_root, reports_root).select(
+        "status", "pipeline_status", "artifacts_ready")
+
+
+@register("published_mart_page", sql.page_sql("daily_revenue", PAGE_LIMIT, PAGE_OFFSET))
+def q_published_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out_root, _ = _gated(spark, sf_dir, dirty=False)
+    return reads.read_mart_page(spark, out_root, "daily-revenue", PAGE_LIMIT, PAGE_OFFSET).rows
