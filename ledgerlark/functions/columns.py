@@ -6,28 +6,39 @@ work stays inside whole-stage codegen; nothing here is a Python UDF.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Whitespace that Python's str.strip removes but Spark's trim
-# keeps (tab, newline, NBSP, the Unicode spaces and the separators U+001C-1F).
-_EDGE_SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]"
+# Whitespace a Unicode-aware strip removes: every character Python's
+# ``str.isspace`` accepts (the White_Space property plus U+001C-1F).  Derived
+# from that rule rather than listed; Spark's own ``trim`` removes only U+0020.
+SPACE_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+_EDGE_SPACE = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in SPACE_CHARS) + "]"
 _TRIM_PATTERN = rf"^{_EDGE_SPACE}+|{_EDGE_SPACE}+$"
 
 # Number text accepted by a lenient parse (decimal, exponent,
 # inf / infinity / nan in any case, optional sign, surrounding blanks).
-# ``try_cast`` alone would also take suffixed literals such as ``1.0d``.
+# ``try_cast`` alone would also take Java literals such as ``1.0d``.
 NUMBER_PATTERN = (
     r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 )
 WHOLE_NUMBER_PATTERN = r"^\s*[+-]?\d+\s*$"
+# The special words a lenient parse accepts, lower case.
+_SPECIAL_NUMBERS = ("inf", "infinity", "nan")
+# Letters that never occur in plain decimal or exponent text.
+_NON_NUMBER_LETTERS = "".join(
+    ch for ch in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" if ch not in "eE"
+)
 
 # Timestamp layouts tried in order by the strict date parse.
 DEFAULT_DATE_FORMATS: tuple[str, ...] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+# Pattern fields that always print with exactly as many digits as letters.
+_FIXED_WIDTH_FIELDS = ("yyyy", "MM", "dd", "HH", "mm", "ss", "S", "SS", "SSS")
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -37,9 +48,31 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_SPACE_CODES_SQL = "array(" + ", ".join(str(ord(ch)) for ch in SPACE_CHARS) + ")"
+
+
+@lru_cache(maxsize=1)
+def _space_codes() -> Column:
+    # One constant expression, built once: a literal list would cost one
+    # driver round trip per element every time an expression is built.
+    return F.expr(_SPACE_CODES_SQL)
+
+
+def _starts_with_space(x: Column) -> Column:
+    """First character is whitespace: an integer set test on its code point
+    (``ascii`` returns the code point; 0 for the empty string)."""
+    return F.array_contains(_space_codes(), F.ascii(x))
+
+
 def trim_text(c: str | Column) -> Column:
-    """Strip Unicode whitespace at both ends; null stays null."""
-    return F.regexp_replace(col(c).cast("string"), _TRIM_PATTERN, "")
+    """Strip Unicode whitespace at both ends; null stays null.
+
+    The regex only runs for values that start or end with whitespace; the
+    common case is two integer tests on the edge characters.
+    """
+    x = col(c).cast("string")
+    edge = _starts_with_space(x) | _starts_with_space(F.substring(x, -1, 1))
+    return F.when(edge, F.regexp_replace(x, _TRIM_PATTERN, "")).otherwise(x)
 
 
 def drop_decimal_zero(c: str | Column) -> Column:
@@ -51,8 +84,10 @@ def lenient_double(c: str | Column, data_type: T.DataType | None = None) -> Colu
     """Text or number to double; anything unparsable becomes null."""
     if data_type is not None and isinstance(data_type, _NUMERIC):
         return col(c).cast("double")
-    text = col(c).cast("string")
-    return F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
+    text = F.trim(col(c).cast("string"))
+    word = F.lower(F.regexp_replace(text, "^[+-]", ""))
+    plain = F.translate(text, _NON_NUMBER_LETTERS, "") == text
+    return F.when(plain | word.isin(*_SPECIAL_NUMBERS), text.try_cast("double"))
 
 
 def strict_timestamp(
@@ -70,18 +105,36 @@ def strict_timestamp(
     if data_type is not None and isinstance(data_type, T.DateType):
         return col(c).cast("timestamp_ntz")
     text = col(c).cast("string")
-    parsed = [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
+    parsed = []
+    for fmt in formats:
+        value = F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+        if _fixed_width(fmt):
+            # Only text of the layout's exact width can match it, so other
+            # values skip a parse attempt that would fail.
+            value = F.when(F.length(text) == len(fmt), value)
+        parsed.append(value)
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 
+def _fixed_width(fmt: str) -> bool:
+    """Numeric fields only (yyyy, MM, dd, HH, mm, ss), no quoted text."""
+    runs = [m.group(0) for m in re.finditer(r"([A-Za-z])\1*", fmt)]
+    return "'" not in fmt and all(run in _FIXED_WIDTH_FIELDS for run in runs)
+
+
 def non_blank(c: str | Column) -> Column:
     """Present and not the empty string."""
     return col(c).isNotNull() & (col(c) != F.lit(""))
 
 
 def is_blank(c: str | Column) -> Column:
-    """Whitespace-only after a Unicode strip; null is *not* blank."""
-    return F.coalesce(trim_text(c) == F.lit(""), F.lit(False))
+    """Whitespace-only (or empty); null is *not* blank.  Deleting every
+    whitespace character leaves nothing exactly when the text is blank."""
+    x = col(c).cast("string")
+    blank = (x == F.lit("")) | (
+        _starts_with_space(x) & (F.translate(x, SPACE_CHARS, "") == F.lit(""))
+    )
+    return F.coalesce(blank, F.lit(False))
 
 
 def finite(c: str | Column) -> Column:

@@ -25,7 +25,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlark.operators import marts as mart_ops
 from ledgerlark.operators.quality import (
@@ -37,9 +38,8 @@ from ledgerlark.operators.quality import (
     QualityRules,
     report,
 )
-from ledgerlark.sources import sinks
 from ledgerlark.session import shared_dir
-from ledgerlark.sources.files import RawTables, load_raw_tables
+from ledgerlark.sources import files, fs, sinks
 from ledgerlark.sources.sinks import Release, iso_millis, new_run_id, utc_now, write_csv
 
 logger = logging.getLogger(__name__)
@@ -75,24 +75,56 @@ def _quality_summary(rep: Mapping[str, Any]) -> dict[str, int]:
     return {k: int(rep[k]) for k in ("total_checks", "passed_checks", "failed_checks")}
 
 
-def _resolve_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str,
-                    raw_format: str) -> dict[str, DataFrame]:
-    if isinstance(raw, str):
-        loaded: RawTables = load_raw_tables(spark, raw, raw_format)
-        loaded.verify()
-        return loaded.frames
-    return dict(raw)
+def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, release: Release,
+                     run_id: str, raw_format: str = "parquet") -> tuple[dict[str, DataFrame],
+                                                                    dict[str, int]]:
+    """Type the raw tables once and write them as Parquet copies in the run
+    folder (S2, S3).  Row counts and type violations are observed during the
+    writes; later stages scan the columnar copies instead of re-parsing text."""
+    text = files.read_raw_text(spark, raw, raw_format) if isinstance(raw, str) else dict(raw)
+    observations: dict[str, Observation] = {}
+    tasks: dict[str, Callable[[], Any]] = {}
+    paths: dict[str, str] = {}
+    for name, frame in text.items():
+        obs = Observation()
+        observations[name] = obs
+        observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                 *files.violation_counters(frame, name))
+        typed = observed.select(*files.typed_columns(observed, name))
+        paths[name] = release.table_path(run_id, f"raw_{name}")
+        tasks[name] = (lambda df=typed, p=paths[name]: sinks.write_table(df, p))
+    _parallel(tasks)
+    metrics = {name: obs.get for name, obs in observations.items()}
+    violations = {k: int(v) for m in metrics.values() for k, v in m.items() if k != "rows" and v}
+    if violations:
+        raise files.RawTypeError(violations)
+    raw_rows = {name: int(m["rows"]) for name, m in metrics.items()}
+    return {name: spark.read.parquet(p) for name, p in paths.items()}, raw_rows
 
 
 def run_quality_stage(spark: SparkSession, raw: Mapping[str, DataFrame] | str, reports_root: str,
                       run_id: str, started_at: str, rules: QualityRules = DEFAULT_RULES,
-                      raw_format: str = "parquet") -> Validation:
-    """Load, check, always persist the report rows, then gate."""
-    tables = _resolve_tables(spark, raw, raw_format)
+                      raw_format: str = "parquet", release: Release | None = None) -> Validation:
+    """Load, check, always persist the report rows, then gate.
+
+    With a ``release`` the typed raw tables are first staged in its run folder
+    (see ``stage_raw_tables``); without one the given frames are checked as
+    they are."""
+    if release is not None:
+        tables, raw_rows = stage_raw_tables(spark, raw, release, run_id, raw_format)
+    else:
+        if isinstance(raw, str):
+            loaded = files.load_raw_tables(spark, raw, raw_format)
+            loaded.verify()
+            tables = loaded.frames
+        else:
+            tables = dict(raw)
+        raw_rows = {}
     engine = QualityEngine(tables, rules)
     checks = engine.run()
-    raw_rows = {c.name.split(".")[0]: int(c.details.get("rows", 0))
-                for c in checks if c.name.endswith(".not_empty")}
+    if not raw_rows:
+        raw_rows = {c.name.split(".")[0]: int(c.details.get("rows", 0))
+                    for c in checks if c.name.endswith(".not_empty")}
     rep = report(checks)
     path = sinks.append_quality_results(spark, reports_root, run_id, iso_millis(utc_now()), checks)
     validation = Validation(run_id, started_at, raw_rows, checks, _quality_summary(rep),
@@ -111,7 +143,9 @@ def _parallel(tasks: Mapping[str, Callable[[], Any]], workers: int = 4) -> dict[
 
 def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: str,
                         export_csv: bool = False, copy_raw: bool = True) -> Warehouse:
-    """Build fact and marts into the run folder, then publish the run."""
+    """Build fact and marts into the run folder, then publish the run.
+
+    The raw copies (S3) were staged by the quality stage when ``copy_raw``."""
     release = Release(spark, out_root)
     run_id = validation.run_id
     t = validation.tables
@@ -119,21 +153,24 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     fact_path = release.table_path(run_id, "fact_order_items")
     fact = mart_ops.fact_order_items(t["customers"], t["orders"], t["order_items"])
 
-    first: dict[str, Callable[[], Any]] = {"fact": lambda: sinks.write_table(fact, fact_path)}
     if copy_raw:
-        for name, frame in t.items():
-            path = release.table_path(run_id, f"raw_{name}")
-            first[name] = (lambda f=frame, p=path: sinks.write_table(f, p))
-            outputs[f"raw_{name}"] = path
-    _parallel(first)
-    outputs["fact_order_items"] = fact_path
-
-    fact_stored = spark.read.parquet(fact_path)
+        for name in t:
+            outputs[f"raw_{name}"] = release.table_path(run_id, f"raw_{name}")
     passed = {c.name for c in validation.checks if c.passed and c.severity == CRITICAL}
     unique_orders = all(name in passed for name in _KEY_CHECKS)
     # Intermediate, not published: lives in the cluster's shared work folder.
     rollup_path = f"{shared_dir(spark)}/ledgerlark/{run_id}/order_rollup"
-    sinks.write_table(mart_ops.order_rollup(fact_stored), rollup_path)
+    if unique_orders:
+        # Keys proven unique: the rollup needs only items pre-aggregated per
+        # order, so it is built next to the fact instead of after it.
+        rollup_df = mart_ops.order_rollup_from_raw(t["customers"], t["orders"], t["order_items"])
+        _parallel({"fact": lambda: sinks.write_table(fact, fact_path),
+                   "rollup": lambda: sinks.write_table(rollup_df, rollup_path)})
+    else:
+        sinks.write_table(fact, fact_path)
+        sinks.write_table(mart_ops.order_rollup(spark.read.parquet(fact_path)), rollup_path)
+    outputs["fact_order_items"] = fact_path
+    fact_stored = spark.read.parquet(fact_path)
     rollup = spark.read.parquet(rollup_path)
     marts = mart_ops.build_marts(fact_stored, unique_orders=unique_orders, rollup=rollup)
 
@@ -208,12 +245,13 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
     started = utc_now()
     run_id = run_id or new_run_id(started)
     started_at = iso_millis(started)
+    release = Release(spark, out_root)
     stage = "quality"
     validation: Validation | None = None
     warehouse: Warehouse | None = None
     try:
         validation = run_quality_stage(spark, raw, reports_root, run_id, started_at, rules,
-                                       raw_format)
+                                       raw_format, release if copy_raw else None)
         stage = "warehouse"
         warehouse = run_warehouse_stage(spark, validation, out_root, export_csv, copy_raw)
         stage = "publish_summary"
@@ -230,4 +268,10 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
             sinks.append_run_summary(spark, reports_root, summary)
         except Exception:  # noqa: BLE001 - never mask the original error
             logger.exception("could not record the failure summary of run %s", run_id)
+        if release.current_run() != run_id:
+            # Unpublished staging output of a failed run; the release is intact.
+            try:
+                fs.delete(spark, release.run_dir(run_id))
+            except Exception:  # noqa: BLE001
+                logger.exception("could not remove the staging folder of run %s", run_id)
         raise

@@ -15,6 +15,12 @@ from pyspark.sql import SparkSession
 # (runtime broadcast, partition coalescing, skew splitting), which is what
 # keeps a hot order or customer from pinning a single task.
 RECOMMENDED_CONF: dict[str, str] = {
+    # No broadcast from the planner's *estimate* (compressed file sizes can be
+    # 10x below the in-memory size, so a large fact side may qualify).  AQE
+    # still broadcasts a side whose *measured* shuffle output is below the
+    # adaptive threshold, which is a checked bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import NUMBER_PATTERN, WHOLE_NUMBER_PATTERN
+from ledgerlark.functions.columns import WHOLE_NUMBER_PATTERN, lenient_double
 
 # Raw file names and column types.
 RAW_FILES: dict[str, str] = {
@@ -104,41 +104,71 @@ class RawTables:
             raise RawTypeError(bad)
 
 
+def typed_columns(frame: DataFrame, table: str,
+                  na_tokens: Sequence[str] = NA_TOKENS) -> list[Column]:
+    """Declared columns cast by name from text; other columns pass through."""
+    types = RAW_TYPES.get(table, {})
+    dtypes = dict(frame.dtypes)
+    cols: list[Column] = []
+    for c in frame.columns:
+        want = types.get(c)
+        if want is None or dtypes[c] != "string":
+            cols.append(F.col(c))
+            continue
+        text = _missing_to_null(c, na_tokens)
+        if want == "string":
+            cols.append(text.alias(c))
+        elif want == "bigint":
+            cols.append(F.when(text.rlike(WHOLE_NUMBER_PATTERN),
+                               F.trim(text).try_cast("bigint")).alias(c))
+        else:
+            cols.append(lenient_double(text).cast(want).alias(c))
+    return cols
+
+
+def violation_counters(frame: DataFrame, table: str,
+                       na_tokens: Sequence[str] = NA_TOKENS) -> list[Column]:
+    """Per typed column: rows whose text cannot take the declared type."""
+    types = RAW_TYPES.get(table, {})
+    dtypes = dict(frame.dtypes)
+    out: list[Column] = []
+    for c in frame.columns:
+        want = types.get(c)
+        if want in (None, "string") or dtypes[c] != "string":
+            continue
+        text = _missing_to_null(c, na_tokens)
+        if want == "bigint":
+            bad = ~text.rlike(WHOLE_NUMBER_PATTERN)
+        else:
+            bad = lenient_double(text).isNull()
+        out.append(F.count_if(text.isNotNull() & bad).alias(f"{table}.{c}"))
+    return out
+
+
 def type_raw(frames: Mapping[str, DataFrame], na_tokens: Sequence[str] = NA_TOKENS) -> RawTables:
     """Select declared columns by name and cast them; extra columns are kept."""
-    typed: dict[str, DataFrame] = {}
-    counters: list[Column] = []
-    violation_source: DataFrame | None = None
-    for name, frame in frames.items():
-        types = RAW_TYPES.get(name, {})
-        cols = []
-        for c in frame.columns:
-            want = types.get(c)
-            if want is None or dict(frame.dtypes)[c] != "string":
-                cols.append(F.col(c))
-                continue
-            text = _missing_to_null(c, na_tokens)
-            if want == "string":
-                cols.append(text.alias(c))
-            elif want == "bigint":
-                cols.append(F.when(text.rlike(WHOLE_NUMBER_PATTERN),
-                                   F.trim(text).try_cast("bigint")).alias(c))
-                if name == "order_items":
-                    counters.append(F.count_if(text.isNotNull() & ~text.rlike(WHOLE_NUMBER_PATTERN))
-                                    .alias(f"{name}.{c}"))
-            else:
-                cols.append(F.when(text.rlike(NUMBER_PATTERN),
-                                   F.trim(text).try_cast(want)).alias(c))
-                if name == "order_items":
-                    counters.append(F.count_if(text.isNotNull() & ~text.rlike(NUMBER_PATTERN))
-                                    .alias(f"{name}.{c}"))
-        typed[name] = frame.select(*cols)
-        if name == "order_items":
-            violation_source = frame
-    violations = violation_source.agg(*counters) if counters and violation_source is not None else None
+    typed = {name: frame.select(*typed_columns(frame, name, na_tokens))
+             for name, frame in frames.items()}
+    counters = [(frame, violation_counters(frame, name, na_tokens))
+                for name, frame in frames.items()]
+    parts = [frame.agg(*cols) for frame, cols in counters if cols]
+    violations = None
+    if len(parts) == 1:
+        violations = parts[0]
+    elif parts:
+        raise NotImplementedError("typed columns in more than one raw table")
     return RawTables(typed, violations)
 
 
+def read_raw_text(spark: SparkSession, raw_dir: str, fmt: str = "csv",
+                  names: Sequence[str] = tuple(RAW_FILES)) -> dict[str, DataFrame]:
+    """The raw tables as scanned, before typing (CSV: all text)."""
+    raw_dir = raw_dir.rstrip("/")
+    if fmt == "parquet":
+        return {n: spark.read.parquet(f"{raw_dir}/{n}") for n in names}
+    return {n: read_csv_text(spark, f"{raw_dir}/{RAW_FILES[n]}") for n in names}
+
+
 def load_raw_tables(spark: SparkSession, raw_dir: str, fmt: str = "parquet",
                     names: Sequence[str] = tuple(RAW_FILES)) -> RawTables:
     """Load the raw tables (S2); Parquet keeps its types, CSV is typed by name."""
