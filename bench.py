@@ -23,7 +23,7 @@ import json
 import os
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 from pathlib import Path
 
@@ -63,7 +63,7 @@ def main() -> None:
                     "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("OFF")
-    root = f"{shared_dir(spark)}/ledgerlark-bench/{next(tempfile._get_candidate_names())}"
+    root = f"{shared_dir(spark)}/ledgerlark-bench/{uuid.uuid4().hex}"
 
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     feed, raw, raw_rows = _materialise(spark, sf_dir, f"{root}/data")
