@@ -81,6 +81,9 @@ def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, re
     """Type the raw tables once and write them as Parquet copies in the run
     folder (S2, S3).  Row counts and type violations are observed during the
     writes; later stages scan the columnar copies instead of re-parsing text."""
+    # Text files are typed by name on the way in; frames handed over in memory
+    # are copied as they are (their checks see the values as given).
+    typing = isinstance(raw, str) and raw_format == "csv"
     text = files.read_raw_text(spark, raw, raw_format) if isinstance(raw, str) else dict(raw)
     observations: dict[str, Observation] = {}
     tasks: dict[str, Callable[[], Any]] = {}
@@ -88,9 +91,9 @@ def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, re
     for name, frame in text.items():
         obs = Observation()
         observations[name] = obs
-        observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"),
-                                 *files.violation_counters(frame, name))
-        typed = observed.select(*files.typed_columns(observed, name))
+        counters = files.violation_counters(frame, name) if typing else []
+        observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"), *counters)
+        typed = observed.select(*files.typed_columns(observed, name)) if typing else observed
         paths[name] = release.table_path(run_id, f"raw_{name}")
         tasks[name] = (lambda df=typed, p=paths[name]: sinks.write_table(df, p))
     _parallel(tasks)
