@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 # A dimension is shipped to every executor only when the optimizer's size
 # estimate for it is below this bound; otherwise the join shuffles and AQE
-# may still switch to a broadcast from the *measured* shuffle size.
-DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+# may still switch to a broadcast from the *measured* shuffle size.  The
+# estimate for a file scan is its on-disk (compressed) size, so the bound is
+# kept well below executor memory to leave room for a 10x expansion.
+DEFAULT_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

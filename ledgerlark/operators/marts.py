@@ -50,7 +50,8 @@ FACT_COLUMNS = (
 _ORDER_KEYS = ("order_id", "customer_id", "country", "segment", "order_date", "status")
 
 
-def _sort_keys(mart: str) -> list[Column]:
+def sort_keys(mart: str) -> list[Column]:
+    """The published order of a mart; nulls last in both directions."""
     money_desc = F.col("gross_revenue").desc_nulls_last()
     return {
         "daily_revenue": [F.col("order_date").asc_nulls_last()],
@@ -178,7 +179,7 @@ def daily_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool
         money_round(F.try_divide(F.col("_revenue").cast("double"), F.col("paid_orders")))
         .alias("avg_order_value"),
     )
-    return out.orderBy(*_sort_keys("daily_revenue")) if ordered else out
+    return out.orderBy(*sort_keys("daily_revenue")) if ordered else out
 
 
 def customer_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True) -> DataFrame:
@@ -192,7 +193,7 @@ def customer_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bo
         money(F.col("_revenue")).alias("gross_revenue"),
         "last_paid_order_date",
     )
-    return out.orderBy(*_sort_keys("customer_revenue")) if ordered else out
+    return out.orderBy(*sort_keys("customer_revenue")) if ordered else out
 
 
 def product_revenue(fact: DataFrame, top_n: int | None = PRODUCT_TOP_N) -> DataFrame:
@@ -208,7 +209,7 @@ def product_revenue(fact: DataFrame, top_n: int | None = PRODUCT_TOP_N) -> DataF
         F.sum(F.col("quantity") * (F.lit(1) - flag)).cast("bigint").alias("units_canceled"),
         money(F.sum(line_revenue())).alias("gross_revenue"),
     )
-    ordered = grouped.orderBy(*_sort_keys("product_revenue"))
+    ordered = grouped.orderBy(*sort_keys("product_revenue"))
     return ordered.limit(top_n) if top_n else ordered
 
 
@@ -245,7 +246,7 @@ def country_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: boo
         *keys, "customers", "total_orders", "paid_orders", "canceled_orders",
         money(F.col("_revenue")).alias("gross_revenue"),
     )
-    return out.orderBy(*_sort_keys("country_revenue")) if ordered else out
+    return out.orderBy(*sort_keys("country_revenue")) if ordered else out
 
 
 def build_marts(fact: DataFrame, unique_orders: bool = False, rollup: DataFrame | None = None,

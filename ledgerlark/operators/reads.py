@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.marts import MART_NAMES, _sort_keys
+from ledgerlark.operators.marts import MART_NAMES, sort_keys
 from ledgerlark.sources import fs
 from ledgerlark.sources.sinks import Release, report_paths
 
@@ -48,7 +48,7 @@ def check_bounds(limit: int, offset: int) -> None:
 def page(mart_df: DataFrame, mart: str, limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:
     """Rows ``[offset, offset + limit)`` of a mart in its published order."""
     check_bounds(limit, offset)
-    ordered = mart_df.orderBy(*_sort_keys(mart))
+    ordered = mart_df.orderBy(*sort_keys(mart))
     return (ordered.offset(offset) if offset else ordered).limit(limit)
 
 

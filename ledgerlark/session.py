@@ -21,6 +21,10 @@ RECOMMENDED_CONF: dict[str, str] = {
     # adaptive threshold, which is a checked bound.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a
+    # whole-stage method that large would run interpreted (measured 5x slower
+    # on the feed parse).  Above this size Spark keeps per-expression codegen.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -100,7 +100,7 @@ class DriverTables:
         return self._orders_keyed().drop("_key")
 
     def _items_keyed(self) -> DataFrame:
-        part = self.table("part").select("p_partkey", "p_name", "p_retailprice")
+        part = broadcast_if_bounded(self.table("part").select("p_partkey", "p_name", "p_retailprice"))
         return (
             self.table("lineitem")
             .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
@@ -133,11 +133,13 @@ class DriverTables:
         orders = self.table("orders").select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
         )
-        part = self.table("part").select("p_partkey", "p_name", "p_retailprice")
-        supplier_nation = self.table("supplier").select("s_suppkey", "s_nationkey").join(
-            broadcast_if_bounded(self.table("nation").select("n_nationkey", "n_name")),
-            F.col("s_nationkey") == F.col("n_nationkey"),
-        )
+        part = broadcast_if_bounded(
+            self.table("part").select("p_partkey", "p_name", "p_retailprice"))
+        supplier_nation = broadcast_if_bounded(
+            self.table("supplier").select("s_suppkey", "s_nationkey").join(
+                broadcast_if_bounded(self.table("nation").select("n_nationkey", "n_name")),
+                F.col("s_nationkey") == F.col("n_nationkey"),
+            ))
         lines = (
             self.table("lineitem")
             .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")

@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The retail pipeline this library rebuilds is batch only: it has no
+watermarks, windows, state or late-data handling, and names incremental
+ingestion only as a possible future extension.  Adding a streaming operator
+would go beyond that surface, so none is provided.  A user who wants the gate
+per micro-batch can call ``ledgerlark.plans.job.run_pipeline`` from a
+``writeStream.foreachBatch`` handler; every stage of it is already a set of
+DataFrame jobs.
+"""
