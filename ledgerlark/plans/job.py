@@ -25,8 +25,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlark.operators import marts as mart_ops
 from ledgerlark.operators.quality import (
@@ -44,6 +45,10 @@ from ledgerlark.sources.sinks import Release, iso_millis, new_run_id, utc_now, w
 
 logger = logging.getLogger(__name__)
 
+# A raw table whose measured size (see ``measured_bytes``) is at most this is
+# broadcast into the warehouse joins.
+MEASURED_BROADCAST_BYTES = 64 * 1024 * 1024
+
 # Checks whose success proves each fact line maps to one order and one
 # customer, which lets the marts count orders without a distinct step.
 _KEY_CHECKS = (
@@ -63,6 +68,8 @@ class Validation:
     quality: dict[str, int]
     outputs: dict[str, str]
     tables: dict[str, DataFrame] = field(repr=False, default_factory=dict)
+    # Measured bytes per staged table (empty when tables were not staged).
+    raw_bytes: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass
@@ -76,11 +83,12 @@ def _quality_summary(rep: Mapping[str, Any]) -> dict[str, int]:
 
 
 def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, release: Release,
-                     run_id: str, raw_format: str = "parquet") -> tuple[dict[str, DataFrame],
-                                                                    dict[str, int]]:
+                     run_id: str, raw_format: str = "parquet",
+                     ) -> tuple[dict[str, DataFrame], dict[str, int], dict[str, int]]:
     """Type the raw tables once and write them as Parquet copies in the run
-    folder (S2, S3).  Row counts and type violations are observed during the
-    writes; later stages scan the columnar copies instead of re-parsing text."""
+    folder (S2, S3).  Row counts, measured bytes and type violations are
+    observed during the writes; later stages scan the columnar copies instead
+    of re-parsing text."""
     # Text files are typed by name on the way in; frames handed over in memory
     # are copied as they are (their checks see the values as given).
     typing = isinstance(raw, str) and raw_format == "csv"
@@ -88,21 +96,44 @@ def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, re
     observations: dict[str, Observation] = {}
     tasks: dict[str, Callable[[], Any]] = {}
     paths: dict[str, str] = {}
+    schemas: dict[str, T.StructType] = {}
     for name, frame in text.items():
         obs = Observation()
         observations[name] = obs
         counters = files.violation_counters(frame, name) if typing else []
-        observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"), *counters)
+        # Measured during the same write: rows and the bytes of every value,
+        # a size bound for the later join decisions (no estimate involved).
+        observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                 measured_bytes(frame).alias("bytes"), *counters)
         typed = observed.select(*files.typed_columns(observed, name)) if typing else observed
+        schemas[name] = typed.schema
         paths[name] = release.table_path(run_id, f"raw_{name}")
         tasks[name] = (lambda df=typed, p=paths[name]: sinks.write_table(df, p))
     _parallel(tasks)
     metrics = {name: obs.get for name, obs in observations.items()}
-    violations = {k: int(v) for m in metrics.values() for k, v in m.items() if k != "rows" and v}
+    violations = {k: int(v) for m in metrics.values() for k, v in m.items()
+                  if k not in ("rows", "bytes") and v}
     if violations:
         raise files.RawTypeError(violations)
     raw_rows = {name: int(m["rows"]) for name, m in metrics.items()}
-    return {name: spark.read.parquet(p) for name, p in paths.items()}, raw_rows
+    raw_bytes = {name: int(m["bytes"] or 0) for name, m in metrics.items()}
+    staged = {name: spark.read.schema(schemas[name]).parquet(p) for name, p in paths.items()}
+    return staged, raw_rows, raw_bytes
+
+
+def measured_bytes(frame: DataFrame) -> Column:
+    """Bytes of all values: UTF-8 length of text, 8 per other value, plus a
+    16-byte row header; an aggregate that rides along a write."""
+    parts: list[Column] = [F.lit(16)]
+    for field in frame.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    total = parts[0]
+    for part in parts[1:]:
+        total = total + part
+    return F.sum(total.cast("bigint"))
 
 
 def run_quality_stage(spark: SparkSession, raw: Mapping[str, DataFrame] | str, reports_root: str,
@@ -113,8 +144,9 @@ def run_quality_stage(spark: SparkSession, raw: Mapping[str, DataFrame] | str, r
     With a ``release`` the typed raw tables are first staged in its run folder
     (see ``stage_raw_tables``); without one the given frames are checked as
     they are."""
+    raw_bytes: dict[str, int] = {}
     if release is not None:
-        tables, raw_rows = stage_raw_tables(spark, raw, release, run_id, raw_format)
+        tables, raw_rows, raw_bytes = stage_raw_tables(spark, raw, release, run_id, raw_format)
     else:
         if isinstance(raw, str):
             loaded = files.load_raw_tables(spark, raw, raw_format)
@@ -131,7 +163,7 @@ def run_quality_stage(spark: SparkSession, raw: Mapping[str, DataFrame] | str, r
     rep = report(checks)
     path = sinks.append_quality_results(spark, reports_root, run_id, iso_millis(utc_now()), checks)
     validation = Validation(run_id, started_at, raw_rows, checks, _quality_summary(rep),
-                            {"quality_report": path}, tables)
+                            {"quality_report": path}, tables, raw_bytes)
     if rep["status"] == "failed":
         raise QualityGateError(checks, raw_rows)
     return validation
@@ -145,7 +177,8 @@ def _parallel(tasks: Mapping[str, Callable[[], Any]], workers: int = 4) -> dict[
 
 
 def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: str,
-                        export_csv: bool = False, copy_raw: bool = True) -> Warehouse:
+                        export_csv: bool = False, copy_raw: bool = True,
+                        broadcast_bytes: int = MEASURED_BROADCAST_BYTES) -> Warehouse:
     """Build fact and marts into the run folder, then publish the run.
 
     The raw copies (S3) were staged by the quality stage when ``copy_raw``."""
@@ -154,7 +187,13 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     t = validation.tables
     outputs: dict[str, str] = {}
     fact_path = release.table_path(run_id, "fact_order_items")
-    fact = mart_ops.fact_order_items(t["customers"], t["orders"], t["order_items"])
+    # Dimensions whose *measured* size is small are broadcast; anything else
+    # (or anything unmeasured) is shuffled, and AQE may still convert it.
+    small = {name for name, size in validation.raw_bytes.items()
+             if name in ("customers", "orders") and size <= broadcast_bytes}
+    dims = {name: (F.broadcast(t[name]) if name in small else t[name])
+            for name in ("customers", "orders")}
+    fact = mart_ops.fact_order_items(dims["customers"], dims["orders"], t["order_items"])
 
     if copy_raw:
         for name in t:
@@ -166,7 +205,8 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     if unique_orders:
         # Keys proven unique: the rollup needs only items pre-aggregated per
         # order, so it is built next to the fact instead of after it.
-        rollup_df = mart_ops.order_rollup_from_raw(t["customers"], t["orders"], t["order_items"])
+        rollup_df = mart_ops.order_rollup_from_raw(dims["customers"], dims["orders"],
+                                                   t["order_items"])
         _parallel({"fact": lambda: sinks.write_table(fact, fact_path),
                    "rollup": lambda: sinks.write_table(rollup_df, rollup_path)})
     else:
@@ -193,6 +233,7 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     for name, info in written.items():
         outputs[name] = info.pop("path")
     release.publish(run_id)
+    fs.delete(spark, rollup_path.rsplit("/", 1)[0])
     outputs["release"] = release.run_dir(run_id)
     return Warehouse(marts=written, outputs=outputs)
 

@@ -18,7 +18,7 @@ from ledgerlark.functions.columns import DEFAULT_DATE_FORMATS
 from ledgerlark.operators import normalize
 from ledgerlark.plans.job import _parallel
 from ledgerlark.session import shared_dir
-from ledgerlark.sources import sinks
+from ledgerlark.sources import fs, sinks
 from ledgerlark.sources.files import cap_rows, read_csv_text
 
 # Output sort keys: files are sorted within partitions (cheap, no global
@@ -72,6 +72,7 @@ def prepare_source(
             df.sortWithinPartitions(*_SORT_KEYS[n]), paths[n], count_rows=True))
         for name, df in outputs.items()
     })
+    fs.delete(spark, clean_path.rsplit("/", 1)[0])
     source_rows = int(counts["source_rows"])
     normalized_rows = int(counts["normalized_rows"])
     return {

@@ -30,7 +30,11 @@ POINTER = "_CURRENT"
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), count_rows: bool = False) -> int | None:
     """Write Parquet; with ``count_rows`` the row count is observed during the
-    write itself instead of a second pass (P6)."""
+    write itself instead of a second pass (P6).
+
+    The observation sits in the writing (result) stage, where Spark merges the
+    metrics of each partition once even when tasks are retried after an
+    executor loss, so the count stays exact."""
     obs = None
     if count_rows:
         obs = Observation()
