@@ -45,11 +45,51 @@ def check_bounds(limit: int, offset: int) -> None:
         raise ValueError("offset must be zero or positive")
 
 
-def page(mart_df: DataFrame, mart: str, limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:
-    """Rows ``[offset, offset + limit)`` of a mart in its published order."""
+# Up to this many leading rows a page is an ordered top-k; deeper pages are
+# located by position so no task holds ``offset + limit`` rows.
+TOP_K_ROWS = 100_000
+
+
+def page(mart_df: DataFrame, mart: str, limit: int = DEFAULT_LIMIT, offset: int = 0,
+         top_k_rows: int = TOP_K_ROWS) -> DataFrame:
+    """Rows ``[offset, offset + limit)`` of a mart in its published order.
+
+    Shallow pages plan as ``TakeOrderedAndProject`` (each partition keeps its
+    best ``offset + limit`` rows).  Deep pages sort by range once, count rows
+    per sorted partition (one small row each), and keep only the partitions
+    and positions that fall inside the page.  The mart order is total (its
+    keys end in the mart's grouping key), so both passes see the same order.
+    """
     check_bounds(limit, offset)
-    ordered = mart_df.orderBy(*sort_keys(mart))
-    return (ordered.offset(offset) if offset else ordered).limit(limit)
+    keys = sort_keys(mart)
+    if offset + limit <= top_k_rows:
+        ordered = mart_df.orderBy(*keys)
+        return (ordered.offset(offset) if offset else ordered).limit(limit)
+    return _positional_page(mart_df, keys, limit, offset)
+
+
+def _positional_page(df: DataFrame, keys, limit: int, offset: int) -> DataFrame:
+    # monotonically_increasing_id() is (partition << 33) + row index within the
+    # partition, assigned in the sorted order of the same stage.
+    located = df.orderBy(*keys).select(
+        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
+    counts = sorted((r["_part"], r["n"]) for r in
+                    located.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
+    starts, wanted, seen = {}, [], 0
+    for part, n in counts:
+        if seen < offset + limit and seen + n > offset:
+            starts[part] = seen
+            wanted.append(part)
+        seen += n
+    if not wanted:
+        return df.limit(0)
+    start_of = F.lit(0)
+    for part in wanted:
+        start_of = F.when(F.col("_part") == part, F.lit(starts[part])).otherwise(start_of)
+    position = start_of + (F.col("_id") - F.shiftleft(F.col("_part").cast("bigint"), 33))
+    return (located.where(F.col("_part").isin(*wanted))
+            .where((position >= offset) & (position < offset + limit))
+            .orderBy(*keys).drop("_part", "_id"))
 
 
 def read_mart_page(spark: SparkSession, out_root: str, mart: str, limit: int = DEFAULT_LIMIT,

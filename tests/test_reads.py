@@ -49,3 +49,16 @@ def test_readiness_without_runs_is_degraded(spark, tmp_path):
 
 def test_public_names_cover_all_marts():
     assert set(reads.PUBLIC_MARTS.values()) == set(marts.MART_NAMES)
+
+
+def test_deep_pages_by_position_equal_top_k(spark, published):
+    out, _ = published
+    from ledgerlark.sources.sinks import Release
+
+    df = Release(spark, out).read("marts/customer_revenue").repartition(7)
+    total = df.count()
+    for offset, limit in [(0, 10), (37, 50), (total - 5, 10), (total + 3, 10)]:
+        top_k = [tuple(r) for r in reads.page(df, "customer_revenue", limit, offset).collect()]
+        positional = [tuple(r) for r in reads.page(df, "customer_revenue", limit, offset,
+                                                   top_k_rows=0).collect()]
+        assert positional == top_k, (offset, limit)
