@@ -92,6 +92,18 @@ def _positional_page(df: DataFrame, keys, limit: int, offset: int) -> DataFrame:
             .orderBy(*keys).drop("_part", "_id"))
 
 
+def page_records(rows: DataFrame) -> DataFrame:
+    """Each row as one JSON object with nulls written as ``null`` (F23);
+    NaN values are mapped to null first, as JSON has no NaN."""
+    cleaned = [
+        (F.when(~F.isnan(F.col(f.name)), F.col(f.name)).alias(f.name)
+         if f.dataType.typeName() in ("double", "float") else F.col(f.name))
+        for f in rows.schema.fields
+    ]
+    return rows.select(F.to_json(F.struct(*cleaned), {"ignoreNullFields": "false"})
+                       .alias("item"))
+
+
 def read_mart_page(spark: SparkSession, out_root: str, mart: str, limit: int = DEFAULT_LIMIT,
                    offset: int = 0) -> MartPage:
     """Page of a published mart plus its total row count."""

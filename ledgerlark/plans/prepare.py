@@ -40,8 +40,15 @@ def prepare_source(
     date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
     order_by: Sequence[str] | None = None,
     run_id: str | None = None,
+    fmt: str = "parquet",
 ) -> dict[str, Any]:
-    """Normalise the feed into three Parquet tables under ``raw_out``; return the report."""
+    """Normalise the feed into three tables under ``raw_out``; return the report.
+
+    ``fmt="parquet"`` writes ``<raw_out>/<table>``; ``fmt="csv"`` writes
+    header-first CSV folders ``<raw_out>/<table>.csv`` that the typed CSV
+    loader reads back by column name."""
+    if fmt not in ("parquet", "csv"):
+        raise ValueError("fmt must be 'parquet' or 'csv'")
     if max_rows < 0:
         raise ValueError("max_rows must be zero or a positive integer")
     frame = read_csv_text(spark, source) if isinstance(source, str) else source
@@ -66,12 +73,18 @@ def prepare_source(
         "orders": normalize.orders_from(clean),
         "order_items": normalize.items_from(clean),
     }
-    paths = {name: f"{raw_out.rstrip('/')}/{name}" for name in outputs}
-    rows = _parallel({
-        name: (lambda n=name, df=df: sinks.write_table(
-            df.sortWithinPartitions(*_SORT_KEYS[n]), paths[n], count_rows=True))
-        for name, df in outputs.items()
-    })
+    suffix = ".csv" if fmt == "csv" else ""
+    paths = {name: f"{raw_out.rstrip('/')}/{name}{suffix}" for name in outputs}
+
+    def write(name: str, df: DataFrame) -> int:
+        df = df.sortWithinPartitions(*_SORT_KEYS[name])
+        if fmt == "parquet":
+            return int(sinks.write_table(df, paths[name], count_rows=True))
+        obs = Observation()
+        sinks.write_csv(df.observe(obs, F.count(F.lit(1)).alias("rows")), paths[name])
+        return int(obs.get["rows"])
+
+    rows = _parallel({name: (lambda n=name, df=df: write(n, df)) for name, df in outputs.items()})
     fs.delete(spark, clean_path.rsplit("/", 1)[0])
     source_rows = int(counts["source_rows"])
     normalized_rows = int(counts["normalized_rows"])

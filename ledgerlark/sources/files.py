@@ -177,3 +177,12 @@ def load_raw_tables(spark: SparkSession, raw_dir: str, fmt: str = "parquet",
         return RawTables({n: spark.read.parquet(f"{raw_dir}/{n}") for n in names})
     frames = {n: read_csv_text(spark, f"{raw_dir}/{RAW_FILES[n]}") for n in names}
     return type_raw(frames)
+
+
+def register_views(tables: Mapping[str, DataFrame], prefix: str = "raw_") -> list[str]:
+    """Expose tables to SQL as temporary views ``<prefix><name>``."""
+    names = []
+    for name, frame in tables.items():
+        frame.createOrReplaceTempView(f"{prefix}{name}")
+        names.append(f"{prefix}{name}")
+    return names

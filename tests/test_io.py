@@ -83,3 +83,19 @@ def test_source_row_cap(spark, tmp_path):
     assert files.read_source(spark, str(tmp_path / "feed.csv")).count() == 3
     with pytest.raises(ValueError):
         files.read_source(spark, str(tmp_path / "feed.csv"), max_rows=-1)
+
+
+def test_register_views_exposes_sql(spark, raw_csv):
+    loaded = files.load_raw_tables(spark, str(raw_csv), fmt="csv")
+    names = files.register_views(loaded.frames)
+    assert names == ["raw_customers", "raw_orders", "raw_order_items"]
+    assert spark.sql("SELECT count(*) AS n FROM raw_order_items").first().n == 1
+
+
+def test_page_records_keep_nulls_and_drop_nan(spark):
+    from ledgerlark.operators import reads
+
+    df = spark.createDataFrame([("a", None, float("nan")), ("b", 1.5, 2.0)],
+                               "k string, x double, y double")
+    items = [r.item for r in reads.page_records(df).collect()]
+    assert items == ['{"k":"a","x":null,"y":null}', '{"k":"b","x":1.5,"y":2.0}']
