@@ -8,6 +8,7 @@ by position, so a dropped or reordered column would silently shift data.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -166,7 +167,10 @@ def read_raw_text(spark: SparkSession, raw_dir: str, fmt: str = "csv",
     raw_dir = raw_dir.rstrip("/")
     if fmt == "parquet":
         return {n: spark.read.parquet(f"{raw_dir}/{n}") for n in names}
-    return {n: read_csv_text(spark, f"{raw_dir}/{RAW_FILES[n]}") for n in names}
+    # Reading a CSV header is a small job per table; resolve them concurrently.
+    with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+        frames = pool.map(lambda n: read_csv_text(spark, f"{raw_dir}/{RAW_FILES[n]}"), names)
+        return dict(zip(names, frames))
 
 
 def load_raw_tables(spark: SparkSession, raw_dir: str, fmt: str = "parquet",
@@ -175,8 +179,7 @@ def load_raw_tables(spark: SparkSession, raw_dir: str, fmt: str = "parquet",
     raw_dir = raw_dir.rstrip("/")
     if fmt == "parquet":
         return RawTables({n: spark.read.parquet(f"{raw_dir}/{n}") for n in names})
-    frames = {n: read_csv_text(spark, f"{raw_dir}/{RAW_FILES[n]}") for n in names}
-    return type_raw(frames)
+    return type_raw(read_raw_text(spark, raw_dir, "csv", names))
 
 
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "raw_") -> list[str]:
