@@ -1,17 +1,16 @@
 """Benchmark: the gated retail run and its parts at one scale factor.
 
 Setup (untimed): the flat invoice feed and the three raw tables are derived
-from the star-schema tables in ``$BENCH_SF_DIR`` and written as CSV, the
-format the reference reads; one full warm-up run at the same scale primes the
-JVM (JIT, generated-code cache; the gated run twice).  Timed figures are the
-median of
-``$BENCH_REPEAT`` (default 3) runs.
+from the star-schema tables in ``$BENCH_SF_DIR`` and written as CSV, the raw
+format of the baseline pipeline; warm-up runs at the same scale prime the JVM
+(JIT, generated-code cache; the gated run twice).  Timed figures are the
+median of ``$BENCH_REPEAT`` (default 3) runs.
 
 Timed:
   prepare       feed CSV -> customers, orders, order_items (+ drop reasons)
   gated_run     raw CSV -> typed load -> 25 checks + report rows -> fact ->
                 4 marts -> release pointer -> run summary (the headline,
-                comparable to the reference's whole-run time)
+                comparable to the baseline's whole-run time)
   quality_gate  the 25 checks alone over the raw CSV tables
   marts_<name>  one mart straight from the raw tables (collect)
 
