@@ -95,3 +95,30 @@ def test_typed_load_failure_has_empty_counts(spark, tmp_path):
                          raw_format="csv")
     last = reads.latest_run(spark, str(tmp_path / "rep")).first()
     assert last.failed_stage == "quality" and last.raw_rows == {} and last.total_checks == 0
+
+
+def test_failed_gate_discards_work_built_ahead(spark, raw_tables, tmp_path):
+    import os
+
+    out, rep = str(tmp_path / "wh"), str(tmp_path / "reports")
+    good = job.run_pipeline(spark, raw_tables, out, rep)
+    dirty = DriverTables(spark, SF_SMALL).dirty_tables()  # all columns present
+    with pytest.raises(quality.QualityGateError):
+        job.run_pipeline(spark, dirty, out, rep, run_id="dirty-run", overlap=True)
+    release = sinks.Release(spark, out)
+    assert release.current_run() == good["run_id"]
+    assert not os.path.exists(release.run_dir("dirty-run"))
+    assert not os.path.exists(job._rollup_path(spark, "dirty-run").rsplit("/", 1)[0])
+    assert release.read("marts/daily_revenue").count() == good["marts"]["daily_revenue"]["rows"]
+
+
+def test_overlap_and_sequential_runs_agree(spark, raw_tables, tmp_path):
+    marts_of = {}
+    for overlap in (True, False):
+        out = str(tmp_path / f"wh-{overlap}")
+        summary = job.run_pipeline(spark, raw_tables, out, str(tmp_path / f"rep-{overlap}"),
+                                   overlap=overlap)
+        release = sinks.Release(spark, out)
+        marts_of[overlap] = {m: sorted(tuple(r) for r in release.read(f"marts/{m}").collect())
+                             for m in summary["marts"]}
+    assert marts_of[True] == marts_of[False]
