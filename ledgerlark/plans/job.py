@@ -335,7 +335,8 @@ def failure_summary(run_id: str, started_at: str, stage: str, error: BaseExcepti
 def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_root: str,
                  reports_root: str, *, rules: QualityRules = DEFAULT_RULES,
                  raw_format: str = "parquet", export_csv: bool = False, copy_raw: bool = True,
-                 overlap: bool = False, run_id: str | None = None) -> dict[str, Any]:
+                 overlap: bool = False, run_id: str | None = None,
+                 keep_releases: int = 2) -> dict[str, Any]:
     """Gated run (P5).  Returns the success summary or re-raises the failure.
 
     ``overlap`` (off by default) writes the fact and rollup while the checks
@@ -344,7 +345,10 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
     for them and deletes them with the unpublished run folder.  It is off by
     default because it builds on keys the gate has not yet proven: badly
     duplicated keys would start a fan-out join that the sequential order
-    prevents.  On 8 local cores it saved little (the cores were saturated)."""
+    prevents.  On 8 local cores it saved little (the cores were saturated).
+
+    After a successful publish all but the newest ``keep_releases`` run folders
+    are deleted (0 keeps every run)."""
     started = utc_now()
     run_id = run_id or new_run_id(started)
     started_at = iso_millis(started)
@@ -374,6 +378,9 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
                            validation.quality, warehouse.marts,
                            {**validation.outputs, **warehouse.outputs}, None)
         summary["outputs"]["run_summary"] = sinks.append_run_summary(spark, reports_root, summary)
+        if keep_releases > 0:
+            # Each run holds a full fact; older runs go once readers moved on.
+            release.prune(keep_releases)
         return summary
     except Exception as error:
         logger.exception("run %s failed in stage %s", run_id, stage)

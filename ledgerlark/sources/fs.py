@@ -67,3 +67,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs_and_path(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` (empty if it does not exist)."""
+    fs, p, _ = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())

@@ -81,6 +81,18 @@ class Release:
         """Make ``run_id`` the visible release in one pointer write."""
         fs.write_text_atomic(self.spark, f"{self.root.rstrip('/')}/{POINTER}", run_id + "\n")
 
+    def prune(self, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` runs; the published run always
+        stays.  Run ids sort by time, so names order the runs.  Returns the
+        removed run ids."""
+        current = self.current_run()
+        runs = fs.list_dirs(self.spark, f"{self.root.rstrip('/')}/runs")
+        kept = set(runs[-keep:]) if keep > 0 else set()
+        removed = [r for r in runs if r not in kept and r != current]
+        for run_id in removed:
+            fs.delete(self.spark, self.run_dir(run_id))
+        return removed
+
     def read(self, name: str) -> DataFrame:
         path = self.current_path(name)
         if path is None:

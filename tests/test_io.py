@@ -99,3 +99,14 @@ def test_page_records_keep_nulls_and_drop_nan(spark):
                                "k string, x double, y double")
     items = [r.item for r in reads.page_records(df).collect()]
     assert items == ['{"k":"a","x":null,"y":null}', '{"k":"b","x":1.5,"y":2.0}']
+
+
+def test_release_prune_keeps_newest_and_current(spark, tmp_path):
+    release = sinks.Release(spark, str(tmp_path / "wh"))
+    for run_id in ("r1", "r2", "r3", "r4"):
+        sinks.write_table(spark.range(1), release.table_path(run_id, "t"))
+    release.publish("r1")
+    removed = release.prune(keep=2)
+    assert removed == ["r2"]
+    assert release.read("t").count() == 1
+    assert (tmp_path / "wh" / "runs" / "r4").exists() and not (tmp_path / "wh" / "runs" / "r2").exists()
