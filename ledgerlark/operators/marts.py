@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import money_round, revenue_flag
+from ledgerlark.functions.columns import Sql, money_round_sql, revenue_flag
 
 # Mart names and their column order.
 MART_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -50,28 +50,33 @@ FACT_COLUMNS = (
 _ORDER_KEYS = ("order_id", "customer_id", "country", "segment", "order_date", "status")
 
 
+# (column, descending) pairs of each mart's published order; nulls last.
+_SORT: dict[str, tuple[tuple[str, bool], ...]] = {
+    "daily_revenue": (("order_date", False),),
+    "customer_revenue": (("gross_revenue", True), ("customer_id", False)),
+    "product_revenue": (("gross_revenue", True), ("product_id", False), ("description", False)),
+    "country_revenue": (("gross_revenue", True), ("country", False), ("segment", False)),
+}
+
+
 def sort_keys(mart: str) -> list[Column]:
     """The published order of a mart; nulls last in both directions."""
-    money_desc = F.col("gross_revenue").desc_nulls_last()
-    return {
-        "daily_revenue": [F.col("order_date").asc_nulls_last()],
-        "customer_revenue": [money_desc, F.col("customer_id").asc_nulls_last()],
-        "product_revenue": [money_desc, F.col("product_id").asc_nulls_last(),
-                            F.col("description").asc_nulls_last()],
-        "country_revenue": [money_desc, F.col("country").asc_nulls_last(),
-                            F.col("segment").asc_nulls_last()],
-    }[mart]
+    return [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last()
+            for c, desc in _SORT[mart]]
 
 
-def line_revenue() -> Column:
-    """Exact paid revenue of a fact line; 0 for unpaid lines, null if unknown."""
-    value = F.col("quantity").cast("decimal(10,0)") * F.col("unit_price").cast("decimal(18,6)")
-    return value * F.col("is_revenue_order").cast("decimal(1,0)")
+# Exact paid revenue of a fact line; 0 for unpaid lines, null if unknown.
+LINE_REVENUE_SQL = ("CAST(quantity AS DECIMAL(10,0)) * CAST(unit_price AS DECIMAL(18,6)) "
+                    "* CAST(is_revenue_order AS DECIMAL(1,0))")
 
 
-def money(total: Column) -> Column:
+def _money_sql(total: str) -> str:
     """Exact decimal total rounded half away from zero to cents, as DOUBLE."""
-    return F.round(total, 2).cast("double")
+    return f"CAST(round({total}, 2) AS DOUBLE)"
+
+
+def _exprs(*pairs: tuple[str, str]) -> list[Column]:
+    return [F.expr(f"{expr} AS {name}") for name, expr in pairs]
 
 
 def fact_order_items(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -104,9 +109,7 @@ def order_rollup(fact: DataFrame) -> DataFrame:
     lines of an order before the shuffle.
     """
     return fact.groupBy(*_ORDER_KEYS).agg(
-        F.sum(line_revenue()).alias("revenue"),
-        F.count(F.lit(1)).alias("lines"),
-    )
+        *_exprs(("revenue", f"sum({LINE_REVENUE_SQL})"), ("lines", "count(1)")))
 
 
 def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -136,13 +139,11 @@ def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFr
 
 
 def _order_flags(rollup: DataFrame) -> DataFrame:
-    has_id = F.col("order_id").isNotNull()
-    return rollup.select(
-        *_ORDER_KEYS,
-        "revenue",
-        (has_id & (F.col("status") == "paid")).cast("int").alias("paid"),
-        (has_id & (F.col("status") == "canceled")).cast("int").alias("canceled"),
-        F.when(F.col("status") == "paid", F.col("order_date")).alias("paid_date"),
+    return rollup.selectExpr(
+        *_ORDER_KEYS, "revenue",
+        "CAST(order_id IS NOT NULL AND status = 'paid' AS INT) AS paid",
+        "CAST(order_id IS NOT NULL AND status = 'canceled' AS INT) AS canceled",
+        "CASE WHEN status = 'paid' THEN order_date END AS paid_date",
     )
 
 
@@ -151,21 +152,18 @@ def _per_order(rollup: DataFrame, keys: Sequence[str], unique_orders: bool) -> D
     flagged = _order_flags(rollup)
     if unique_orders:
         return flagged
-    return flagged.groupBy(*keys, "order_id").agg(
-        F.max("paid").alias("paid"),
-        F.max("canceled").alias("canceled"),
-        F.sum("revenue").alias("revenue"),
-        F.max("paid_date").alias("paid_date"),
-    )
+    return flagged.groupBy(*keys, "order_id").agg(*_exprs(
+        ("paid", "max(paid)"), ("canceled", "max(canceled)"),
+        ("revenue", "sum(revenue)"), ("paid_date", "max(paid_date)")))
 
 
 def _order_counts() -> list[Column]:
-    return [
-        F.count("order_id").alias("total_orders"),
-        F.sum("paid").cast("bigint").alias("paid_orders"),
-        F.sum("canceled").cast("bigint").alias("canceled_orders"),
-        F.sum("revenue").alias("_revenue"),
-    ]
+    return _exprs(
+        ("total_orders", "count(order_id)"),
+        ("paid_orders", "CAST(sum(paid) AS BIGINT)"),
+        ("canceled_orders", "CAST(sum(canceled) AS BIGINT)"),
+        ("_revenue", "sum(revenue)"),
+    )
 
 
 def daily_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True) -> DataFrame:
@@ -175,9 +173,9 @@ def daily_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool
     )
     out = per_day.select(
         "order_date", "total_orders", "paid_orders", "canceled_orders",
-        money(F.col("_revenue")).alias("gross_revenue"),
-        money_round(F.try_divide(F.col("_revenue").cast("double"), F.col("paid_orders")))
-        .alias("avg_order_value"),
+        *_exprs(("gross_revenue", _money_sql("_revenue")),
+                ("avg_order_value",
+                 money_round_sql(Sql("try_divide(CAST(_revenue AS DOUBLE), paid_orders)")))),
     )
     return out.orderBy(*sort_keys("daily_revenue")) if ordered else out
 
@@ -186,12 +184,11 @@ def customer_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bo
     """Orders, revenue and last paid day per customer (M2)."""
     keys = ["customer_id", "country", "segment"]
     per_customer = _per_order(rollup, keys, unique_orders).groupBy(*keys).agg(
-        *_order_counts(), F.max("paid_date").alias("last_paid_order_date")
+        *_order_counts(), *_exprs(("last_paid_order_date", "max(paid_date)"))
     )
     out = per_customer.select(
         *keys, "total_orders", "paid_orders", "canceled_orders",
-        money(F.col("_revenue")).alias("gross_revenue"),
-        "last_paid_order_date",
+        *_exprs(("gross_revenue", _money_sql("_revenue"))), "last_paid_order_date",
     )
     return out.orderBy(*sort_keys("customer_revenue")) if ordered else out
 
@@ -203,12 +200,11 @@ def product_revenue(fact: DataFrame, top_n: int | None = PRODUCT_TOP_N) -> DataF
     keeps its own best ``top_n`` rows, so only ``top_n`` x partitions reach
     the final merge.
     """
-    flag = F.col("is_revenue_order")
-    grouped = fact.groupBy("product_id", "description").agg(
-        F.sum(F.col("quantity") * flag).cast("bigint").alias("units_sold"),
-        F.sum(F.col("quantity") * (F.lit(1) - flag)).cast("bigint").alias("units_canceled"),
-        money(F.sum(line_revenue())).alias("gross_revenue"),
-    )
+    grouped = fact.groupBy("product_id", "description").agg(*_exprs(
+        ("units_sold", "CAST(sum(quantity * is_revenue_order) AS BIGINT)"),
+        ("units_canceled", "CAST(sum(quantity * (1 - is_revenue_order)) AS BIGINT)"),
+        ("gross_revenue", _money_sql(f"sum({LINE_REVENUE_SQL})")),
+    ))
     ordered = grouped.orderBy(*sort_keys("product_revenue"))
     return ordered.limit(top_n) if top_n else ordered
 
@@ -219,17 +215,15 @@ def country_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: boo
     if unique_orders:
         # Each order sits under exactly one customer, so customers can be
         # counted on the way up without a second distinct pass.
-        per_customer = _order_flags(rollup).groupBy(*keys, "customer_id").agg(
-            F.count("order_id").alias("n"), F.sum("paid").alias("p"),
-            F.sum("canceled").alias("c"), F.sum("revenue").alias("r"),
-        )
-        grouped = per_customer.groupBy(*keys).agg(
-            F.count("customer_id").alias("customers"),
-            F.sum("n").cast("bigint").alias("total_orders"),
-            F.sum("p").cast("bigint").alias("paid_orders"),
-            F.sum("c").cast("bigint").alias("canceled_orders"),
-            F.sum("r").alias("_revenue"),
-        )
+        per_customer = _order_flags(rollup).groupBy(*keys, "customer_id").agg(*_exprs(
+            ("n", "count(order_id)"), ("p", "sum(paid)"), ("c", "sum(canceled)"),
+            ("r", "sum(revenue)")))
+        grouped = per_customer.groupBy(*keys).agg(*_exprs(
+            ("customers", "count(customer_id)"),
+            ("total_orders", "CAST(sum(n) AS BIGINT)"),
+            ("paid_orders", "CAST(sum(p) AS BIGINT)"),
+            ("canceled_orders", "CAST(sum(c) AS BIGINT)"),
+            ("_revenue", "sum(r)")))
     else:
         orders_part = _per_order(rollup, keys, False).groupBy(*keys).agg(*_order_counts())
         customers_part = (
@@ -244,7 +238,7 @@ def country_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: boo
         )
     out = grouped.select(
         *keys, "customers", "total_orders", "paid_orders", "canceled_orders",
-        money(F.col("_revenue")).alias("gross_revenue"),
+        *_exprs(("gross_revenue", _money_sql("_revenue"))),
     )
     return out.orderBy(*sort_keys("country_revenue")) if ordered else out
 

@@ -14,7 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import WHOLE_NUMBER_PATTERN, lenient_double
+from ledgerlark.functions.columns import (
+    WHOLE_NUMBER_PATTERN,
+    Sql,
+    lenient_double_sql,
+    lit,
+    ref,
+)
 
 # Raw file names and column types.
 RAW_FILES: dict[str, str] = {
@@ -61,8 +67,9 @@ def read_csv_text(spark: SparkSession, path: str, options: Mapping[str, str] | N
     return spark.read.options(**{**CSV_OPTIONS, **(options or {})}).csv(path)
 
 
-def _missing_to_null(c: str, tokens: Sequence[str]) -> Column:
-    return F.when(F.col(c).isin(*tokens), F.lit(None).cast("string")).otherwise(F.col(c))
+def _missing_to_null(c: str, tokens: Sequence[str]) -> Sql:
+    tokens_sql = ", ".join(lit(t) for t in tokens)
+    return Sql(f"CASE WHEN {ref(c)} IN ({tokens_sql}) THEN NULL ELSE {ref(c)} END")
 
 
 def read_source(spark: SparkSession, path: str, max_rows: int = 0,
@@ -109,21 +116,20 @@ def typed_columns(frame: DataFrame, table: str,
                   na_tokens: Sequence[str] = NA_TOKENS) -> list[Column]:
     """Declared columns cast by name from text; other columns pass through."""
     types = RAW_TYPES.get(table, {})
-    dtypes = dict(frame.dtypes)
     cols: list[Column] = []
-    for c in frame.columns:
+    for c, dtype in frame.dtypes:
         want = types.get(c)
-        if want is None or dtypes[c] != "string":
+        if want is None or dtype != "string":
             cols.append(F.col(c))
             continue
         text = _missing_to_null(c, na_tokens)
         if want == "string":
-            cols.append(text.alias(c))
+            cols.append(F.expr(text).alias(c))
         elif want == "bigint":
-            cols.append(F.when(text.rlike(WHOLE_NUMBER_PATTERN),
-                               F.trim(text).try_cast("bigint")).alias(c))
+            cols.append(F.expr(f"CASE WHEN {ref(text)} RLIKE {lit(WHOLE_NUMBER_PATTERN)} "
+                               f"THEN try_cast(trim({ref(text)}) AS BIGINT) END").alias(c))
         else:
-            cols.append(lenient_double(text).cast(want).alias(c))
+            cols.append(F.expr(f"CAST({lenient_double_sql(text)} AS {want})").alias(c))
     return cols
 
 
@@ -131,18 +137,17 @@ def violation_counters(frame: DataFrame, table: str,
                        na_tokens: Sequence[str] = NA_TOKENS) -> list[Column]:
     """Per typed column: rows whose text cannot take the declared type."""
     types = RAW_TYPES.get(table, {})
-    dtypes = dict(frame.dtypes)
     out: list[Column] = []
-    for c in frame.columns:
+    for c, dtype in frame.dtypes:
         want = types.get(c)
-        if want in (None, "string") or dtypes[c] != "string":
+        if want in (None, "string") or dtype != "string":
             continue
-        text = _missing_to_null(c, na_tokens)
+        text = ref(_missing_to_null(c, na_tokens))
         if want == "bigint":
-            bad = ~text.rlike(WHOLE_NUMBER_PATTERN)
+            bad = f"NOT ({text} RLIKE {lit(WHOLE_NUMBER_PATTERN)})"
         else:
-            bad = lenient_double(text).isNull()
-        out.append(F.count_if(text.isNotNull() & bad).alias(f"{table}.{c}"))
+            bad = f"{ref(lenient_double_sql(Sql(text)))} IS NULL"
+        out.append(F.expr(f"count_if({text} IS NOT NULL AND {bad})").alias(f"{table}.{c}"))
     return out
 
 

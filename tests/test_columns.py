@@ -80,6 +80,6 @@ def test_line_status_and_segment(spark):
 
 def test_money_round_rounds_the_binary_value(spark):
     # 1.005 is stored just below 1.005, so rounding the binary value gives 1.0.
-    assert _one(spark, C.money_round(F.col("v")), 1.005, "v double") == 1.0
-    assert _one(spark, C.money_round(F.col("v")), 2.675, "v double") == 2.68  # 267.5 exactly
-    assert _one(spark, C.money_round(F.col("v")), 0.125, "v double") == 0.13
+    assert _one(spark, C.money_round("v"), 1.005, "v double") == 1.0
+    assert _one(spark, C.money_round("v"), 2.675, "v double") == 2.68  # 267.5 exactly
+    assert _one(spark, C.money_round("v"), 0.125, "v double") == 0.13
