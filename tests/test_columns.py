@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import functions as F
 
 from ledgerlark.functions import columns as C
 
