@@ -19,7 +19,7 @@ from ledgerlark.operators import normalize
 from ledgerlark.plans.job import _parallel
 from ledgerlark.session import shared_dir
 from ledgerlark.sources import fs, sinks
-from ledgerlark.sources.files import cap_rows, read_csv_text
+from ledgerlark.sources.files import cap_rows, read_source
 
 # Output sort keys: files are sorted within partitions (cheap, no global
 # shuffle); a globally ordered export is a separate, explicit step.
@@ -51,8 +51,10 @@ def prepare_source(
         raise ValueError("fmt must be 'parquet' or 'csv'")
     if max_rows < 0:
         raise ValueError("max_rows must be zero or a positive integer")
-    frame = read_csv_text(spark, source) if isinstance(source, str) else source
-    frame = cap_rows(frame, max_rows, order_by)
+    if isinstance(source, str):
+        frame = read_source(spark, source, max_rows, order_by)
+    else:
+        frame = cap_rows(source, max_rows, order_by)
     run_id = run_id or sinks.new_run_id(sinks.utc_now())
 
     lines = normalize.parsed_lines(frame, home_country, date_formats)

@@ -81,8 +81,13 @@ def read_source(spark: SparkSession, path: str, max_rows: int = 0,
     """
     if max_rows < 0:
         raise ValueError("max_rows must be zero or a positive integer")
-    df = read_csv_text(spark, path)
-    return cap_rows(df, max_rows, order_by)
+    return cap_rows(na_to_null(read_csv_text(spark, path)), max_rows, order_by)
+
+
+def na_to_null(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+    """Text cells holding a missing-value token become null (before any trim)."""
+    return df.select(*[F.expr(_missing_to_null(c, tokens)).alias(c) if t == "string"
+                       else F.col(c) for c, t in df.dtypes])
 
 
 def cap_rows(df: DataFrame, max_rows: int, order_by: Sequence[str] | None = None) -> DataFrame:

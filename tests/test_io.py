@@ -110,3 +110,9 @@ def test_release_prune_keeps_newest_and_current(spark, tmp_path):
     assert removed == ["r2"]
     assert release.read("t").count() == 1
     assert (tmp_path / "wh" / "runs" / "r4").exists() and not (tmp_path / "wh" / "runs" / "r2").exists()
+
+
+def test_feed_scan_maps_missing_tokens(spark, tmp_path):
+    _write(tmp_path / "feed.csv", "InvoiceNo,CustomerID,Country\n1,NA,France\n2, NA ,null\n")
+    rows = files.read_source(spark, str(tmp_path / "feed.csv")).orderBy("InvoiceNo").collect()
+    assert [(r.CustomerID, r.Country) for r in rows] == [(None, "France"), (" NA ", None)]
