@@ -168,6 +168,9 @@ def _checks(kinds: set[str], dirty: bool = True) -> QueryFn:
 
 _KIND_QUERIES = {
     "structural_checks": {"table_present", "required_columns", "not_empty"},
+    "check_table_present": {"table_present"},
+    "check_required_columns": {"required_columns"},
+    "check_not_empty": {"not_empty"},
     "check_not_null": {"not_null"},
     "check_not_blank": {"not_blank"},
     "check_unique": {"unique"},
@@ -322,6 +325,20 @@ def q_gated_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.latest_run(spark, reports_root).select(*_RUN_COLUMNS)
 
 
+@register("latest_run", sql.run_summary_sql(dirty=True))
+def q_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs into one report table (a clean one, then a failing one): the
+    latest row must be the failure."""
+    root = _scratch(spark, "runs")
+    tables = DriverTables(spark, sf_dir)
+    job.run_pipeline(spark, tables.raw_tables(), f"{root}/warehouse", f"{root}/reports")
+    try:
+        job.run_pipeline(spark, tables.dirty_tables(), f"{root}/warehouse", f"{root}/reports")
+    except quality.QualityGateError:
+        pass
+    return reads.latest_run(spark, f"{root}/reports").select(*_RUN_COLUMNS)
+
+
 @register("latest_quality", sql.quality_sql(quality.DEFAULT_RULES, dirty=False))
 def q_latest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, reports_root = _gated(spark, sf_dir, dirty=False)
