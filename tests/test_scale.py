@@ -71,3 +71,21 @@ def test_measured_broadcast_and_shuffle_paths_agree(spark, tmp_path):
             for m in marts.MART_NAMES
         }
     assert results["broadcast"] == results["shuffle"]
+
+
+def test_scans_read_only_needed_columns(spark, tmp_path):
+    raw = DriverTables(spark, SF_SMALL).raw_tables()
+    fact = marts.fact_order_items(raw["customers"], raw["orders"], raw["order_items"])
+    fact.write.parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    plan = stored.select("product_id", "description", "quantity", "unit_price",
+                         "is_revenue_order").transform(marts.product_revenue)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    schema = re.search(r"FileScan parquet \[([^\]]*)\]", text).group(1)
+    assert "product_id" in schema and "quantity" in schema
+    for unused in ("customer_id", "country", "segment", "order_date", "line_value"):
+        assert unused not in schema, unused
+    daily = marts.daily_revenue(marts.order_rollup(stored), ordered=False)
+    text = daily._jdf.queryExecution().executedPlan().toString()
+    schema = re.search(r"FileScan parquet \[([^\]]*)\]", text).group(1)
+    assert "product_id" not in schema and "description" not in schema
