@@ -130,6 +130,13 @@ def latest_quality(spark: SparkSession, reports_root: str) -> DataFrame:
     return results.join(run, "run_id", "left_semi")
 
 
+def latest_report(spark: SparkSession, reports_root: str) -> DataFrame:
+    """Status, totals and critical failures of the latest run's checks (R2, Q15)."""
+    from ledgerlark.operators.quality import report_frame
+
+    return report_frame(latest_quality(spark, reports_root))
+
+
 def readiness(spark: SparkSession, out_root: str, reports_root: str) -> DataFrame:
     """``ok`` iff a run summary exists, all marts are published and the last run
     succeeded; otherwise ``degraded`` (R3)."""

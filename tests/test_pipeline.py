@@ -63,6 +63,8 @@ def test_gate_failure_keeps_release_and_persists_report(spark, raw_tables, tmp_p
     assert last.failed_checks == 1 and last.raw_rows["orders"] > 0
     checks = reads.latest_quality(spark, rep).where(~F.col("passed")).collect()
     assert [c.name for c in checks] == ["orders.required_columns"]
+    rollup = reads.latest_report(spark, rep).first()
+    assert rollup.status == "failed" and rollup.critical_failures == ["orders.required_columns"]
     assert reads.readiness(spark, out, rep).first().status == "degraded"
 
 
