@@ -383,7 +383,10 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
             release.prune(keep_releases)
         return summary
     except Exception as error:
-        logger.exception("run %s failed in stage %s", run_id, stage)
+        if isinstance(error, QualityGateError):
+            logger.warning("run %s stopped by the quality gate: %s", run_id, error)
+        else:
+            logger.exception("run %s failed in stage %s", run_id, stage)
         if ahead is not None:
             wait([ahead])  # its outcome is irrelevant once the run failed
         try:
