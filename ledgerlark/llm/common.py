@@ -25,7 +25,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     owner of ``spark.checkpoint.dir`` clears it, as with ``checkpoint()``.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,7 @@ from ledgerlark.llm.common import stash
 def _towards_minimum(arcs: DataFrame, keep: str) -> DataFrame:
     """Send every arc (u, v) with ``keep`` to the least of u and its neighbours."""
     least = arcs.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    least = stash(least.select("u", F.least("u", "m").alias("m")), "least")  # splits hot hubs
     return arcs.where(keep).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 

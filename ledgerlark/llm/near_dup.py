@@ -191,9 +191,9 @@ def across_components(buckets: DataFrame, nodes: DataFrame, comps: DataFrame,
     labelled = buckets.join(comps.withColumnRenamed("component", "comp"), "id", "left").select(
         "key", "id", F.coalesce("comp", "id").alias("comp"))
     labelled = stash(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(
+    mixed = stash(labelled.groupBy("key").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")
-    ).where("lo != hi").select("key", F.ceil(F.col("m") / BLOCK_MEMBERS).alias("blocks"))
+    ).where("lo != hi").select("key", F.ceil(F.col("m") / BLOCK_MEMBERS).alias("blocks")), "mixed")
     members = labelled.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     members = members.join(nodes, "id").select(
         "key", "id", "comp", "n", "sketch", "block",
@@ -217,8 +217,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     nodes = signed.join(stands, ["doc_id", "content"]).select(
         F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch")
     rows = nodes.select("id", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")
-                                     ).where("least != most")
+    # Written, so that the joins on it have plain shuffles, whose hot keys Spark splits.
+    shared = stash(rows.groupBy("key").agg(
+        F.min("id").alias("least"), F.max("id").alias("most")
+    ).where("least != most").select("key", "least"), "shared")
     buckets = stash(rows.join(shared, "key").select("key", "id", "least"), "buckets")
     met = buckets.select("id").distinct()
     nodes = stash(nodes.select("id", "n", "sketch").dropDuplicates(["id"]).join(met, "id"), "nodes")
