@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import chunks
+from ledgerlark.llm.common import chunks, schema_with
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -101,13 +101,16 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, bytes
 
 
 def _scan(docs: DataFrame, items: list[tuple[str, bytes | None]], window: int) -> DataFrame:
+    """``docs`` with n_words, spans and items."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
+    found = ("n_words", "spans", "items")
+    names = [c for c in docs.columns if c not in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = WuManber(strings_of(shared.value, window))
         for batch in batches:
             for rows, texts in chunks(batch, "text"):
-                counts, spans, found = [], [], []
+                counts, spans, items = [], [], []
                 for text in texts:
                     words = words_of(text)
                     hits, ids = set(), set()
@@ -116,16 +119,23 @@ def _scan(docs: DataFrame, items: list[tuple[str, bytes | None]], window: int) -
                         ids.update(search.owners[string])
                     counts.append(len(words))
                     spans.append(united(sorted(hits)))
-                    found.append(sorted(ids))
+                    items.append(sorted(ids))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(counts, pa.int64()),
+                    [*rows.columns, pa.array(counts, pa.int64()),
                      pa.array(spans, pa.list_(pa.list_(pa.int64()))),
-                     pa.array(found, pa.list_(pa.string()))],
-                    names=["doc_id", "n_words", "spans", "items"])
+                     pa.array(items, pa.list_(pa.string()))], names=[*names, *found])
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, "
-             "spans array<array<long>>, items array<string>")
+    return docs.select(*names).mapInArrow(run, schema_with(
+        docs, (), "n_words long", "spans array<array<long>>", "items array<string>"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                         block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that hold no test string, one pass a block of strings."""
+    kept = docs
+    for block in _blocks(benchmark, block_words):
+        kept = _scan(kept, block, window).where("size(spans) = 0").select(*docs.columns)
+    return kept
 
 
 def united(spans: list) -> list[list[int]]:
@@ -142,7 +152,9 @@ def united(spans: list) -> list[list[int]]:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, spans (hit word runs [start, end)) and items (sorted ids)."""
-    scans = [_scan(docs, block, window) for block in _blocks(benchmark, block_words)]
+    texts = docs.select("doc_id", F.col("text").cast("string"))
+    scans = [_scan(texts, block, window).drop("text")
+             for block in _blocks(benchmark, block_words)]
     if len(scans) == 1:
         return scans[0]
     # Several blocks: rows of one document meet by its id and word count.

@@ -258,8 +258,8 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return whole
 
 
-def _cut(length: int):
-    """The spans to remove, and the bytes left."""
+def _cut(length: int, as_text: bool):
+    """The spans to remove, and what is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,21 +273,22 @@ def _cut(length: int):
                     cover = merged([(a, b + length - 1) for a, b in starts])
                     spans.append([[a, b + 1] for a, b in cover])
                     ends = [0, *(x for a, b in cover for x in (a, b + 1)), len(text or b"")]
-                    kept.append(b"".join((text or b"")[a:b] for a, b in zip(ends[::2], ends[1::2])))
+                    left = b"".join((text or b"")[a:b] for a, b in zip(ends[::2], ends[1::2]))
+                    kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 skip = ("text", "sure", "found")
                 names = [n for n in rows.schema.names if n not in skip]
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(rows.schema.get_field_index(n)) for n in names),
                      pa.array(spans, pa.list_(pa.list_(pa.int64()))),
                      pa.array([len(t or b"") for t in texts], pa.int64()),
-                     pa.array(kept, pa.binary())], names=[*names, "spans", "n_bytes", "kept"])
+                     pa.array(kept, pa.string() if as_text else pa.binary())], names=[*names, "spans", "n_bytes", "kept"])
 
     return run
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False) -> DataFrame:
     """``docs`` with ``text`` replaced by spans (removed byte runs [start, end)), n_bytes
-    and kept (the bytes left)."""
+    and kept: the bytes left, or as text, without characters that were cut in two."""
     if length < REACH + GRAM:
         raise ValueError(f"length must be at least {REACH + GRAM}")
     others = [c for c in docs.columns if c != "text"]
@@ -326,7 +327,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     cut = touched.union(untouched)
     row_type = renamed.schema["row"].dataType.simpleString()
     result = cut.mapInArrow(
-        _cut(length), f"row {row_type}, spans array<array<long>>, n_bytes long, kept binary")
+        _cut(length, as_text), f"row {row_type}, spans array<array<long>>, n_bytes long, "
+        f"kept {'string' if as_text else 'binary'}")
     return result.select("row.*", "spans", "n_bytes", "kept")
 
 
