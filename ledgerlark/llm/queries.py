@@ -133,12 +133,12 @@ s AS (
     range(1, greatest(len(ws) - 10, 0) + 2), lambda j: array_to_string(ws[j:j + 9], ' '))) AS t
   FROM i WHERE len(ws) > 0),
 d AS (
-  SELECT doc_id, k, at, array_to_string(ws[at:at + k - 1], ' ') AS t
-  FROM (SELECT w.doc_id, w.ws, z.k, unnest(range(1, len(w.ws) - z.k + 2)) AS at
+  SELECT doc_id, k, first, array_to_string(ws[first:first + k - 1], ' ') AS t
+  FROM (SELECT w.doc_id, w.ws, z.k, unnest(range(1, len(w.ws) - z.k + 2)) AS first
         FROM w, (SELECT DISTINCT k FROM s) z)),
-m AS (SELECT d.doc_id, d.at, d.k, s.item_id FROM d JOIN s ON s.t = d.t AND s.k = d.k),
+m AS (SELECT d.doc_id, d.first, d.k, s.item_id FROM d JOIN s ON s.t = d.t AND s.k = d.k),
 h AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
-  SELECT doc_id, unnest(range(at, at + k)) AS p FROM m) GROUP BY doc_id),
+  SELECT doc_id, unnest(range(first, first + k)) AS p FROM m) GROUP BY doc_id),
 o AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS ids FROM (
   SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM m) GROUP BY doc_id)
 SELECT w.doc_id, len(w.ws) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(o.n, 0) AS n_items,
