@@ -4,13 +4,14 @@ Each distinct word sequence is one class of documents, stood for by its least id
 Classes whose MinHash values agree in one band meet in a bucket.  A candidate pair is
 first judged by its odd sketches: every MinHash sample flips one bit of a bitmap, so
 the bits in which two bitmaps differ are at most twice the samples that differ.  Pairs
-beyond what the asked similarity allows (chance below 1e-12) go; all others are
+beyond what the asked similarity allows (chance below 1e-9) go; all others are
 confirmed on their full shingle sets.
 
 Buckets are never paired off whole.  First each member meets the bucket's least member
 (one pair a member), and the confirmed links are contracted to components.  Only
 buckets that still hold several components are compared further, block by block, and
-only across components: a link within one cannot change the result.
+only across components: a link within one cannot change the result.  There the sets are
+intersected in place, so that a large group of almost-duplicates costs no emitted pairs.
 
 A pair at the asked similarity shares no band with chance (1 - 0.85^5)^26 = 2.4e-7.
 
@@ -38,13 +39,13 @@ U = np.uint64
 SHINGLE_WORDS = 5
 BANDS, BAND_ROWS = 26, 5
 SKETCH_BITS = 1024
-BLOCK_MEMBERS = 256
+BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 200_000
 _HASHES = BANDS * BAND_ROWS
 _SEEDS = mix(np.arange(1, 2 * _HASHES + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
 _FLIP, _TIMES = _SEEDS[:_HASHES, None], _SEEDS[_HASHES:, None] | U(1)
 
 
-def most_differing_bits(percent: int, chance: float = 1e-12) -> int:
+def most_differing_bits(percent: int, chance: float = 1e-9) -> int:
     """Bits by which two sketches of documents at ``percent`` similarity differ at
     most, but for ``chance``: two for each differing sample."""
     miss = 1 - percent / 100
@@ -157,53 +158,81 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long")
 
 
+def common_counts(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Set bits that a row has in common with each of many rows."""
+    return np.bitwise_count(many & one).sum(axis=1, dtype=np.int64)
+
+
+def incidence(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of bits for each set: the members it has of all."""
+    members = np.unique(np.concatenate(sets))
+    bits = np.zeros((len(sets), -(-len(members) // 64) * 64), np.uint8)
+    for row, one in enumerate(sets):
+        bits[row, np.searchsorted(members, one)] = 1
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
 def _across(percent: int):
-    """Pairs of one bucket's blocks: other component, sizes and sketches that allow it."""
+    """Links between members of two blocks of one bucket (or of one) that lie in other
+    components; a pair is looked at in the first band it shares only."""
     bits_allowed = most_differing_bits(percent)
 
     def run(rows: pa.Table) -> pa.Table:
-        ids, comps, n, side = (rows.column(c).to_numpy() for c in ("id", "comp", "n", "side"))
+        rows = rows.combine_chunks()
+        ids, comps, n, side, band = (rows.column(c).to_numpy()
+                                     for c in ("id", "comp", "n", "side", "band"))
         sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64)
         sketch = sketch.reshape(len(ids), -1)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        keys = rows.column("bands").chunk(0).flatten().to_numpy().reshape(len(ids), BANDS)
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        likely: list[tuple[int, np.ndarray]] = []
         for i in left:
-            j = right[(comps[right] != comps[i]) & (ids[right] != ids[i])]
-            if (side == 2).all():
-                j = j[ids[j] > ids[i]]
+            j = right[(comps[right] != comps[i]) & ((side[i] != 2) | (ids[right] > ids[i]))]
             j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
             j = j[np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1) <= bits_allowed]
-            found.append((np.minimum(ids[j], ids[i]), np.maximum(ids[j], ids[i])))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64)
-                for k in (0, 1))
-        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64)})
+            j = j[np.argmax(keys[j] == keys[i], axis=1) == band[i]]
+            if len(j):
+                likely.append((i, j))
+        a, b = [], []
+        if likely:
+            used = np.unique(np.concatenate([np.append(j, i) for i, j in likely]))
+            hashes = WordHashes()
+            texts = rows.column("text").take(pa.array(used)).to_pylist()
+            bits = incidence([shingle_set(hashes.of(split_words(t)), SHINGLE_WORDS)
+                              for t in texts])
+            for i, j in likely:
+                common = common_counts(bits[np.searchsorted(used, i)],
+                                       bits[np.searchsorted(used, j)])
+                j = j[100 * common >= percent * (n[i] + n[j] - common)]
+                a.extend(np.minimum(ids[j], ids[i]).tolist())
+                b.extend(np.maximum(ids[j], ids[i]).tolist())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def across_components(buckets: DataFrame, nodes: DataFrame, comps: DataFrame,
+def across_components(buckets: DataFrame, nodes: DataFrame, texts: DataFrame, comps: DataFrame,
                       percent: int) -> DataFrame:
-    """Likely pairs of one bucket but different components, distinct.
+    """Links between members of one bucket but different components.
 
-    A bucket is cut into blocks of about BLOCK_MEMBERS members; every two blocks meet
-    once.  No task holds more than two blocks of a bucket.
+    A bucket is cut into blocks of about BLOCK_MEMBERS members and BLOCK_SHINGLES
+    shingles; every two blocks meet once and emit links only.
     """
     labelled = buckets.join(comps.withColumnRenamed("component", "comp"), "id", "left").select(
-        "key", "id", F.coalesce("comp", "id").alias("comp"))
-    labelled = stash(labelled, "labelled")
+        "key", "band", "id", F.coalesce("comp", "id").alias("comp"))
+    labelled = stash(labelled.join(nodes.select("id", "n"), "id"), "labelled")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n") / BLOCK_SHINGLES))
     mixed = stash(labelled.groupBy("key").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")
-    ).where("lo != hi").select("key", F.ceil(F.col("m") / BLOCK_MEMBERS).alias("blocks")), "mixed")
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), blocks.alias("blocks")
+    ).where("lo != hi").select("key", "blocks"), "mixed")
     members = labelled.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
-    members = members.join(nodes, "id").select(
-        "key", "id", "comp", "n", "sketch", "block",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    members = members.join(nodes.drop("n"), "id").join(texts, "id").withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     placed = members.select(
-        "id", "comp", "n", "sketch", "key", F.least("block", "other").alias("p"),
-        F.greatest("block", "other").alias("q"),
+        "id", "comp", "n", "band", "bands", "sketch", "text", "key",
+        F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
         F.expr("CASE WHEN block = other THEN 2 WHEN block < other THEN 0 ELSE 1 END").alias("side"))
-    return placed.groupBy("key", "p", "q").applyInArrow(
-        _across(percent), "a long, b long").distinct()
+    return placed.groupBy("key", "p", "q").applyInArrow(_across(percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -216,14 +245,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     stands = classes.select(F.col("id").alias("doc_id"), "content")
     nodes = signed.join(stands, ["doc_id", "content"]).select(
         F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch")
-    rows = nodes.select("id", F.explode("bands").alias("key"))
+    rows = nodes.select("id", F.posexplode("bands").alias("band", "key"))
     # Written, so that the joins on it have plain shuffles, whose hot keys Spark splits.
     shared = stash(rows.groupBy("key").agg(
         F.min("id").alias("least"), F.max("id").alias("most")
     ).where("least != most").select("key", "least"), "shared")
-    buckets = stash(rows.join(shared, "key").select("key", "id", "least"), "buckets")
+    buckets = stash(rows.join(shared, "key").select("key", "band", "id", "least"), "buckets")
     met = buckets.select("id").distinct()
-    nodes = stash(nodes.select("id", "n", "sketch").dropDuplicates(["id"]).join(met, "id"), "nodes")
+    nodes = stash(nodes.dropDuplicates(["id"]).join(met, "id"), "nodes")
     texts = stash(docs.select(F.col("doc_id").cast("long").alias("id"),
                               F.col("text").cast("binary").alias("text")).join(met, "id")
                   .dropDuplicates(["id"]), "texts")
@@ -232,8 +261,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     links = stash(confirm(likely(first, nodes, percent), texts, percent), "confirmed")
     comps = stash(connected_components(links), "components")
-    rest = across_components(buckets.select("key", "id"), nodes, comps, percent)
-    more = stash(confirm(rest, texts, percent), "confirmed")
+    more = stash(across_components(
+        buckets.select("key", "band", "id"), nodes, texts, comps, percent), "links")
     if more.take(1):
         comps = stash(connected_components(links.union(more)), "components")
 
