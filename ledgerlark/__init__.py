@@ -6,7 +6,6 @@ Layout
 ``sources``    scans of the source feed and raw tables, sinks, staged publish
 ``operators``  normalisation, quality gate, warehouse marts, mart reads
 ``plans``      the gated batch job and the query catalogue
-``streaming``  the same gate applied per micro-batch of a file stream
 """
 
 from ledgerlark.session import build_session, shared_dir

@@ -59,7 +59,7 @@ _SPACE_CODES = "array(" + ", ".join(str(ord(ch)) for ch in SPACE_CHARS) + ")"
 NUMBER_PATTERN = (
     r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 )
-WHOLE_NUMBER_PATTERN = r"^\s*[+-]?\d+\s*$"
+WHOLE_NUMBER_PATTERN = r"^\s*[+-]?\d+(?:\.0*)?\s*$"
 # The special words a lenient parse accepts, lower case.
 _SPECIAL_NUMBERS = ("inf", "infinity", "nan")
 # Letters that never occur in plain decimal or exponent text.
@@ -150,8 +150,13 @@ def whole_sql(c: Ref) -> Sql:
     return Sql(f"{finite_sql(c)} AND coalesce({x} % 1.0D = 0.0D, false)")
 
 
+# The warehouse keeps quantities as 32-bit integers; one beyond is not valid.
+MOST_QUANTITY = 2147483647.0
+
+
 def valid_quantity_sql(c: Ref) -> Sql:
-    return Sql(f"{whole_sql(c)} AND coalesce({ref(c)} <> 0.0D, false)")
+    return Sql(f"{whole_sql(c)} AND coalesce({ref(c)} <> 0.0D AND "
+               f"abs({ref(c)}) <= {MOST_QUANTITY}D, false)")
 
 
 def positive_finite_sql(c: Ref) -> Sql:

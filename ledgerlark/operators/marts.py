@@ -6,7 +6,7 @@ Plan shape
   items on ``order_id``).  No hints: AQE turns a join into a broadcast only
   from measured sizes, and splits skewed partitions when one order or one
   customer carries a large share of the rows.
-* Money is summed exactly as ``DECIMAL(quantity) * DECIMAL(18,6)(price)``, so
+* Money is summed exactly as ``DECIMAL(quantity) * DECIMAL(27,12)(price)``, so
   the totals do not depend on partitioning or summation order.
 * Distinct order counts never use ``count(DISTINCT ...)``: with three distinct
   expressions Catalyst plans an ``Expand`` that multiplies the input rows.
@@ -66,8 +66,9 @@ def sort_keys(mart: str) -> list[Column]:
 
 
 # Exact paid revenue of a fact line; 0 for unpaid lines, null if unknown.
-LINE_REVENUE_SQL = ("CAST(quantity AS DECIMAL(10,0)) * CAST(unit_price AS DECIMAL(18,6)) "
-                    "* CAST(is_revenue_order AS DECIMAL(1,0))")
+# Twelve decimals and prices below 10^15 keep every factor and product exact.
+LINE_REVENUE_SQL = ("CASE WHEN is_revenue_order = 1 THEN CAST(quantity AS DECIMAL(10,0)) "
+                    "* CAST(unit_price AS DECIMAL(27,12)) ELSE 0 END")
 
 
 def _money_sql(total: str) -> str:
@@ -124,7 +125,7 @@ def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFr
     uses it.
     """
     line_value = (F.col("quantity").cast("int").cast("decimal(10,0)")
-                  * F.col("unit_price").cast("double").cast("decimal(18,6)"))
+                  * F.col("unit_price").cast("double").cast("decimal(27,12)"))
     per_order = items.groupBy("order_id").agg(
         F.sum(line_value).alias("_gross"), F.count(F.lit(1)).alias("lines"))
     o = orders.select("order_id", "customer_id", "order_date", "status")
@@ -133,7 +134,7 @@ def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFr
     return joined.select(
         "order_id", "customer_id", "country", "segment",
         F.col("order_date").cast("date").alias("order_date"), "status",
-        (F.col("_gross") * revenue_flag("status").cast("decimal(1,0)")).alias("revenue"),
+        F.when(revenue_flag("status") == 1, F.col("_gross")).otherwise(F.lit(0)).alias("revenue"),
         "lines",
     )
 

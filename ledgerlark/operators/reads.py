@@ -1,19 +1,20 @@
 """Reads over published marts and report tables.
 
-A page is ``orderBy(mart order).offset(o).limit(n)``, which plans as a
-per-partition top-(o+n) followed by one small merge, so a page never sorts or
-collects the whole mart.  Latest-run lookups use ``max_by`` (one partial
+Marts are published in two forms: as built, and in their published order with each
+row's position.  A page of any depth is a filter on stored positions.  Latest-run lookups use ``max_by`` (one partial
 aggregate), never a sort of the run history.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.marts import MART_NAMES, sort_keys
+from ledgerlark.session import shared_dir
 from ledgerlark.sources import fs
 from ledgerlark.sources.sinks import Release, report_paths
 
@@ -45,51 +46,42 @@ def check_bounds(limit: int, offset: int) -> None:
         raise ValueError("offset must be zero or positive")
 
 
-# Up to this many leading rows a page is an ordered top-k; deeper pages are
-# located by position so no task holds ``offset + limit`` rows.
-TOP_K_ROWS = 100_000
+def write_positions(mart_df: DataFrame, mart: str, path: str) -> None:
+    """Store a mart in its published order, each row with its place.
 
+    One range sort; partition and place in it are written by the tasks that sorted
+    them, so every later read sees the same positions."""
+    ordered = mart_df.orderBy(*sort_keys(mart))
+    ordered.select("*", F.spark_partition_id().alias("_part"),
+                   (F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).alias("_place")
+                   ).write.mode("overwrite").parquet(path)
 
-def page(mart_df: DataFrame, mart: str, limit: int = DEFAULT_LIMIT, offset: int = 0,
-         top_k_rows: int = TOP_K_ROWS) -> DataFrame:
-    """Rows ``[offset, offset + limit)`` of a mart in its published order.
 
-    Shallow pages plan as ``TakeOrderedAndProject`` (each partition keeps its
-    best ``offset + limit`` rows).  Deep pages sort by range once, count rows
-    per sorted partition (one small row each), and keep only the partitions
-    and positions that fall inside the page.  The mart order is total (its
-    keys end in the mart's grouping key), so both passes see the same order.
-    """
+def stored_page(stored: DataFrame, mart: str, limit: int = DEFAULT_LIMIT,
+                offset: int = 0) -> tuple[DataFrame, int]:
+    """Rows ``[offset, offset + limit)`` of a mart stored with positions, and its size.
+
+    The driver sees one count a partition; the page is a pushed-down filter on the
+    partitions and places it covers, whatever the offset."""
+    check_bounds(limit, offset)
+    counts = stored.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect()
+    total, wanted = 0, F.lit(False)
+    for part in counts:
+        first, last = max(offset - total, 0), min(offset + limit - total, part["n"]) - 1
+        if first <= last:
+            wanted |= (F.col("_part") == part["_part"]) & F.col("_place").between(first, last)
+        total += part["n"]
+    rows = stored.where(wanted).orderBy("_part", "_place").drop("_part", "_place")
+    return rows, total
+
+
+def page(mart_df: DataFrame, mart: str, limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:
+    """A page of a mart that is not published: it is stored with positions first."""
     check_bounds(limit, offset)
-    keys = sort_keys(mart)
-    if offset + limit <= top_k_rows:
-        ordered = mart_df.orderBy(*keys)
-        return (ordered.offset(offset) if offset else ordered).limit(limit)
-    return _positional_page(mart_df, keys, limit, offset)
-
-
-def _positional_page(df: DataFrame, keys, limit: int, offset: int) -> DataFrame:
-    # monotonically_increasing_id() is (partition << 33) + row index within the
-    # partition, assigned in the sorted order of the same stage.
-    located = df.orderBy(*keys).select(
-        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
-    counts = sorted((r["_part"], r["n"]) for r in
-                    located.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
-    starts, wanted, seen = {}, [], 0
-    for part, n in counts:
-        if seen < offset + limit and seen + n > offset:
-            starts[part] = seen
-            wanted.append(part)
-        seen += n
-    if not wanted:
-        return df.limit(0)
-    start_of = F.lit(0)
-    for part in wanted:
-        start_of = F.when(F.col("_part") == part, F.lit(starts[part])).otherwise(start_of)
-    position = start_of + (F.col("_id") - F.shiftleft(F.col("_part").cast("bigint"), 33))
-    return (located.where(F.col("_part").isin(*wanted))
-            .where((position >= offset) & (position < offset + limit))
-            .orderBy(*keys).drop("_part", "_id"))
+    spark = mart_df.sparkSession
+    path = f"{shared_dir(spark)}/ledgerlark-pages/{mart}-{uuid.uuid4().hex}"
+    write_positions(mart_df, mart, path)
+    return stored_page(spark.read.parquet(path), mart, limit, offset)[0]
 
 
 def page_records(rows: DataFrame) -> DataFrame:
@@ -111,15 +103,15 @@ def read_mart_page(spark: SparkSession, out_root: str, mart: str, limit: int = D
     if table not in MART_NAMES:
         raise KeyError(f"Unknown mart: {mart}")
     check_bounds(limit, offset)
-    df = Release(spark, out_root).read(f"marts/{table}")
-    return MartPage(mart, df.count(), limit, offset, page(df, table, limit, offset))
+    rows, total = stored_page(Release(spark, out_root).read(f"pages/{table}"), table, limit, offset)
+    return MartPage(mart, total, limit, offset, rows)
 
 
 def latest_run(spark: SparkSession, reports_root: str) -> DataFrame:
     """The most recent ``pipeline_runs`` row (R2)."""
     runs = spark.read.parquet(report_paths(reports_root)["pipeline_runs"])
     cols = [c for c in runs.columns]
-    best = runs.agg(F.max_by(F.struct(*cols), F.struct("started_at", "run_id")).alias("r"))
+    best = runs.agg(F.max_by(F.struct(*cols), F.struct("started_at", "finished_at", "run_id")).alias("r"))
     return best.select("r.*")
 
 

@@ -251,6 +251,33 @@ def q_mart_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.page(daily, "daily_revenue", PAGE_LIMIT, PAGE_OFFSET)
 
 
+@register("mart_page_deep", sql.deep_page_sql("customer_revenue", PAGE_LIMIT))
+def q_mart_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page that begins at two thirds of the mart, and the mart's size."""
+    frame = marts.customer_revenue(marts.order_rollup(_fact(spark, sf_dir)), ordered=False)
+    path = _scratch(spark, "deep-page")
+    reads.write_positions(frame.repartition(8), "customer_revenue", path)
+    stored = spark.read.parquet(path)
+    rows, total = reads.stored_page(stored, "customer_revenue", PAGE_LIMIT,
+                                    2 * stored.count() // 3)
+    return rows.withColumn("total", F.lit(total).cast("long"))
+
+
+@register("invalid_domain_values", sql.invalid_domain_sql(quality.DEFAULT_RULES))
+def q_invalid_domain_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _engine(spark, sf_dir).invalid_domain_values().drop("check_no")
+
+
+@register("csv_round_trip_dirty", sql.DIRTY + "SELECT * FROM dirty_order_items")
+def q_csv_round_trip_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty items through a CSV and back, every cell as text."""
+    frame = DriverTables(spark, sf_dir).dirty_tables()["order_items"]
+    path = _scratch(spark, "csv-dirty")
+    sinks.write_csv(frame, path)
+    return files.read_csv_text(spark, path, {"multiLine": "true"}).select(
+        *(F.col(c).cast(t) for c, t in frame.dtypes))
+
+
 @register("mart_page_customers", sql.page_sql("customer_revenue", PAGE_LIMIT, PAGE_OFFSET))
 def q_mart_page_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = marts.customer_revenue(marts.order_rollup(_fact(spark, sf_dir)), ordered=False)
@@ -345,7 +372,7 @@ def q_latest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.latest_quality(spark, reports_root).select(*_CHECK_COLUMNS)
 
 
-@register("readiness")
+@register("readiness", sql.readiness_sql(quality.DEFAULT_RULES))
 def q_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
     out_root, reports_root = _gated(spark, sf_dir, dirty=False)
     return reads.readiness(spark, out_root, reports_root).select(

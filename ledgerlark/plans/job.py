@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.operators import marts as mart_ops
+from ledgerlark.operators.reads import write_positions
 from ledgerlark.operators.quality import (
     CRITICAL,
     DEFAULT_RULES,
@@ -37,7 +38,7 @@ from ledgerlark.operators.quality import (
     QualityEngine,
     QualityGateError,
     QualityRules,
-    report,
+    tallies,
 )
 from ledgerlark.session import shared_dir
 from ledgerlark.sources import files, fs, sinks
@@ -78,12 +79,45 @@ class Warehouse:
     outputs: dict[str, str]
 
 
-def _quality_summary(rep: Mapping[str, Any]) -> dict[str, int]:
-    return {k: int(rep[k]) for k in ("total_checks", "passed_checks", "failed_checks")}
+@dataclass
+class RunRecord:
+    """One row of ``pipeline_runs`` in the making: each stage adds what it knows, and
+    closing the record, with or without an error, gives the row (P3, P4)."""
+
+    run_id: str
+    started: datetime
+    stage: str = "quality"
+    raw_rows: dict[str, int] = field(default_factory=dict)
+    tallies: dict[str, int] = field(
+        default_factory=lambda: tallies(()))
+    marts: dict[str, dict[str, Any]] = field(default_factory=dict)
+    outputs: dict[str, str] = field(default_factory=dict)
+
+    def checked(self, checks: list[CheckResult], raw_rows: Mapping[str, int],
+                reports_root: str) -> None:
+        self.raw_rows, self.tallies = dict(raw_rows), tallies(checks)
+        self.outputs["quality_report"] = sinks.report_paths(reports_root)["quality_results"]
+
+    def close(self, error: BaseException | None = None) -> dict[str, Any]:
+        end = utc_now()
+        return self.tallies | {
+            "run_id": self.run_id,
+            "status": "success" if error is None else "failed",
+            "started_at": iso_millis(self.started),
+            "finished_at": iso_millis(end),
+            "duration_seconds": round((end - self.started).total_seconds(), 3),
+            "failed_stage": None if error is None else self.stage,
+            "raw_rows": self.raw_rows,
+            "marts": self.marts,
+            "outputs": dict(self.outputs),
+            "error_type": None if error is None else type(error).__name__,
+            "error_message": None if error is None else str(error),
+        }
 
 
 def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, release: Release,
                      run_id: str, raw_format: str = "parquet",
+                     csv_options: Mapping[str, str] | None = None,
                      ) -> tuple[dict[str, DataFrame], dict[str, int], dict[str, int]]:
     """Type the raw tables once and write them as Parquet copies in the run
     folder (S2, S3).  Row counts, measured bytes and type violations are
@@ -137,10 +171,11 @@ def measured_bytes(frame: DataFrame) -> Column:
 
 
 def load_unstaged(spark: SparkSession, raw: Mapping[str, DataFrame] | str,
-                  raw_format: str = "parquet") -> dict[str, DataFrame]:
+                  raw_format: str = "parquet",
+                  csv_options: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """Raw tables used in place, without staged copies."""
     if isinstance(raw, str):
-        loaded = files.load_raw_tables(spark, raw, raw_format)
+        loaded = files.load_raw_tables(spark, raw, raw_format, csv_options=csv_options)
         loaded.verify()
         return loaded.frames
     return dict(raw)
@@ -151,15 +186,22 @@ def check_and_report(spark: SparkSession, tables: Mapping[str, DataFrame], repor
                      raw_rows: Mapping[str, int] | None = None,
                      raw_bytes: Mapping[str, int] | None = None) -> Validation:
     """Run every check, always persist the report rows, then gate."""
-    checks = QualityEngine(tables, rules).run()
+    engine = QualityEngine(tables, rules)
+    checks = engine.run()
+    domain_checks = {s.name for s in engine.specs if s.kind == "accepted_values"}
     rows = dict(raw_rows or {}) or {c.name.split(".")[0]: int(c.details.get("rows", 0))
                                     for c in checks if c.name.endswith(".not_empty")}
-    rep = report(checks)
     path = sinks.append_quality_results(spark, reports_root, run_id, iso_millis(utc_now()), checks)
-    validation = Validation(run_id, started_at, rows, checks, _quality_summary(rep),
+    validation = Validation(run_id, started_at, rows, checks, tallies(checks),
                             {"quality_report": path}, dict(tables), dict(raw_bytes or {}))
-    if rep["status"] == "failed":
-        raise QualityGateError(checks, rows)
+    gate = QualityGateError(checks, rows)
+    if any(not c.passed and c.name in domain_checks for c in checks):
+        whole = engine.invalid_domain_values().withColumns(
+            {"run_id": F.lit(run_id), "run_date": F.lit(started_at[:10])})
+        whole.write.mode("append").partitionBy("run_date").parquet(
+            sinks.report_paths(reports_root)["invalid_values"])
+    if gate.blocking:
+        raise gate
     return validation
 
 
@@ -270,6 +312,7 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     def write_mart(name: str, frame: DataFrame) -> dict[str, Any]:
         path = release.table_path(run_id, f"marts/{name}")
         rows = sinks.write_table(frame, path, count_rows=True)
+        write_positions(spark.read.parquet(path), name, release.table_path(run_id, f"pages/{name}"))
         if export_csv:
             ordered = spark.read.parquet(path).orderBy(*mart_ops.sort_keys(name))
             write_csv(ordered, release.table_path(run_id, f"export/{name}.csv"))
@@ -285,58 +328,12 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     return Warehouse(marts=written, outputs=outputs)
 
 
-def _summary(run_id: str, started_at: str, status: str, failed_stage: str | None,
-             raw_rows: Mapping[str, int], quality: Mapping[str, int],
-             marts: Mapping[str, Any], outputs: Mapping[str, str],
-             error: BaseException | None) -> dict[str, Any]:
-    finished = utc_now()
-    started = datetime.fromisoformat(started_at.replace("Z", "+00:00"))
-    return {
-        "run_id": run_id,
-        "status": status,
-        "started_at": started_at,
-        "finished_at": iso_millis(finished),
-        "duration_seconds": round((finished - started).total_seconds(), 3),
-        "failed_stage": failed_stage,
-        "raw_rows": dict(raw_rows),
-        "total_checks": int(quality.get("total_checks", 0)),
-        "passed_checks": int(quality.get("passed_checks", 0)),
-        "failed_checks": int(quality.get("failed_checks", 0)),
-        "marts": {k: {"rows": int(v["rows"]), "columns": list(v["columns"])}
-                  for k, v in marts.items()},
-        "outputs": dict(outputs),
-        "error_type": type(error).__name__ if error else None,
-        "error_message": str(error) if error else None,
-    }
-
-
-def failure_summary(run_id: str, started_at: str, stage: str, error: BaseException,
-                    validation: Validation | None, warehouse: Warehouse | None,
-                    reports_root: str) -> dict[str, Any]:
-    """Counts come from the gate error, else from validation, else are empty."""
-    if isinstance(error, QualityGateError):
-        raw_rows = error.raw_rows
-        quality = _quality_summary(report(error.checks))
-    elif validation is not None:
-        raw_rows, quality = validation.raw_rows, validation.quality
-    else:
-        raw_rows, quality = {}, {}
-    outputs: dict[str, str] = {}
-    if validation is not None:
-        outputs.update(validation.outputs)
-    if warehouse is not None:
-        outputs.update(warehouse.outputs)
-    if isinstance(error, QualityGateError):
-        outputs.setdefault("quality_report", sinks.report_paths(reports_root)["quality_results"])
-    return _summary(run_id, started_at, "failed", stage, raw_rows, quality,
-                    warehouse.marts if warehouse else {}, outputs, error)
-
-
 def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_root: str,
                  reports_root: str, *, rules: QualityRules = DEFAULT_RULES,
                  raw_format: str = "parquet", export_csv: bool = False, copy_raw: bool = True,
                  overlap: bool = False, run_id: str | None = None,
-                 keep_releases: int = 2) -> dict[str, Any]:
+                 keep_releases: int = 0,
+                 csv_options: Mapping[str, str] | None = None) -> dict[str, Any]:
     """Gated run (P5).  Returns the success summary or re-raises the failure.
 
     ``overlap`` (off by default) writes the fact and rollup while the checks
@@ -347,52 +344,50 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
     duplicated keys would start a fan-out join that the sequential order
     prevents.  On 8 local cores it saved little (the cores were saturated).
 
-    After a successful publish all but the newest ``keep_releases`` run folders
-    are deleted (0 keeps every run)."""
+    With ``keep_releases`` above 0, all but the newest that many run folders are
+    deleted after a successful run; by default every run stays.  ``csv_options``
+    override the CSV reader's defaults (``{"multiLine": "true"}``)."""
     started = utc_now()
-    run_id = run_id or new_run_id(started)
-    started_at = iso_millis(started)
+    record = RunRecord(run_id or new_run_id(started), started)
+    run_id, started_at = record.run_id, iso_millis(started)
     release = Release(spark, out_root)
-    stage = "quality"
-    validation: Validation | None = None
-    warehouse: Warehouse | None = None
+    if release.current_run() == run_id:
+        raise ValueError(f"run {run_id} is published already")
     ahead: Future | None = None
     pool = ThreadPoolExecutor(max_workers=1)
     try:
         if copy_raw:
             tables, raw_rows, raw_bytes = stage_raw_tables(spark, raw, release, run_id,
-                                                           raw_format)
+                                                           raw_format, csv_options)
             if overlap and keys_proven_by(rules) and _has_warehouse_inputs(tables):
                 ahead = pool.submit(build_base, spark, tables, raw_bytes, release, run_id, True)
             validation = check_and_report(spark, tables, reports_root, run_id, started_at,
                                           rules, raw_rows, raw_bytes)
         else:
-            validation = check_and_report(spark, load_unstaged(spark, raw, raw_format),
-                                          reports_root, run_id, started_at, rules)
-        stage = "warehouse"
+            validation = check_and_report(
+                spark, load_unstaged(spark, raw, raw_format, csv_options), reports_root, run_id,
+                started_at, rules)
+        record.checked(validation.checks, validation.raw_rows, reports_root)
+        record.stage = "warehouse"
         base = ahead.result() if ahead is not None else None
         warehouse = run_warehouse_stage(spark, validation, out_root, export_csv, copy_raw,
                                         base=base)
-        stage = "publish_summary"
-        summary = _summary(run_id, started_at, "success", None, validation.raw_rows,
-                           validation.quality, warehouse.marts,
-                           {**validation.outputs, **warehouse.outputs}, None)
+        record.marts = {name: {"rows": int(m["rows"]), "columns": list(m["columns"])}
+                        for name, m in warehouse.marts.items()}
+        record.outputs.update(warehouse.outputs)
+        record.stage = "publish_summary"
+        summary = record.close()
         summary["outputs"]["run_summary"] = sinks.append_run_summary(spark, reports_root, summary)
-        if keep_releases > 0:
-            # Each run holds a full fact; older runs go once readers moved on.
-            release.prune(keep_releases)
-        return summary
     except Exception as error:
         if isinstance(error, QualityGateError):
             logger.warning("run %s stopped by the quality gate: %s", run_id, error)
+            record.checked(error.checks, error.raw_rows, reports_root)
         else:
-            logger.exception("run %s failed in stage %s", run_id, stage)
+            logger.exception("run %s failed in stage %s", run_id, record.stage)
         if ahead is not None:
             wait([ahead])  # its outcome is irrelevant once the run failed
         try:
-            summary = failure_summary(run_id, started_at, stage, error, validation, warehouse,
-                                      reports_root)
-            sinks.append_run_summary(spark, reports_root, summary)
+            sinks.append_run_summary(spark, reports_root, record.close(error))
         except Exception:  # noqa: BLE001 - never mask the original error
             logger.exception("could not record the failure summary of run %s", run_id)
         if release.current_run() != run_id:
@@ -405,10 +400,6 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
         raise
     finally:
         pool.shutdown(wait=True)
-
-
-def _has_warehouse_inputs(tables: Mapping[str, DataFrame]) -> bool:
-    need = {"customers": {"customer_id", "country", "segment"},
-            "orders": {"order_id", "customer_id", "order_date", "status"},
-            "order_items": {"order_id", "product_id", "description", "quantity", "unit_price"}}
-    return all(name in tables and cols <= set(tables[name].columns) for name, cols in need.items())
+    if keep_releases > 0:
+        release.prune(keep_releases)  # the run is over: what fails here fails alone
+    return summary

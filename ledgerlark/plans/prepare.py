@@ -8,7 +8,7 @@ concurrently, each counting its rows while it is written.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -41,6 +41,7 @@ def prepare_source(
     order_by: Sequence[str] | None = None,
     run_id: str | None = None,
     fmt: str = "parquet",
+    csv_options: Mapping[str, str] | None = None,
 ) -> dict[str, Any]:
     """Normalise the feed into three tables under ``raw_out``; return the report.
 
@@ -52,7 +53,7 @@ def prepare_source(
     if max_rows < 0:
         raise ValueError("max_rows must be zero or a positive integer")
     if isinstance(source, str):
-        frame = read_source(spark, source, max_rows, order_by)
+        frame = read_source(spark, source, max_rows, order_by, csv_options)
     else:
         frame = cap_rows(source, max_rows, order_by)
     run_id = run_id or sinks.new_run_id(sinks.utc_now())
@@ -79,9 +80,11 @@ def prepare_source(
     paths = {name: f"{raw_out.rstrip('/')}/{name}{suffix}" for name in outputs}
 
     def write(name: str, df: DataFrame) -> int:
-        df = df.sortWithinPartitions(*_SORT_KEYS[name])
         if fmt == "parquet":
+            df = df.sortWithinPartitions(*_SORT_KEYS[name])
             return int(sinks.write_table(df, paths[name], count_rows=True))
+        # A CSV is read in order of its part files: sorted as a whole (O1).
+        df = df.orderBy(*_SORT_KEYS[name])
         obs = Observation()
         sinks.write_csv(df.observe(obs, F.count(F.lit(1)).alias("rows")), paths[name])
         return int(obs.get["rows"])

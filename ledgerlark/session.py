@@ -55,17 +55,24 @@ def build_session(
     return spark
 
 
+def is_one_machine(master: str) -> bool:
+    """Whether the driver's own disk is the executors' as well."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Return the cluster-wide working folder (``spark.checkpoint.dir``).
 
-    The value configured on the session wins.  Only when nothing is set (local
-    tests) a private temporary folder is registered, so ``checkpoint()`` and
-    written intermediates always land somewhere every executor can read.
+    The value configured on the session wins.  When nothing is set, a ``local``
+    master (tests) gets a private temporary folder; on a cluster it is an error,
+    because each executor would write to its own disk.
     """
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = context.getCheckpointDir()
+    if not configured and not is_one_machine(context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="ledgerlark-")
     if not context.getCheckpointDir():

@@ -49,7 +49,11 @@ CSV_OPTIONS: dict[str, str] = {
     "quote": '"',
     "escape": '"',
     "multiLine": "false",
-    "mode": "PERMISSIVE",
+    # A file whose header names other columns, and a row with more or fewer cells
+    # than the header, fail the read: nothing is shifted, cut or filled in silently.
+    "enforceSchema": "false",
+    "mode": "FAILFAST",
+    "columnPruning": "false",
 }
 
 
@@ -73,15 +77,17 @@ def _missing_to_null(c: str, tokens: Sequence[str]) -> Sql:
 
 
 def read_source(spark: SparkSession, path: str, max_rows: int = 0,
-                order_by: Sequence[str] | None = None) -> DataFrame:
+                order_by: Sequence[str] | None = None,
+                csv_options: Mapping[str, str] | None = None) -> DataFrame:
     """Source feed scan with an optional row cap (S1): 0 reads all, <0 is an error.
 
     A cap is the feature here (a sample run); it takes the first rows of the
-    explicit ``order_by`` when given, else of the scan.
+    explicit ``order_by`` when given, else of the scan.  ``csv_options`` override
+    the defaults; ``{"multiLine": "true"}`` reads line breaks inside quotes.
     """
     if max_rows < 0:
         raise ValueError("max_rows must be zero or a positive integer")
-    return cap_rows(na_to_null(read_csv_text(spark, path)), max_rows, order_by)
+    return cap_rows(na_to_null(read_csv_text(spark, path, csv_options)), max_rows, order_by)
 
 
 def na_to_null(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
@@ -117,6 +123,14 @@ class RawTables:
             raise RawTypeError(bad)
 
 
+def whole_number_sql(text: Sql) -> Sql:
+    """BIGINT of whole-number text such as ``2`` or ``2.0``; null if it is none or
+    out of range."""
+    digits = f"regexp_replace(trim({ref(text)}), {lit(r'\.0*$')}, '')"
+    return Sql(f"CASE WHEN {ref(text)} RLIKE {lit(WHOLE_NUMBER_PATTERN)} "
+               f"THEN try_cast({digits} AS BIGINT) END")
+
+
 def typed_columns(frame: DataFrame, table: str,
                   na_tokens: Sequence[str] = NA_TOKENS) -> list[Column]:
     """Declared columns cast by name from text; other columns pass through."""
@@ -131,8 +145,7 @@ def typed_columns(frame: DataFrame, table: str,
         if want == "string":
             cols.append(F.expr(text).alias(c))
         elif want == "bigint":
-            cols.append(F.expr(f"CASE WHEN {ref(text)} RLIKE {lit(WHOLE_NUMBER_PATTERN)} "
-                               f"THEN try_cast(trim({ref(text)}) AS BIGINT) END").alias(c))
+            cols.append(F.expr(whole_number_sql(text)).alias(c))
         else:
             cols.append(F.expr(f"CAST({lenient_double_sql(text)} AS {want})").alias(c))
     return cols
@@ -149,7 +162,7 @@ def violation_counters(frame: DataFrame, table: str,
             continue
         text = ref(_missing_to_null(c, na_tokens))
         if want == "bigint":
-            bad = f"NOT ({text} RLIKE {lit(WHOLE_NUMBER_PATTERN)})"
+            bad = f"{ref(whole_number_sql(Sql(text)))} IS NULL"
         else:
             bad = f"{ref(lenient_double_sql(Sql(text)))} IS NULL"
         out.append(F.expr(f"count_if({text} IS NOT NULL AND {bad})").alias(f"{table}.{c}"))
@@ -163,33 +176,31 @@ def type_raw(frames: Mapping[str, DataFrame], na_tokens: Sequence[str] = NA_TOKE
     counters = [(frame, violation_counters(frame, name, na_tokens))
                 for name, frame in frames.items()]
     parts = [frame.agg(*cols) for frame, cols in counters if cols]
-    violations = None
-    if len(parts) == 1:
-        violations = parts[0]
-    elif parts:
-        raise NotImplementedError("typed columns in more than one raw table")
-    return RawTables(typed, violations)
+    return RawTables(typed, parts[0] if parts else None)
 
 
 def read_raw_text(spark: SparkSession, raw_dir: str, fmt: str = "csv",
-                  names: Sequence[str] = tuple(RAW_FILES)) -> dict[str, DataFrame]:
+                  names: Sequence[str] = tuple(RAW_FILES),
+                  csv_options: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """The raw tables as scanned, before typing (CSV: all text)."""
     raw_dir = raw_dir.rstrip("/")
     if fmt == "parquet":
         return {n: spark.read.parquet(f"{raw_dir}/{n}") for n in names}
     # Reading a CSV header is a small job per table; resolve them concurrently.
     with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
-        frames = pool.map(lambda n: read_csv_text(spark, f"{raw_dir}/{RAW_FILES[n]}"), names)
+        frames = pool.map(lambda n: read_csv_text(
+            spark, f"{raw_dir}/{RAW_FILES[n]}", csv_options), names)
         return dict(zip(names, frames))
 
 
 def load_raw_tables(spark: SparkSession, raw_dir: str, fmt: str = "parquet",
-                    names: Sequence[str] = tuple(RAW_FILES)) -> RawTables:
+                    names: Sequence[str] = tuple(RAW_FILES),
+                    csv_options: Mapping[str, str] | None = None) -> RawTables:
     """Load the raw tables (S2); Parquet keeps its types, CSV is typed by name."""
     raw_dir = raw_dir.rstrip("/")
     if fmt == "parquet":
         return RawTables({n: spark.read.parquet(f"{raw_dir}/{n}") for n in names})
-    return type_raw(read_raw_text(spark, raw_dir, "csv", names))
+    return type_raw(read_raw_text(spark, raw_dir, "csv", names, csv_options))
 
 
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "raw_") -> list[str]:

@@ -43,8 +43,8 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file next to ``path`` and move it into place.
 
-    HDFS and local disk rename atomically; on object stores a single small
-    object PUT is atomic, and readers only ever see a complete pointer.
+    The move replaces the old file in one step, so a reader finds the old or the
+    new pointer and never none.
     """
     fs, target, jvm = _fs_and_path(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
@@ -54,10 +54,12 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
     finally:
         out.close()
     try:
-        if fs.exists(target):
-            fs.delete(target, False)
-        if not fs.rename(tmp, target):
-            raise OSError(f"could not move {tmp} to {path}")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        options = spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        context.rename(fs.makeQualified(tmp), fs.makeQualified(target), options)
     finally:
         if fs.exists(tmp):
             fs.delete(tmp, False)

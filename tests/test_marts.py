@@ -128,9 +128,7 @@ def test_general_path_equals_distinct_counts_on_ungated_keys(spark):
     con = duckdb.connect()
     con.register("fact_df", fact.toPandas())
     for name, body in oracle_sql.MART_BODIES.items():
-        sql = ("WITH fact_rev AS (SELECT *, CAST(quantity AS DECIMAL(10,0)) * "
-               "CAST(unit_price AS DECIMAL(18,6)) * CAST(is_revenue_order AS DECIMAL(1,0)) "
-               "AS rev FROM fact_df) " + body)
+        sql = "WITH fact AS (SELECT * FROM fact_df)" + oracle_sql.MART_BASE + body
         res = con.execute(sql)
         cols = [d[0] for d in res.description]
         want = sorted(tuple(str(v) for v in row) for row in res.fetchall())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlark.operators import marts, reads
 from ledgerlark.plans import job
@@ -51,14 +52,18 @@ def test_public_names_cover_all_marts():
     assert set(reads.PUBLIC_MARTS.values()) == set(marts.MART_NAMES)
 
 
-def test_deep_pages_by_position_equal_top_k(spark, published):
-    out, _ = published
-    from ledgerlark.sources.sinks import Release
-
-    df = Release(spark, out).read("marts/customer_revenue").repartition(7)
-    total = df.count()
-    for offset, limit in [(0, 10), (37, 50), (total - 5, 10), (total + 3, 10)]:
-        top_k = [tuple(r) for r in reads.page(df, "customer_revenue", limit, offset).collect()]
-        positional = [tuple(r) for r in reads.page(df, "customer_revenue", limit, offset,
-                                                   top_k_rows=0).collect()]
-        assert positional == top_k, (offset, limit)
+def test_pages_of_a_large_mart_at_any_depth(spark, tmp_path):
+    total = 1_000_000
+    df = spark.range(total).select(
+        F.concat(F.lit("C"), F.lpad((F.col("id") * 7919 % total).cast("string"), 7, "0")
+                 ).alias("customer_id"),
+        (F.col("id") * 7919 % total % 1000).cast("double").alias("gross_revenue")).repartition(9)
+    reads.write_positions(df, "customer_revenue", str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    for offset in (0, 499_990, 700_000, 999_980, total + 5):
+        rows, size = reads.stored_page(stored, "customer_revenue", 50, offset)
+        # Place p holds revenue 999 - p // 1000 and the p % 1000-th customer with it.
+        want = [(float(999 - p // 1000), f"C{p % 1000 * 1000 + 999 - p // 1000:07d}")
+                for p in range(offset, min(offset + 50, total))]
+        assert [(r.gross_revenue, r.customer_id) for r in rows.collect()] == want
+        assert size == total
