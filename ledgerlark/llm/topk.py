@@ -152,7 +152,7 @@ def _thresholds(seeds: list[tuple[int, list[int]]], k: int):
                 others = ids != query
                 # A vec_id may stand for several rows: only distinct ids make a rank.
                 if len(np.unique(ids[others])) < k:
-                    limits.append(-(1 << 62))
+                    limits.append(-np.inf)
                     continue
                 scores = products(np.array([vector], np.int64), vectors[others])[0]
                 best = {}
@@ -160,7 +160,7 @@ def _thresholds(seeds: list[tuple[int, list[int]]], k: int):
                     best[i] = max(s, best.get(i, s))
                 limits.append(sorted(best.values(), reverse=True)[k - 1])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(limits, pa.float64())],
+                [*batch.columns, pa.array(np.array(limits, np.float64))],
                 names=[*batch.schema.names, "threshold"])
 
     return run

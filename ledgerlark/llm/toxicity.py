@@ -154,6 +154,8 @@ class Model:
         self.weights, self.bias = weights, bias
 
     def score(self, text: bytes | None) -> float:
+        if not self.weights:
+            return 0.0
         weight = self.weights.get
         return float(sigmoid(np.float64(self.bias + sum(weight(w, 0.0) for w in word_set(text)))))
 
