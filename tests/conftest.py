@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+os.environ["PYTHONPATH"] = sys.path[0]  # for Python workers
 
 from ledgerlark.session import build_session  # noqa: E402
 
