@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import chunks, replaced, schema_with
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
+CHUNK = 2 << 20
 MANY_SPOTS = 60
 LONG_TEXT = 1 << 20
 BLOCK_WORDS = 100_000
@@ -248,7 +249,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str =
             _IN_WORKER[key] = MergeReplay(shared.value, pattern)
         replay = _IN_WORKER[key]
         for batch in batches:
-            for rows, texts in chunks(batch, text_col):
+            for rows, texts in chunks(batch, text_col, CHUNK):
                 parts = replay.encode([(t or b"").decode("utf-8", "replace") for t in texts])
                 ends = np.cumsum([0, *(len(p) // 4 for p in parts)]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(parts), np.int32))

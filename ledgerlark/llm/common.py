@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.session import shared_dir
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,8 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES
             end += 1
         yield batch.slice(start, end - start), texts.slice(start, end - start).to_pylist()
         start = end
+    del texts
+    pa.default_memory_pool().release_unused()  # idle workers share the executor's memory
 
 
 def replaced(batch: pa.RecordBatch, drop: str, name: str, values: pa.Array) -> pa.RecordBatch:

@@ -45,7 +45,7 @@ U = np.uint64
 LENGTH = 400
 REACH = 128
 GRAM = 24
-PIECE = 1 << 21
+PIECE = 1 << 20
 _BASE = U(0xB5297A4D3F84D5A5)
 _UNBASE = U(pow(int(_BASE), -1, 1 << 64))
 _CODES = mix(np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
@@ -103,7 +103,7 @@ def pieces(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray,
     for row, text in enumerate(texts):
         for offset in range(0, max(1, len(text or b"") - length + 1), PIECE):
             part = (text or b"")[offset:offset + PIECE + length - 1]
-            if size and size + len(part) > 2 * PIECE:
+            if size and size + len(part) > PIECE:
                 yield np.frombuffer(b"".join(data), np.uint8), bounds, owners
                 data, bounds, owners, size = [], [], [], 0
             data.append(part)

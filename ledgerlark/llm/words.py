@@ -7,7 +7,7 @@ import xxhash
 
 U = np.uint64
 _ODD = U(0x9E3779B97F4A7C15)
-_CACHED = 200_000
+_CACHED = 100_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
