@@ -116,3 +116,43 @@ def test_feed_scan_maps_missing_tokens(spark, tmp_path):
     _write(tmp_path / "feed.csv", "InvoiceNo,CustomerID,Country\n1,NA,France\n2, NA ,null\n")
     rows = files.read_source(spark, str(tmp_path / "feed.csv")).orderBy("InvoiceNo").collect()
     assert [(r.CustomerID, r.Country) for r in rows] == [(None, "France"), (" NA ", None)]
+
+
+def test_csv_keeps_blanks_and_line_breaks(spark, tmp_path):
+    rows = [("  a b ", 'say "x"', "1"), (" ", "two\nlines", "2"), (None, "", "3")]
+    frame = spark.createDataFrame(rows, "a string, b string, c string")
+    sinks.write_csv(frame, str(tmp_path / "out"))
+    back = files.read_csv_text(spark, str(tmp_path / "out"), {"multiLine": "true"})
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[2]) == [
+        rows[0], rows[1], (None, None, "3")] or sorted(
+        map(tuple, back.collect()), key=lambda r: r[2]) == rows
+
+
+@pytest.mark.parametrize("text", ["a,b\n1,2,3\n", "a,b\n1\n"])
+def test_rows_of_another_width_fail(spark, tmp_path, text):
+    (tmp_path / "in.csv").write_text(text)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv_text(spark, str(tmp_path / "in.csv")).collect()
+
+
+def test_swapped_headers_fail(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv_text(spark, str(tmp_path)).collect()
+
+
+def test_whole_floats_pass_and_overflow_is_counted(spark):
+    items = spark.createDataFrame(
+        [("O", "P", "D", "2.0", "1"), ("O", "P", "D", "99999999999999999999", "1")],
+        "order_id string, product_id string, description string, quantity string, unit_price string")
+    raw = files.type_raw({"order_items": items})
+    assert [r.quantity for r in raw.frames["order_items"].collect()] == [2, None]
+    with pytest.raises(files.RawTypeError, match="order_items.quantity: 1 rows"):
+        raw.verify()
+
+
+def test_shared_dir_needs_a_setting_on_a_cluster():
+    from ledgerlark.session import is_one_machine
+
+    assert is_one_machine("local[4]") and not is_one_machine("local-cluster[2,1,1024]")
