@@ -7,8 +7,8 @@ where the second term estimates the risk on clean documents without any.  Where
 puts it below zero (a sign of over-fitting), it has no part in the step.
 
 g adds up weights, none below zero, of the words and word beginnings present: those
-that occur in most toxic documents, VOCABULARY of them at most, counted over all
-confirmed documents (words of over WORD_BYTES bytes are left out).  It
+that occur in most of the toxic documents drawn, VOCABULARY of them at most (words of
+over WORD_BYTES bytes are left out).  It
 is trained in numpy on at most ``sample`` toxic and ``2 * sample`` unlabelled documents,
 those of the smallest id hashes.  The prior is a parameter.  If none is given it is
 estimated: a word met in toxic text only is as much rarer among all documents as toxic
@@ -163,7 +163,9 @@ class Model:
 def fit(docs: DataFrame, toxic: DataFrame, prior: float | None, sample: int = SAMPLE) -> Model:
     """Fit from ``docs`` (doc_id, text) and the ids ``toxic`` (_id)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    positive = rows.join(toxic, F.col("doc_id") == F.col("_id"), "left_semi")
+    # At most `sample` ids: small enough to broadcast, so that no text is shuffled.
+    toxic = toxic.distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    positive = rows.join(F.broadcast(toxic), F.col("doc_id") == F.col("_id"), "left_semi")
     top = positive.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     if not top:
