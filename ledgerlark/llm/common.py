@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlark.session import shared_dir
 
 CHUNK_BYTES = 1 << 20
+BROADCAST_IDS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,13 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_enough(ids: DataFrame) -> DataFrame:
+    """A written table of long ids, marked for broadcast if its counted rows are at most
+    BROADCAST_IDS (8 MB of ids); a longer one is joined by a shuffle.  A join of texts
+    with few ids then moves no other texts."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def fold(column: Column | str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id falls in fold 0."""
     column = F.col(column) if isinstance(column, str) else column

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import chunks, stash
+from ledgerlark.llm.common import chunks, small_enough, stash
 from ledgerlark.llm.components import connected_components
 from ledgerlark.llm.words import WordHashes, mix, shingle_set, split_words
 
@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         F.min("id").alias("least"), F.max("id").alias("most")
     ).where("least != most").select("key", "least"), "shared")
     buckets = stash(rows.join(shared, "key").select("key", "band", "id", "least"), "buckets")
-    met = buckets.select("id").distinct()
+    met = small_enough(stash(buckets.select("id").distinct(), "met"))
     nodes = stash(nodes.dropDuplicates(["id"]).join(met, "id"), "nodes")
     texts = stash(docs.select(F.col("doc_id").cast("long").alias("id"),
                               F.col("text").cast("binary").alias("text")).join(met, "id")

@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import bpe, decontam, language, near_dup, repeats
+from ledgerlark.llm import bpe, common, decontam, language, near_dup, repeats
 from ledgerlark.llm.words import WordHashes, shingle_set, split_words
 
 WORDS = [f"w{k}" for k in range(400)]
@@ -168,8 +168,9 @@ def brute_components(rows, percent):
     return {k: (len(sets[k]), root(k)) for k in sets}
 
 
-@pytest.mark.parametrize("percent", [80, 85])
-def test_near_duplicates_against_brute_force(spark, percent, odd_rows):
+@pytest.mark.parametrize("percent, broadcast_ids", [(80, common.BROADCAST_IDS), (85, 0)])
+def test_near_duplicates_against_brute_force(spark, percent, broadcast_ids, odd_rows, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_IDS", broadcast_ids)
     rng = random.Random(9)
     rows = [(1000 + k, t) for k, (_, t) in enumerate(odd_rows)]
     for group in range(12):
