@@ -26,7 +26,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import Sql, money_round_sql, revenue_flag
+from ledgerlark.functions.columns import (
+    DEFAULT_DATE_FORMATS,
+    Sql,
+    money_round_sql,
+    revenue_flag,
+    strict_timestamp,
+)
 
 # Mart names and their column order.
 MART_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -80,9 +86,20 @@ def _exprs(*pairs: tuple[str, str]) -> list[Column]:
     return [F.expr(f"{expr} AS {name}") for name, expr in pairs]
 
 
-def fact_order_items(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+def _dated(orders: DataFrame, date_formats: Sequence[str]) -> DataFrame:
+    """Order headers with the day as a date, in the layouts the gate accepts.  ISO
+    text needs the cast only; text in no layout fails the cast."""
+    day = F.col("order_date").cast("date")
+    if tuple(date_formats) != DEFAULT_DATE_FORMATS:
+        parsed = strict_timestamp("order_date", date_formats, orders.schema["order_date"].dataType)
+        day = F.coalesce(parsed.cast("date"), day)
+    return orders.select("order_id", "customer_id", day.alias("order_date"), "status")
+
+
+def fact_order_items(customers: DataFrame, orders: DataFrame, items: DataFrame,
+                     date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> DataFrame:
     """One row per order line with customer attributes."""
-    o = orders.select("order_id", "customer_id", "order_date", "status")
+    o = _dated(orders, date_formats)
     c = customers.select("customer_id", "country", "segment")
     i = items.select("order_id", "product_id", "description", "quantity", "unit_price")
     joined = o.join(c, "customer_id").join(i, "order_id")
@@ -91,7 +108,7 @@ def fact_order_items(customers: DataFrame, orders: DataFrame, items: DataFrame)
         "customer_id",
         "country",
         "segment",
-        F.col("order_date").cast("date").alias("order_date"),
+        "order_date",
         "status",
         "product_id",
         "description",
@@ -113,7 +130,8 @@ def order_rollup(fact: DataFrame) -> DataFrame:
         *_exprs(("revenue", f"sum({LINE_REVENUE_SQL})"), ("lines", "count(1)")))
 
 
-def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFrame,
+                          date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> DataFrame:
     """The same rollup computed without the fact: items are pre-aggregated per
     order (map-side partial aggregation, so only one row per order and map
     task crosses the shuffle), then joined with orders and customers.
@@ -128,12 +146,12 @@ def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFr
                   * F.col("unit_price").cast("double").cast("decimal(27,12)"))
     per_order = items.groupBy("order_id").agg(
         F.sum(line_value).alias("_gross"), F.count(F.lit(1)).alias("lines"))
-    o = orders.select("order_id", "customer_id", "order_date", "status")
+    o = _dated(orders, date_formats)
     c = customers.select("customer_id", "country", "segment")
     joined = o.join(c, "customer_id").join(per_order, "order_id")
     return joined.select(
         "order_id", "customer_id", "country", "segment",
-        F.col("order_date").cast("date").alias("order_date"), "status",
+        "order_date", "status",
         F.when(revenue_flag("status") == 1, F.col("_gross")).otherwise(F.lit(0)).alias("revenue"),
         "lines",
     )

@@ -319,7 +319,19 @@ def q_prepared_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = DriverTables(spark, sf_dir)
     out = _scratch(spark, "prepare")
     prepare.prepare_source(spark, tables.retail_source(), out, home_country=tables.home_country)
-    return spark.read.parquet(f"{out}/customers")
+    return files.load_raw_tables(spark, out).frames["customers"]
+
+
+@register("preparation_report", sql.NORMALIZE_SQL["preparation_counts"])
+def q_preparation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored report of a preparation run, as (metric, value) rows."""
+    tables = DriverTables(spark, sf_dir)
+    out = _scratch(spark, "prepare-report")
+    prepare.prepare_source(spark, tables.retail_source(), out, home_country=tables.home_country)
+    stored = spark.read.parquet(sinks.report_paths(out)["preparation_reports"])
+    counts = F.create_map(*(x for c in ("source_rows", "normalized_rows", "dropped_rows")
+                            for x in (F.lit(c), F.col(c))))
+    return stored.select(F.explode(F.map_concat(counts, "output_rows")).alias("metric", "value"))
 
 
 def _gated(spark: SparkSession, sf_dir: str, dirty: bool) -> tuple[str, str]:

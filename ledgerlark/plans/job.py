@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import logging
 from datetime import datetime
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from typing import Any
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlark.functions.columns import DEFAULT_DATE_FORMATS
 from ledgerlark.operators import marts as mart_ops
 from ledgerlark.operators.reads import write_positions
 from ledgerlark.operators.quality import (
@@ -71,6 +72,8 @@ class Validation:
     tables: dict[str, DataFrame] = field(repr=False, default_factory=dict)
     # Measured bytes per staged table (empty when tables were not staged).
     raw_bytes: dict[str, int] = field(default_factory=dict)
+    # Layouts in which the checked dates are written.
+    date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
 
 
 @dataclass
@@ -193,7 +196,8 @@ def check_and_report(spark: SparkSession, tables: Mapping[str, DataFrame], repor
                                     for c in checks if c.name.endswith(".not_empty")}
     path = sinks.append_quality_results(spark, reports_root, run_id, iso_millis(utc_now()), checks)
     validation = Validation(run_id, started_at, rows, checks, tallies(checks),
-                            {"quality_report": path}, dict(tables), dict(raw_bytes or {}))
+                            {"quality_report": path}, dict(tables), dict(raw_bytes or {}),
+                            tuple(rules.date_formats))
     gate = QualityGateError(checks, rows)
     if any(not c.passed and c.name in domain_checks for c in checks):
         whole = engine.invalid_domain_values().withColumns(
@@ -250,7 +254,8 @@ class WarehouseBase:
 
 def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes: Mapping[str, int],
                release: Release, run_id: str, unique_orders: bool,
-               broadcast_bytes: int = MEASURED_BROADCAST_BYTES) -> WarehouseBase:
+               broadcast_bytes: int = MEASURED_BROADCAST_BYTES,
+               date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> WarehouseBase:
     """Write the fact (S4) and the order rollup for ``run_id``.
 
     Dimensions whose *measured* size is small are broadcast; anything else (or
@@ -263,12 +268,13 @@ def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes:
              if name in ("customers", "orders") and size <= broadcast_bytes}
     dims = {name: (F.broadcast(t[name]) if name in small else t[name])
             for name in ("customers", "orders")}
-    fact = mart_ops.fact_order_items(dims["customers"], dims["orders"], t["order_items"])
+    fact = mart_ops.fact_order_items(dims["customers"], dims["orders"], t["order_items"],
+                                     date_formats)
     # Intermediate, not published: lives in the cluster's shared work folder.
     rollup_path = _rollup_path(spark, run_id)
     if unique_orders:
         rollup_df = mart_ops.order_rollup_from_raw(dims["customers"], dims["orders"],
-                                                   t["order_items"])
+                                                   t["order_items"], date_formats)
         _parallel({"fact": lambda: sinks.write_table(fact, fact_path),
                    "rollup": lambda: sinks.write_table(rollup_df, rollup_path)})
     else:
@@ -300,7 +306,7 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     unique_orders = all(name in passed for name in _KEY_CHECKS)
     if base is None or (base.unique_orders and not unique_orders):
         base = build_base(spark, validation.tables, validation.raw_bytes, release, run_id,
-                          unique_orders, broadcast_bytes)
+                          unique_orders, broadcast_bytes, validation.date_formats)
     outputs["fact_order_items"] = base.fact_path
     fact_stored = spark.read.parquet(base.fact_path)
     rollup = spark.read.parquet(base.rollup_path)
@@ -360,7 +366,8 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
             tables, raw_rows, raw_bytes = stage_raw_tables(spark, raw, release, run_id,
                                                            raw_format, csv_options)
             if overlap and keys_proven_by(rules) and _has_warehouse_inputs(tables):
-                ahead = pool.submit(build_base, spark, tables, raw_bytes, release, run_id, True)
+                ahead = pool.submit(build_base, spark, tables, raw_bytes, release, run_id, True,
+                                    date_formats=rules.date_formats)
             validation = check_and_report(spark, tables, reports_root, run_id, started_at,
                                           rules, raw_rows, raw_bytes)
         else:

@@ -21,6 +21,10 @@ from ledgerlark.functions.columns import (
     lit,
     ref,
 )
+from ledgerlark.sources import fs
+
+# Where the preparation job names and keeps its published set of raw tables.
+PREPARED_POINTER, PREPARED_FOLDER = "_PREPARED", "prepared"
 
 # Raw file names and column types.
 RAW_FILES: dict[str, str] = {
@@ -183,7 +187,7 @@ def read_raw_text(spark: SparkSession, raw_dir: str, fmt: str = "csv",
                   names: Sequence[str] = tuple(RAW_FILES),
                   csv_options: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """The raw tables as scanned, before typing (CSV: all text)."""
-    raw_dir = raw_dir.rstrip("/")
+    raw_dir = fs.follow_pointer(spark, raw_dir, PREPARED_POINTER, PREPARED_FOLDER)
     if fmt == "parquet":
         return {n: spark.read.parquet(f"{raw_dir}/{n}") for n in names}
     # Reading a CSV header is a small job per table; resolve them concurrently.
@@ -197,7 +201,7 @@ def load_raw_tables(spark: SparkSession, raw_dir: str, fmt: str = "parquet",
                     names: Sequence[str] = tuple(RAW_FILES),
                     csv_options: Mapping[str, str] | None = None) -> RawTables:
     """Load the raw tables (S2); Parquet keeps its types, CSV is typed by name."""
-    raw_dir = raw_dir.rstrip("/")
+    raw_dir = fs.follow_pointer(spark, raw_dir, PREPARED_POINTER, PREPARED_FOLDER)
     if fmt == "parquet":
         return RawTables({n: spark.read.parquet(f"{raw_dir}/{n}") for n in names})
     return type_raw(read_raw_text(spark, raw_dir, "csv", names, csv_options))

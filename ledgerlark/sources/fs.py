@@ -65,6 +65,13 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
             fs.delete(tmp, False)
 
 
+def follow_pointer(spark: SparkSession, root: str, pointer: str, folder: str) -> str:
+    """The folder that a pointer file under ``root`` names, or ``root`` without one."""
+    root = root.rstrip("/")
+    named = (read_text(spark, f"{root}/{pointer}") or "").strip()
+    return f"{root}/{folder}/{named}" if named else root
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs_and_path(spark, path)
     if fs.exists(p):

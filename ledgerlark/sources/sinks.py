@@ -65,15 +65,17 @@ class Release:
 
     spark: SparkSession
     root: str
+    pointer: str = POINTER
+    folder: str = "runs"
 
     def run_dir(self, run_id: str) -> str:
-        return f"{self.root.rstrip('/')}/runs/{run_id}"
+        return f"{self.root.rstrip('/')}/{self.folder}/{run_id}"
 
     def table_path(self, run_id: str, name: str) -> str:
         return f"{self.run_dir(run_id)}/{name}"
 
     def current_run(self) -> str | None:
-        text = fs.read_text(self.spark, f"{self.root.rstrip('/')}/{POINTER}")
+        text = fs.read_text(self.spark, f"{self.root.rstrip('/')}/{self.pointer}")
         return text.strip() if text else None
 
     def current_path(self, name: str) -> str | None:
@@ -82,14 +84,14 @@ class Release:
 
     def publish(self, run_id: str) -> None:
         """Make ``run_id`` the visible release in one pointer write."""
-        fs.write_text_atomic(self.spark, f"{self.root.rstrip('/')}/{POINTER}", run_id + "\n")
+        fs.write_text_atomic(self.spark, f"{self.root.rstrip('/')}/{self.pointer}", run_id + "\n")
 
     def prune(self, keep: int = 2) -> list[str]:
         """Delete all but the newest ``keep`` runs; the published run always
         stays.  Run ids sort by time, so names order the runs.  Returns the
         removed run ids."""
         current = self.current_run()
-        runs = fs.list_dirs(self.spark, f"{self.root.rstrip('/')}/runs")
+        runs = fs.list_dirs(self.spark, f"{self.root.rstrip('/')}/{self.folder}")
         kept = set(runs[-keep:]) if keep > 0 else set()
         removed = [r for r in runs if r not in kept and r != current]
         for run_id in removed:
@@ -137,11 +139,28 @@ PIPELINE_RUNS_SCHEMA = T.StructType([
     T.StructField("run_date", T.StringType(), False),
 ])
 
+PREPARATION_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("generated_at", T.StringType(), False),
+    T.StructField("source", T.StringType(), True),
+    T.StructField("rows_requested", T.StringType(), False),
+    T.StructField("dataset_scope", T.StringType(), False),
+    T.StructField("source_rows", T.LongType(), False),
+    T.StructField("normalized_rows", T.LongType(), False),
+    T.StructField("dropped_rows", T.LongType(), False),
+    T.StructField("drop_reasons_before_overlap", T.MapType(T.StringType(), T.LongType()), False),
+    T.StructField("output_rows", T.MapType(T.StringType(), T.LongType()), False),
+    T.StructField("outputs", T.MapType(T.StringType(), T.StringType()), False),
+    T.StructField("attribution", T.MapType(T.StringType(), T.StringType()), False),
+    T.StructField("run_date", T.StringType(), False),
+])
+
 
 def report_paths(reports_root: str) -> dict[str, str]:
     root = reports_root.rstrip("/")
     return {name: f"{root}/{name}"
-            for name in ("quality_results", "pipeline_runs", "invalid_values")}
+            for name in ("quality_results", "pipeline_runs", "invalid_values",
+                         "preparation_reports")}
 
 
 def append_quality_results(spark: SparkSession, reports_root: str, run_id: str,
@@ -170,6 +189,17 @@ def append_run_summary(spark: SparkSession, reports_root: str, summary: Mapping)
     return path
 
 
+def append_preparation_report(spark: SparkSession, reports_root: str, report: Mapping) -> str:
+    """Append one row per preparation."""
+    row = {**report, "rows_requested": str(report["rows_requested"]),
+           "run_date": report["generated_at"][:10]}
+    path = report_paths(reports_root)["preparation_reports"]
+    values = [tuple(row[f.name] for f in PREPARATION_SCHEMA.fields)]
+    spark.createDataFrame(values, PREPARATION_SCHEMA).coalesce(1).write.mode("append") \
+        .partitionBy("run_date").parquet(path)
+    return path
+
+
 def utc_now() -> datetime:
     return datetime.now(UTC)
 

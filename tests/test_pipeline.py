@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +39,23 @@ def test_successful_run_publishes_marts_and_reports(spark, raw_tables, tmp_path)
     assert ready.status == "ok" and ready.artifacts_ready
 
 
+@pytest.mark.parametrize("copies", [1, 2])
+def test_date_layouts_of_the_rules_reach_the_fact(spark, raw_tables, tmp_path, copies):
+    """Also with an order twice, where the rollup is built from the fact."""
+    layout = F.date_format(F.col("order_date").cast("date"), "dd/MM/yyyy")
+    orders = raw_tables["orders"].withColumn("order_date", layout)
+    first = orders.orderBy("order_id").limit(copies - 1)
+    raw = {**raw_tables, "orders": orders.union(first)}
+    rules = replace(quality.DEFAULT_RULES, unique=(("customers", "customer_id"),),
+                    date_formats=("dd/MM/yyyy", "yyyy-MM-dd"))
+    summary = job.run_pipeline(spark, raw, str(tmp_path / "wh"), str(tmp_path / "rep"), rules=rules)
+    fact = spark.read.parquet(summary["outputs"]["fact_order_items"])
+    days = raw_tables["orders"].select("order_id", F.col("order_date").cast("date").alias("day"))
+    assert fact.join(days, "order_id").where("order_date <> day").count() == 0
+    assert fact.count() >= raw_tables["order_items"].count()
+    assert dict(fact.dtypes)["order_date"] == "date"
+
+
 def test_runs_are_idempotent(spark, raw_tables, tmp_path):
     out, rep = str(tmp_path / "wh"), str(tmp_path / "reports")
     first = job.run_pipeline(spark, raw_tables, out, rep)
