@@ -45,7 +45,7 @@ U = np.uint64
 LENGTH = 400
 REACH = 128
 GRAM = 24
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BASE = U(0xB5297A4D3F84D5A5)
 _UNBASE = U(pow(int(_BASE), -1, 1 << 64))
 _CODES = mix(np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
@@ -166,15 +166,20 @@ def _neighbours(columns: list[str]):
     return run
 
 
+def by_name(rows: DataFrame, partitions: int) -> DataFrame:
+    """``rows`` (a name, salt, ...) with equal names as neighbours in one partition;
+    salted rows are dealt out."""
+    name = rows.columns[0]
+    return rows.repartition(partitions, name, "salt").sortWithinPartitions(
+        F.col("salt") > 0, name)
+
+
 def met_twice(rows: DataFrame, columns: list[str], partitions: int) -> DataFrame:
     """``columns`` of ``rows`` (a name, salt, known, ...), whether a row's name occurs
-    twice, and whether the row is the first with it.  Equal names are neighbours in one
-    partition; salted rows are dealt out."""
-    name = rows.columns[0]
+    twice, and whether the row is the first with it."""
     ddl = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)
-    placed = rows.repartition(partitions, name, "salt").sortWithinPartitions(
-        F.col("salt") > 0, name)
-    return placed.mapInArrow(_neighbours(columns), f"{ddl}, twice boolean, lead boolean")
+    return by_name(rows, partitions).mapInArrow(
+        _neighbours(columns), f"{ddl}, twice boolean, lead boolean")
 
 
 def _triggers(length: int):
@@ -205,14 +210,23 @@ def _triggers(length: int):
     return run
 
 
-def _fold_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        whole = batch.column(0).to_numpy().view(np.uint64)
-        if len(whole):
-            known, salt = fold(whole, int(whole[0] & U(0xFFFF)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(salt), pa.array(known), *batch.columns[1:]],
-                names=["whole", "salt", "known", *batch.schema.names[1:]])
+def _shared_whole(columns: list[str]):
+    """Of the rows whose name is met twice, ``whole`` as the next name, folded.  One
+    function does both steps: chained ones would each hold a Python worker a task."""
+    judge = _neighbours(["whole", *columns])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in judge(batches):
+            batch = batch.filter(batch.column("twice"))
+            whole = batch.column(0).to_numpy().view(np.uint64)
+            if len(whole):
+                known, salt = fold(whole, int(whole[0] & U(0xFFFF)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(salt), pa.array(known),
+                     *(batch.column(c) for c in columns)],
+                    names=["whole", "salt", "known", *columns])
+
+    return run
 
 
 def _spell(length: int):
@@ -303,8 +317,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False
     types = "id long, tag int, lo long, more short"
     triggers = renamed.select("id", "tag", "text").mapInArrow(
         _triggers(length), f"follow long, salt int, known boolean, whole long, {types}")
-    shared = met_twice(triggers, ["whole", *place], width).where("twice").select("whole", *place)
-    asked = shared.mapInArrow(_fold_whole, f"whole long, salt int, known boolean, follow long, {types}")
+    asked = by_name(triggers, width).mapInArrow(
+        _shared_whole(place), f"whole long, salt int, known boolean, follow long, {types}")
     settled = stash(met_twice(asked, place, width), "settled")
     doubtful = settled.where("NOT twice")
     asked_for = stash(doubtful.select("follow").distinct(), "asked")
