@@ -2,7 +2,7 @@
 
 Each stage reads what the one before wrote.  All but the last return the columns of
 ``documents``.  Rows with null ids, null texts or repeated ids pass through each stage
-as its operator defines.
+as its operator defines; the near-duplicate stage judges each row by itself.
 """
 
 from __future__ import annotations
@@ -31,11 +31,17 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of documents that share 80 % of their 5-word
-    shingles, directly or through others."""
-    dropped = near_dup.near_duplicates(docs).where("NOT kept").select(
-        F.col("doc_id").alias("_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("_id"), "left_anti")
+    """Keeps one row of each group of rows that share 80 % of their 5-word shingles,
+    directly or through others: that of the smallest id, null last.  Rows are told apart
+    by a number of their own, so that copies under one id or a null id are a group too."""
+    rows = stash(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = stash(near_dup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_row"), "component_id"), "grouped")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
+    groups = stash(found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(
+        first["_row"].alias("_first"), F.count("*").alias("_n")).where("_n > 1"), "groups")
+    dropped = found.join(groups, "component_id").where("_row != _first").select("_row")
+    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
 
 
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
