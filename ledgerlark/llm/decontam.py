@@ -6,8 +6,9 @@ the two words that end the current position, how far the search may jump; a zero
 leads to the suffix bucket of strings with those last words, and each is compared
 directly.
 
-The strings are broadcast in blocks of at most ``BLOCK_WORDS`` words; more benchmark
-text means more passes over the documents, whose hits are then united.
+The strings are broadcast in blocks of at most ``BLOCK_WORDS`` words, one after the
+other; more benchmark text means more passes over the documents.  Each pass writes the
+rows it hits, under a number that each row got once, and hits are united by that number.
 
 Defined cases: null or empty texts have no words; an item without words has no string;
 null items are ignored; repeated items count once; repeated documents get a row each.
@@ -19,10 +20,11 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import chunks, schema_with
+from ledgerlark.llm.common import chunks, schema_with, stash
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -100,9 +102,8 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, bytes
     yield block
 
 
-def _scan(docs: DataFrame, items: list[tuple[str, bytes | None]], window: int) -> DataFrame:
-    """``docs`` with n_words, spans and items."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def _scan(docs: DataFrame, shared: Broadcast, window: int) -> DataFrame:
+    """``docs`` with n_words, spans and items; ``shared``: a block of the benchmark."""
     found = ("n_words", "spans", "items")
     names = [c for c in docs.columns if c not in found]
 
@@ -132,9 +133,9 @@ def _scan(docs: DataFrame, items: list[tuple[str, bytes | None]], window: int) -
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                          block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that hold no test string, one pass a block of strings."""
-    kept = docs
+    kept, context = docs, docs.sparkSession.sparkContext
     for block in _blocks(benchmark, block_words):
-        kept = _scan(kept, block, window).where("size(spans) = 0").select(*docs.columns)
+        kept = _scan(kept, context.broadcast(block), window).where("size(spans) = 0").select(*docs.columns)
     return kept
 
 
@@ -153,22 +154,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, spans (hit word runs [start, end)) and items (sorted ids)."""
     texts = docs.select("doc_id", F.col("text").cast("string"))
-    scans = [_scan(texts, block, window).drop("text")
-             for block in _blocks(benchmark, block_words)]
-    if len(scans) == 1:
-        return scans[0]
-    # Several blocks: rows of one document meet by its id and word count.
-    merged = scans[0]
-    for scan in scans[1:]:
-        merged = merged.union(scan)
+    context = docs.sparkSession.sparkContext
+    blocks = _blocks(benchmark, block_words)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        return _scan(texts, context.broadcast(block), window).drop("text")
+    rows = stash(texts.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    counted, hits = None, None
+    while block is not None:
+        shared = context.broadcast(block)
+        found = _scan(rows, shared, window).drop("text")
+        if counted is None:  # the first pass counts the words of all rows
+            counted = found = stash(found, "counted")
+        found = found.where("size(spans) > 0").select("_row", "spans", "items")
+        hits = stash(found, "hits") if hits is None else hits.union(stash(found, "hits"))
+        shared.destroy()  # the driver holds one block and the next
+        block, following = following, next(blocks, None)
     unite = F.udf(lambda parts: united(sorted(map(tuple, parts))), "array<array<long>>")
-    per_pass = merged.groupBy("doc_id", "n_words").agg(
-        F.flatten(F.collect_set("spans")).alias("spans"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        (F.count("*") / len(scans)).cast("int").alias("copies"))
-    return per_pass.select(
-        F.explode(F.sequence(F.lit(1), "copies")).alias("copy"), "doc_id", "n_words",
-        unite("spans").alias("spans"), "items").drop("copy")
+    joined = hits.groupBy("_row").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    joined = joined.select("_row", unite("spans").alias("spans"), "items")
+    return counted.drop("spans", "items").join(joined, "_row", "left").select(
+        "doc_id", "n_words", F.coalesce("spans", F.expr("CAST(array() AS array<array<long>>)")).alias("spans"),
+        F.coalesce("items", F.expr("CAST(array() AS array<string>)")).alias("items"))
 
 
 def hit_digests(found: DataFrame) -> DataFrame:
