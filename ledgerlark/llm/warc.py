@@ -10,9 +10,12 @@ Reading parses whole files (their size is bounded by ``FILE_RECORDS``), groups
 continuation records by their origin, orders them by number, verifies the total
 length, and decodes the chunked framing.
 
+A record is named by its page_id and by a number of its row, written once, so that rows
+with one page_id or a null one have segments and revisits of their own.
+
 Defined cases: null html is an empty payload; a null page_id gets a record that no
 other refers to; rows with one page_id each get a record (both a response, if theirs is
-the smallest id); a null url leaves WARC-Target-URI out; other columns are ignored.
+the smallest id; revisits refer to the first of them); a null url leaves WARC-Target-URI out; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -115,12 +118,11 @@ def _render(segment: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in chunks(batch, "html"):
-                page, url, digest, refers = (
+                name, url, digest, refers = (
                     rows.column(rows.schema.get_field_index(c)).to_pylist()
-                    for c in ("page_id", "url", "digest", "refers_to"))
+                    for c in ("name", "url", "digest", "refers_to"))
                 out = [r for k, text in enumerate(texts)
-                       for r in records("null" if page[k] is None else page[k], url[k], text or b"",
-                                        digest[k], refers[k], segment)]
+                       for r in records(name[k], url[k], text or b"", digest[k], refers[k], segment)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     return run
@@ -131,18 +133,20 @@ def write_archives(pages: DataFrame, path: str, least_revisit: int = 0,
     """Archives of ``pages`` (page_id, url, html) under ``path``.  Of records with equal
     payloads of at least ``least_revisit`` bytes the one with the smallest page_id is a
     response; the others are revisits of it."""
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"),
+    rows = pages.select(F.monotonically_increasing_id().alias("row"),
+                        F.col("page_id").cast("long"), F.col("url").cast("string"),
                         F.col("html").cast("string"))
-    digested = rows.mapInArrow(
-        _digest, "page_id long, url string, html string, bytes long, digest string")
-    light = rows.select("page_id", F.lit(None).cast("string").alias("url"), "html").mapInArrow(
-        _digest, "page_id long, url string, html string, bytes long, digest string")
-    firsts = stash(light.where(F.col("bytes") >= least_revisit).groupBy("digest", "bytes").agg(
-        F.min("page_id").alias("first")), "firsts")
-    refers = F.expr("CASE WHEN page_id <> first THEN CAST(first AS string) END")
+    # Written, so that a row has one number in all that reads it.
+    digested = stash(rows.mapInArrow(
+        _digest, "row long, page_id long, url string, html string, bytes long, digest string"),
+        "digested")
+    firsts = stash(digested.where((F.col("bytes") >= least_revisit) & F.col("page_id").isNotNull()
+                                  ).groupBy("digest", "bytes").agg(
+        F.min(F.struct("page_id", "row")).alias("first")), "firsts")
+    name = F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("null")), "row")
+    refers = F.expr("CASE WHEN page_id <> first.page_id THEN concat_ws(':', first.page_id, first.row) END")
     joined = digested.join(firsts, ["digest", "bytes"], "left").select(
-        F.col("page_id").cast("string").alias("page_id"), "url", "html", "digest",
-        refers.alias("refers_to"))
+        name.alias("name"), "url", "html", "digest", refers.alias("refers_to"))
     joined.mapInArrow(_render(segment), "record binary").select(
         F.col("record").cast("string").alias("value")
     ).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option(
@@ -244,18 +248,19 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                    "digest string, payload binary")
 
 
-def _page(column: str):
-    return F.regexp_extract(column, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
+def _named(column: str, group: int):
+    """The page_id (1) or the row's number (2) in a record's name."""
+    return F.regexp_extract(column, "^<urn:page:(-?[0-9]+|null):([0-9]+)>$", group).try_cast("long")
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, payloads in chunks(batch, "payload"):
             yield pa.RecordBatch.from_arrays(
-                [*rows.columns[:4],
+                [*rows.columns[:6],
                  pa.array([None if p is None else len(p) for p in payloads], pa.int64()),
                  pa.array([None if p is None else payload_digest(p) for p in payloads])],
-                names=["page_id", "kind", "refers_to", "digest", "size", "own"])
+                names=["page_id", "row", "kind", "refers_to", "first_row", "digest", "size", "own"])
 
 
 def archive_round_trip(pages: DataFrame, least_revisit: int = 0) -> DataFrame:
@@ -265,16 +270,17 @@ def archive_round_trip(pages: DataFrame, least_revisit: int = 0) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(pages, path, least_revisit)
     found = read_archives(spark, path).select(
-        _page("record_id").alias("page_id"), "kind", _page("refers_to").alias("refers_to"),
+        _named("record_id", 1).alias("page_id"), _named("record_id", 2).alias("row"), "kind",
+        _named("refers_to", 1).alias("refers_to"), _named("refers_to", 2).alias("first_row"),
         "digest", "payload")
     read = stash(found.mapInArrow(
-        _measured, "page_id long, kind string, refers_to long, digest string, size long, own string"
-    ), "records")
-    responses = read.where("kind = 'response' AND page_id IS NOT NULL").groupBy(
-        F.col("page_id").alias("refers_to")).agg(
-        F.max("size").alias("first_size"), F.max("own").alias("first_own"))
+        _measured, "page_id long, row long, kind string, refers_to long, first_row long, "
+                   "digest string, size long, own string"), "records")
+    responses = read.where("kind = 'response' AND page_id IS NOT NULL").select(
+        F.col("row").alias("first_row"), F.col("size").alias("first_size"),
+        F.col("own").alias("first_own"))
     responses = stash(responses, "responses")  # plain shuffles in the join: hot keys are split
-    return read.join(responses, "refers_to", "left").select(
+    return read.join(responses, "first_row", "left").select(
         "page_id", F.coalesce("size", "first_size").alias("payload_bytes"),
         F.coalesce("own", "first_own").alias("payload_digest"),
         F.col("kind").alias("record_type"), "refers_to",
