@@ -3,10 +3,12 @@
 Two variable-order Markov models, one of accepted and one of rejected URLs, are
 counted over every URL that a rule decides.  A context of up to ORDER characters
 predicts the next one; the estimate of a longer context counts the shorter one's as
-BACK_OFF further sightings, so that rare contexts lean on it.  Counts lie in
-tables of fixed size, addressed by hash, so a model is as large for 10^4 URLs as for
-10^12.  A URL's score is the log-likelihood difference per character.  The threshold is
-calibrated on the scores of all ruled URLs: that of best balanced accuracy.
+BACK_OFF further sightings, so that rare contexts lean on it.  Counts are a distributed
+table with a row for each context and each context with its next character, under 64-bit
+names (two of them share a name with chance 2^-64 a pair), so the models grow with the
+URLs.  URLs are scored in groups of GROUP rows: each group asks the table once for every
+distinct name in it.  A URL's score is the log-likelihood difference per character.  The
+threshold is calibrated on the scores of all ruled URLs: that of best balanced accuracy.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and no rule;
 an empty url scores 0; with no ruled URL on one side every score is 0 and the verdict
@@ -22,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.llm.common import stash
 from ledgerlark.llm.words import mix
 
 U = np.uint64
 ORDER = 5
-TABLE_BITS = 16
 BACK_OFF = 2.0
+GROUP = 1024
+SLICE = 256
 BINS = 2000
 SCORE_RANGE = 10.0
 
@@ -65,7 +69,7 @@ def apply_rules(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFram
 
 
 def _events(urls: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each context length 0..ORDER: slots of the contexts, slots of the contexts
+    """Of each context length 0..ORDER: names of the contexts, names of the contexts
     with the next character, and the URL of each.  Every URL ends with an end mark and
     begins after a start mark."""
     codes = [np.frombuffer((u or "").encode("utf-32-le"), np.uint32) for u in urls]
@@ -85,83 +89,100 @@ def _events(urls: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np
         at += len(code) + 1
     spots = np.flatnonzero(is_next)
     context = np.zeros(len(spots), np.uint64)
-    mask = U((1 << TABLE_BITS) - 1)
     for order in range(ORDER + 1):
         if order:
             context = mix(context * U(0x9E3779B97F4A7C15) + text[spots - order])
         seen = mix(context + U(order))
         pair = mix(seen * U(0x9E3779B97F4A7C15) + text[spots])
-        yield ((seen & mask).astype(np.int64), (pair & mask).astype(np.int64), owner[spots])
+        yield seen, pair, owner[spots]
+
+
+_START = mix(np.zeros(1, np.uint64))  # name of the context of no character
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    size = 1 << TABLE_BITS
-    tables = np.zeros((2, 2, ORDER + 1, size), np.int64)  # side, context or pair, order, slot
     for batch in batches:
-        urls = batch.column(0).to_pylist()
-        sides = np.array(batch.column(1).to_pylist(), np.int64)
-        for start in range(0, len(urls), 2000):
-            part = sides[start:start + 2000]
-            for order, (seen, pair, owner) in enumerate(_events(urls[start:start + 2000])):
-                for side in (0, 1):
-                    own = part[owner] == side
-                    tables[side, 0, order] += np.bincount(seen[own], minlength=size)
-                    tables[side, 1, order] += np.bincount(pair[own], minlength=size)
-    where = np.flatnonzero(tables)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(where), pa.array(tables.ravel()[where])], names=["slot", "n"])
-
-
-def fit(ruled: DataFrame) -> np.ndarray:
-    """Count tables [side, context or pair, order, slot] over (url, side): side 1 is
-    accepted.  What reaches the driver is bounded by the tables' fixed size."""
-    counted = ruled.mapInArrow(_count, "slot long, n long").groupBy("slot").agg(
-        F.sum("n").alias("n")).toPandas()
-    tables = np.zeros(2 * 2 * (ORDER + 1) << TABLE_BITS, np.int64)
-    tables[counted["slot"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
-    return tables.reshape(2, 2, ORDER + 1, 1 << TABLE_BITS)
-
-
-def score_urls(urls: list[str | None], tables: np.ndarray) -> np.ndarray:
-    """Log-likelihood difference (accepted minus rejected) per character."""
-    if not len(urls) or not tables[0, 0, 0].any() or not tables[1, 0, 0].any():
+        for start in range(0, batch.num_rows, GROUP):
+            urls = batch.column(0).slice(start, GROUP).to_pylist()
+            sides = np.array(batch.column(1).slice(start, GROUP).to_pylist(), np.int64)
+            names, accepted = [], []
+            for seen, pair, owner in _events(urls):
+                names += [seen, pair]
+                accepted += [sides[owner]] * 2
+            found, at = np.unique(np.concatenate(names), return_inverse=True)
+            both = np.bincount(at, minlength=len(found))
+            n1 = np.bincount(at, np.concatenate(accepted), len(found)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int64)), pa.array(both - n1), pa.array(n1)],
+                names=["name", "n0", "n1"])
+
+
+def fit(ruled: DataFrame) -> DataFrame:
+    """name, n0, n1: how often the rejected and the accepted of ``ruled`` (url, side; side
+    1 is accepted) show a context, or a context with its next character."""
+    return stash(ruled.mapInArrow(_count, "name long, n0 long, n1 long").groupBy("name").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "counts")
+
+
+def score_urls(urls: list[str | None], names: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Log-likelihood difference (accepted minus rejected) per character.  ``counts``: two
+    rows, of the sorted ``names``; others were never seen."""
+
+    def seen_times(asked: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+        return np.where(names[at] == asked, counts[:, at], 0)
+
+    if not len(urls) or not len(names) or not seen_times(_START).all():
         return np.zeros(len(urls))
-    logs, owner = [], None
-    events = list(_events(urls))
-    for side in (0, 1):
-        chance = np.full(len(events[0][0]), 1 / 256)
-        for order, (seen, pair, owner) in enumerate(events):
-            total = tables[side, 0, order][seen]
-            count = np.minimum(tables[side, 1, order][pair], total)
-            chance = (count + BACK_OFF * chance) / (total + BACK_OFF)
-        logs.append(np.log(chance))
+    chance, owner = 1 / 256, None
+    for seen, pair, owner in _events(urls):
+        chance = (seen_times(pair) + BACK_OFF * chance) / (seen_times(seen) + BACK_OFF)
+    logs = np.log(chance)
     sums = np.bincount(owner, logs[1] - logs[0], minlength=len(urls))
     return sums / np.maximum(np.bincount(owner, minlength=len(urls)), 1)
 
 
-def score(pages: DataFrame, tables: np.ndarray, *keep: str) -> DataFrame:
-    """``keep`` columns of ``pages`` and the score of its ``url``."""
-    shared = pages.sparkSession.sparkContext.broadcast(tables)
-    rows = pages.select(*keep, F.col("url").alias("_url"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
-                scores = score_urls(part.column(len(keep)).to_pylist(), shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(scores, pa.float64())],
-                    names=[*keep, "score"])
-
-    kept = rows.drop("_url").schema
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return rows.mapInArrow(run, f"{ddl}, score double")
-
-
-def calibrate(ruled: DataFrame, tables: np.ndarray) -> float:
-    """Threshold of best balanced accuracy over all ruled URLs, from a histogram of
-    fixed size; of equals the middle one."""
-    scored = score(ruled, tables, "side")
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(name, group) of the distinct names in each group of URLs."""
+    for batch in batches:
+        groups = batch.column(0).to_numpy()
+        for group in np.unique(groups):
+            urls = batch.column(1).take(pa.array(np.flatnonzero(groups == group))).to_pylist()
+            names = np.empty(0, np.uint64)
+            for start in range(0, len(urls), SLICE):
+                names = np.unique(np.concatenate([names, *(
+                    x for seen, pair, _ in _events(urls[start:start + SLICE]) for x in (seen, pair))]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names.view(np.int64)), pa.array(np.full(len(names), group))],
+                names=["name", "group"])
+
+
+def score(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` with the score of its ``url`` in place of that."""
+    # Written, so that a row is in one group in all that reads it.
+    grouped = stash(rows.withColumn(
+        "group", F.shiftright(F.monotonically_increasing_id(), GROUP.bit_length() - 1)), "urls")
+    asked = stash(grouped.select("group", "url").mapInArrow(_asked, "name long, group long"), "asked")
+    known = stash(asked.join(counts, "name"), "known")
+    keep = [c for c in rows.columns if c != "url"]
+
+    def run(urls: pa.Table, met: pa.Table) -> pa.Table:
+        name = met.column("name").to_numpy().view(np.uint64)
+        name, first = np.unique(name, return_index=True)
+        n = np.array([met.column(c).to_numpy()[first] for c in ("n0", "n1")])
+        texts = urls.column("url").to_pylist()
+        scores = [score_urls(texts[k:k + SLICE], name, n) for k in range(0, len(texts), SLICE)]
+        return urls.select(keep).append_column(
+            "score", pa.array(np.concatenate(scores) if scores else [], pa.float64()))
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("url").schema)
+    return stash(grouped.groupBy("group").cogroup(known.groupBy("group")).applyInArrow(
+        run, f"{ddl}, score double"), "scored")
+
+
+def calibrate(scored: DataFrame) -> float:
+    """Threshold of best balanced accuracy over the scores of all ruled URLs (side, score),
+    from a histogram of fixed size; of equals the middle one."""
     place = F.floor((F.greatest(F.lit(-SCORE_RANGE), F.least(F.lit(SCORE_RANGE), "score"))
                      + SCORE_RANGE) * (BINS / (2 * SCORE_RANGE)))
     counts = np.zeros((2, BINS + 1))
@@ -178,11 +199,9 @@ def calibrate(ruled: DataFrame, tables: np.ndarray) -> float:
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, score: the rule's verdict, else the models'."""
     ruled = apply_rules(pages.select("page_id", F.col("url").cast("string")), rules)
-    learn = ruled.where("rule IS NOT NULL").select(
-        "url", F.expr("CAST(rule_verdict = 'allow' AS int)").alias("side"))
-    tables = fit(learn)
-    threshold = calibrate(learn, tables)
-    scored = score(ruled, tables, "page_id", "host", "path", "rule", "rule_verdict")
+    side = F.expr("CAST(rule_verdict = 'allow' AS int)").alias("side")
+    scored = score(ruled, fit(ruled.where("rule IS NOT NULL").select("url", side)))
+    threshold = calibrate(scored.where("rule IS NOT NULL").select(side, "score"))
     return scored.select(
         "page_id", "host", "path", "rule",
         F.coalesce("rule_verdict", F.when(F.col("score") >= threshold, "allow").otherwise("block")
