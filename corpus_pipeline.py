@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import bpe, decontam, language, near_dup, repeats
@@ -22,12 +22,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
+def others_packed(docs: DataFrame) -> Column:
+    """The columns but ``text`` as ``_row``, out of the way of those an operator adds."""
+    return F.struct(*(c for c in docs.columns if c != "text")).alias("_row")
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without any letter, which have no language; a null ``lang`` becomes
-    the predicted one."""
-    known = language.with_prediction(docs, language.learn(docs, fold("doc_id", 3) != 1))
-    return known.where(F.col("lang_pred") != language.UNDETERMINED).withColumn(
-        "lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    the predicted one (``und`` where no document tells a language)."""
+    known = language.with_prediction(docs.select(others_packed(docs), "text"),
+                                     language.learn(docs, fold("doc_id", 3) != 1))
+    return known.where("letters").select(*(
+        F.col(c) if c == "text" else F.coalesce("_row.lang", "lang_pred").alias(c) if c == "lang"
+        else F.col(f"_row.`{c}`") for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -137,10 +137,11 @@ class Profiles:
             where = {lang: k for k, lang in enumerate(self.langs)}
             self.ranks[at, [where[lang] for lang, _, _ in rows]] = [rank for _, _, rank in rows]
 
-    def predict(self, text: bytes | None) -> tuple[str, float]:
+    def predict(self, text: bytes | None) -> tuple[str, float, bool]:
+        """Language, score, and whether there is any letter."""
         own = ranked(grams_of(letters_of(text)), self.size)
         if not len(own) or not self.langs:
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, len(own) > 0
         at = np.searchsorted(self.grams, own)
         at[at == len(self.grams)] = 0
         at = np.where(self.grams[at] == own, at, len(self.grams))  # the last row lists none
@@ -148,7 +149,7 @@ class Profiles:
         apart = np.abs(ranks - np.arange(len(own))[:, None])
         sums = np.where(ranks < 0, self.size, apart).sum(axis=0)
         best = int(np.argmin(sums))
-        return self.langs[best], float(1 - sums[best] / (self.size * len(own)))
+        return self.langs[best], float(1 - sums[best] / (self.size * len(own))), True
 
 
 def learn(docs: DataFrame, allowed: Column, size: int = PROFILE) -> Profiles:
@@ -163,21 +164,23 @@ def learn(docs: DataFrame, allowed: Column, size: int = PROFILE) -> Profiles:
 
 
 def with_prediction(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """``docs`` with lang_pred and score, from each row's text alone."""
+    """``docs`` with lang_pred, score and letters (whether there is any), from each row's
+    text alone."""
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    names = [c for c in docs.columns if c not in ("lang_pred", "score", "letters")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in chunks(batch, "text"):
                 found = [shared.value.predict(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array([lang for lang, _ in found], pa.string()),
-                     pa.array([score for _, score in found], pa.float64())],
-                    names=[*rows.schema.names, "lang_pred", "score"])
+                    [*rows.columns, pa.array([lang for lang, _, _ in found], pa.string()),
+                     pa.array([score for _, score, _ in found], pa.float64()),
+                     pa.array([letters for _, _, letters in found], pa.bool_())],
+                    names=[*rows.schema.names, "lang_pred", "score", "letters"])
 
     return docs.select(*names).mapInArrow(
-        run, schema_with(docs, (), "lang_pred string", "score double"))
+        run, schema_with(docs, (), "lang_pred string", "score double", "letters boolean"))
 
 
 def language_id(docs: DataFrame, size: int = PROFILE) -> DataFrame:
