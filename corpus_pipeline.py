@@ -54,11 +54,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes every 400-byte string that also starts elsewhere; characters cut in two go
     too, and documents of which nothing is left."""
-    cut = repeats.without_repeats(docs, as_text=True).where("n_bytes = 0 OR kept <> ''")
-    return cut.withColumns({
-        "text": F.col("kept"),
-        "n_chars": F.when(F.size("spans") > 0, F.length("kept")).otherwise(F.col("n_chars")),
-    }).select(*docs.columns)
+    packed = docs.select("doc_id", "text", others_packed(docs))
+    cut = repeats.without_repeats(packed, as_text=True).where("n_bytes = 0 OR kept <> ''")
+    n_chars = F.when(F.size("spans") > 0, F.length("kept")).otherwise(F.col("_row.n_chars"))
+    return cut.select(*(
+        F.col("kept").alias(c) if c == "text" else n_chars.alias(c) if c == "n_chars"
+        else F.col(f"_row.`{c}`") for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -301,11 +301,12 @@ def _cut(length: int, as_text: bool):
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False) -> DataFrame:
-    """``docs`` with ``text`` replaced by spans (removed byte runs [start, end)), n_bytes
-    and kept: the bytes left, or as text, without characters that were cut in two."""
+    """``docs`` with ``text`` (and old columns of these names) replaced by spans (removed
+    byte runs [start, end)), n_bytes and kept: the bytes left, or as text, without
+    characters that were cut in two."""
     if length < REACH + GRAM:
         raise ValueError(f"length must be at least {REACH + GRAM}")
-    others = [c for c in docs.columns if c != "text"]
+    others = [c for c in docs.columns if c not in ("text", "spans", "n_bytes", "kept")]
     renamed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("id"),
         F.hash(F.col("doc_id").isNull(), "text").alias("tag"),
