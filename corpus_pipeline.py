@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import bpe, decontam, language, near_dup, repeats
-from ledgerlark.llm.common import fold, stash, table
+from ledgerlark.llm.common import fold, small_enough, stash, table
 from ledgerlark.llm.queries import VOCABULARY
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -47,7 +47,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     groups = stash(found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(
         first["_row"].alias("_first"), F.count("*").alias("_n")).where("_n > 1"), "groups")
-    dropped = found.join(groups, "component_id").where("_row != _first").select("_row")
+    dropped = small_enough(stash(
+        found.join(groups, "component_id").where("_row != _first").select("_row"), "dropped"))
     return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
 
 
