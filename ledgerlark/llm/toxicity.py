@@ -6,14 +6,14 @@ With the share ``prior`` of toxic documents among all, the risk of a classifier
 where the second term estimates the risk on clean documents without any.  Where a batch
 puts it below zero (a sign of over-fitting), it has no part in the step.
 
-g adds up weights, none below zero, of the words and word beginnings present: those
-that occur in most of the toxic documents drawn, VOCABULARY of them at most (words of
-over WORD_BYTES bytes are left out).  It
-is trained in numpy on at most ``sample`` toxic and ``2 * sample`` unlabelled documents,
-those of the smallest id hashes.  The prior is a parameter.  If none is given it is
-estimated: a word met in toxic text only is as much rarer among all documents as toxic
-documents are, and any other word is less so; the PRIOR_WORDS words of the smallest
-ratio, of those in a tenth of the toxic documents, are pooled.
+g adds up weights, none below zero, of the words and word beginnings present, of all
+those in the toxic documents drawn (a word of over WORD_BYTES bytes goes by its digest).
+It is trained in numpy on at most ``sample`` toxic and ``2 * sample`` unlabelled
+documents, those of the smallest id hashes.  The prior is a parameter.  If none is given
+it is estimated from word counts over all documents: a word met in toxic text only is as
+much rarer among all documents as toxic documents are, and any other word is less so; the
+PRIOR_WORDS words of the smallest ratio, of those in a tenth of the toxic documents, are
+pooled.  The threshold comes from a histogram of the scores of all documents.
 
 Defined cases: null and empty texts hold no word and get the score of the bias;
 contradicting labels count by majority (ties: left out); repeated rows are scored each;
@@ -22,6 +22,7 @@ without toxic examples every score is 0; other columns are never read.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,12 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import chunks, fold
+from ledgerlark.llm.common import chunks, fold, stash
 from ledgerlark.llm.decontam import words_of
 from ledgerlark.llm.quality import votes
 
 SAMPLE = 3000
-VOCABULARY = 20_000
 WORD_BYTES = 48
 PREFIXES = (4, 5, 6)
 EPOCHS = 40
@@ -43,12 +43,15 @@ BATCH = 256
 RATE = 0.3
 SPARSITY = 0.001
 PRIOR_WORDS = 5
+BINS, BIN = 10_000, 0.01
 
 
 def word_set(text: bytes | None) -> set[bytes]:
-    """Words, and their first PREFIXES bytes behind a mark."""
-    words = {w for w in set(words_of(text)) if len(w) <= WORD_BYTES}
-    return words.union(*({b"^" + w[:n] for w in words if len(w) > n} for n in PREFIXES))
+    """Words, and their first PREFIXES bytes behind a mark; long words by their digest."""
+    words = set(words_of(text))
+    short = {w if len(w) <= WORD_BYTES else b"#" + hashlib.blake2b(w, digest_size=16).digest()
+             for w in words}
+    return short.union(*({b"^" + w[:n] for w in words if len(w) > n} for n in PREFIXES))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -97,34 +100,52 @@ def train(toxic: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prio
     return theta[:size], float(theta[size])
 
 
-def estimate_prior(toxic: list[np.ndarray], unlabelled: list[np.ndarray], size: int) -> float:
-    """Share of toxic documents among the unlabelled."""
-    n_toxic, n_all = (np.bincount(np.concatenate(docs), minlength=size)
-                      for docs in (toxic, unlabelled))
-    common = np.flatnonzero(n_toxic >= max(2, len(toxic) / 10))
-    if not len(common):
-        return min(0.5, len(toxic) / len(unlabelled))
-    ratio = n_all[common] / n_toxic[common]
-    least = common[np.argsort(ratio, kind="stable")[:PRIOR_WORDS]]
-    share = n_all[least].sum() / len(unlabelled)
-    return float(np.clip(share / (n_toxic[least].sum() / len(toxic)), 1e-4, 0.5))
+def estimate_prior(rows: DataFrame, met: dict[bytes, int], n_toxic: int) -> float:
+    """Share of toxic documents among all ``rows``; ``met``: in how many of ``n_toxic`` toxic
+    documents each word is."""
+    common = {w for w, n in met.items() if n >= max(2, n_toxic / 10)}
+    shared = rows.sparkSession.sparkContext.broadcast(common)
 
-
-def calibrate(theta: np.ndarray, bias: float, toxic: list[np.ndarray],
-              unlabelled: list[np.ndarray], prior: float) -> float:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counter()
+        for batch in batches:
+            for _, texts in chunks(batch, "text"):
+                counts[b""] += len(texts)  # no word
+                for t in texts:
+                    counts.update(word_set(t) & shared.value)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
+            names=["word", "n"])
+
+    n_all = {bytes(r.word): r.n for r in rows.mapInArrow(run, "word binary, n long").groupBy(
+        "word").agg(F.sum("n").alias("n")).collect()}
+    total = n_all.pop(b"")
+    least = sorted((w for w in common if w in n_all), key=lambda w: (n_all[w] / met[w], w))[:PRIOR_WORDS]
+    if not least:
+        return min(0.5, n_toxic / total)
+    share = sum(n_all[w] for w in least) / total
+    return float(np.clip(share / (sum(met[w] for w in least) / n_toxic), min(1 / total, 0.5), 0.5))
+
+
+def calibrate(bias: float, toxic: np.ndarray, scored: DataFrame, prior: float) -> float:
     """The bias that puts the score 0.5 where the same risk, with errors counted instead
-    of the loss, is least: in the widest gap of those within a tenth of the prior."""
-    g_toxic, g_all = (np.sort([theta[d].sum() + bias for d in docs])
-                      for docs in (toxic, unlabelled))
-    at = np.unique(np.concatenate((g_toxic, g_all)))
-    if len(at) < 2:
+    of the loss, is least: in the widest gap of those within a tenth of the prior.
+    ``toxic``: sums of weights of the examples; ``scored``: ``total`` of all documents."""
+    place = F.least(F.floor(F.col("total") / BIN), F.lit(BINS)).cast("long")
+    bins = {r.place: [r.n, r.low, r.high, 0] for r in scored.groupBy(place.alias("place")).agg(
+        F.count("*").alias("n"), F.min("total").alias("low"), F.max("total").alias("high")).collect()}
+    for value in toxic:
+        one = bins.setdefault(min(int(value // BIN), BINS), [0, value, value, 0])
+        one[1:] = min(one[1], value), max(one[2], value), one[3] + 1
+    if len(bins) < 2:
         return bias
-    cut = (at[1:] + at[:-1]) / 2
-    missed = np.searchsorted(g_toxic, cut) / len(g_toxic)
-    flagged = 1 - np.searchsorted(g_all, cut) / len(g_all)
+    n, low, high, n_toxic = np.array([bins[k] for k in sorted(bins)], float).T
+    missed = np.cumsum(n_toxic)[:-1] / len(toxic)
+    flagged = 1 - np.cumsum(n)[:-1] / n.sum()
     risk = prior * missed + np.maximum(0, flagged - prior * (1 - missed))
     near = np.flatnonzero(risk <= risk.min() + prior / 10)
-    return bias - float(cut[near[np.argmax((at[1:] - at[:-1])[near])]])
+    best = near[np.argmax((low[1:] - high[:-1])[near])]
+    return -float(low[best + 1] + high[best]) / 2
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,14 +171,14 @@ def _numbers(vocabulary: dict[bytes, int]):
 
 
 class Model:
-    def __init__(self, weights: dict[bytes, float], bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: dict[bytes, float], bias: float, prior: float = 0.0,
+                 examples: np.ndarray | None = None):
+        """examples: sums of weights of the toxic documents drawn."""
+        self.weights, self.bias, self.prior, self.examples = weights, bias, prior, examples
 
-    def score(self, text: bytes | None) -> float:
-        if not self.weights:
-            return 0.0
+    def total(self, text: bytes | None) -> float:
         weight = self.weights.get
-        return float(sigmoid(np.float64(self.bias + sum(weight(w, 0.0) for w in word_set(text)))))
+        return float(sum(weight(w, 0.0) for w in word_set(text)))
 
 
 def fit(docs: DataFrame, toxic: DataFrame, prior: float | None, sample: int = SAMPLE) -> Model:
@@ -167,7 +188,7 @@ def fit(docs: DataFrame, toxic: DataFrame, prior: float | None, sample: int = SA
     toxic = toxic.distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample)
     positive = rows.join(F.broadcast(toxic), F.col("doc_id") == F.col("_id"), "left_semi")
     top = positive.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(
-        F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+        F.sum("n").alias("n")).orderBy(F.desc("n"), "word").collect()
     if not top:
         return Model({}, -np.inf)
     vocabulary = {bytes(r.word): k for k, r in enumerate(top)}
@@ -186,14 +207,18 @@ def fit(docs: DataFrame, toxic: DataFrame, prior: float | None, sample: int = SA
     if not examples or not background:
         return Model({}, -np.inf)
     if prior is None:
-        prior = estimate_prior(examples, background, len(vocabulary))
+        met = np.bincount(np.concatenate(examples), minlength=len(vocabulary))
+        prior = estimate_prior(rows, {w: int(met[k]) for w, k in vocabulary.items()}, len(examples))
     theta, bias = train(examples, background, len(vocabulary), prior)
-    bias = calibrate(theta, bias, examples, background, prior)
-    return Model({w: float(theta[k]) for w, k in vocabulary.items() if theta[k]}, bias)
+    return Model({w: float(theta[k]) for w, k in vocabulary.items() if theta[k]}, bias, prior,
+                 np.array([theta[d].sum() for d in examples]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every row, from its text alone."""
+    """doc_id and score of every row, from its text and the threshold over all rows."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    if model.examples is None:
+        return rows.select("doc_id", F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,11 +226,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for rows, texts in chunks(batch, "text"):
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0),
-                     pa.array([shared.value.score(t) for t in texts], pa.float64())],
-                    names=["doc_id", "score"])
+                     pa.array([shared.value.total(t) for t in texts], pa.float64())],
+                    names=["doc_id", "total"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, score double")
+    scored = stash(rows.mapInArrow(run, "doc_id long, total double"), "totals")
+    bias = calibrate(model.bias, model.examples, scored, model.prior)
+    g = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("total") + bias))
+    return scored.select("doc_id", (1 / (1 + F.exp(-g))).alias("score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None,
