@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import (bpe, decontam, language, near_dup, quality, repeats, topk, toxicity,
-                            url_filter, warc)
+from ledgerlark.llm import (bpe, collocations, decontam, hard_negatives, language, near_dup, quality,
+                            repeats, token_counts, topk, toxicity, url_filter, warc)
 from ledgerlark.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,11 +60,26 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
+        return token_counts.token_counts(table(spark, sf_dir, "documents"), file.read())
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_bpe_round_trip, op2_exact_top_k, op3_near_duplicates, op4_quality, op5_language,
         op6_warc_round_trip, op7_repeated_strings, op8_toxicity, op9_decontamination,
-        op10_url_filter)
+        op10_url_filter, op11_token_counts, op12_collocations, op13_hard_negatives)
 }
 
 ORACLE: dict[str, str] = {
@@ -144,4 +160,59 @@ o AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS ids FROM (
 SELECT w.doc_id, len(w.ws) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(o.n, 0) AS n_items,
   sha256(coalesce(o.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
 FROM w LEFT JOIN h USING (doc_id) LEFT JOIN o USING (doc_id)""",
+    "op12_collocations": """
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM d),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+    lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, 6)) AS k)),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+inner_phrases AS (
+  SELECT lang, a, k, unnest(list_transform(range(1, k - z + 2),
+    lambda i: array_to_string(ws[i:i + z - 1], ' '))) AS phrase
+  FROM c, (SELECT unnest(range(2, 5)) AS z) WHERE z < k),
+most AS (SELECT lang, phrase, max(a) AS around FROM inner_phrases GROUP BY lang, phrase),
+kept AS (SELECT c.* FROM c LEFT JOIN most m ON m.lang = c.lang AND m.phrase = c.phrase
+  WHERE m.around IS NULL OR 100 * m.around < 100 * c.a),
+cut AS (
+  SELECT kept.*, j, array_to_string(ws[1:j], ' ') AS p1, array_to_string(ws[j + 1:k], ' ') AS p2
+  FROM kept, (SELECT unnest(range(1, 5)) AS j) WHERE j < k),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, x.f AS l, y.f AS r, n.n, j,
+    (1000::HUGEINT * cut.a * n.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = p1 JOIN f y ON y.lang = cut.lang AND y.phrase = p2
+  JOIN n ON n.lang = cut.lang),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS nth FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest WHERE nth = 1)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS nth FROM s WHERE same)
+  WHERE nth <= 5),
+m AS (
+  SELECT p.*, s.other AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM m WHERE rank <= 3""",
 }
