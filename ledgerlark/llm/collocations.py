@@ -4,10 +4,12 @@ Texts fall into pieces at sentence marks and line ends, pieces into words.  Ever
 begins a suffix of its piece, of which only the first LONGEST words matter.
 
 1. One scan counts the words of each language and, by a 64-bit name, the pairs of
-   neighbours.  Names of pairs met often enough set bits of a map of fixed size.  Names
-   that share a bit only let more through: the map saves work and decides nothing.
-2. A second scan reads each suffix only as far as its pairs may be frequent, so no word
-   of a frequent phrase is lost.  Equal suffixes are added up to leaves.
+   neighbours; a second one the triples of which both pairs may be frequent.  Names met
+   often enough set bits of a map of fixed size for each.  Names that share a bit only
+   let more through: the maps save work and decide nothing.
+2. A third scan reads each suffix only as far as its pairs and triples may be frequent
+   (an elastic range), so no word of a frequent phrase is lost.  Equal suffixes are added
+   up to leaves.
 3. Vertical partitioning: leaves are counted by their first word; a prefix that holds
    more leaves than BUDGET is extended by one word, up to the full depth.  The prefixes
    are dealt out to as many groups as keep the mean group at half the budget.
@@ -78,13 +80,24 @@ def _word_end(text: bytes, at: int) -> int:
     return at
 
 
-def pair_names(words: list[bytes], hashes: WordHashes, lang: int) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the pairs (i, i + 1) of one language, and whether both are words."""
-    if len(words) < 2:
-        return np.empty(0, np.uint64), np.empty(0, bool)
+def pair_names(words: list[bytes], hashes: WordHashes, lang: int
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the words and of the pairs (i, i + 1) of one language, and whether both
+    are words."""
     own = hashes.of(words)
     word = own != U(hashes[_MARK])
-    return mix(own[:-1] * _ODD + own[1:] + U(lang)), word[:-1] & word[1:]
+    return own, mix(own[:-1] * _ODD + own[1:] + U(lang)), word[:-1] & word[1:]
+
+
+def longer_names(names: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Names one word longer than ``names``, which start at the same places."""
+    size = len(own) - len(names) + 1
+    return mix(names[:len(own) - size] * _ODD + own[size:])
+
+
+def in_map(names: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    at = (names >> U(64 - MAP_BITS)).astype(np.int64)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1) == 1
 
 
 def _lang_name(lang: str) -> int:
@@ -108,12 +121,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words.clear()
 
     def pair_rows() -> Iterator[pa.RecordBatch]:
-        if names:
-            pair, n = np.unique(np.concatenate(names), return_counts=True)
-            names.clear()
+        for pair, n in tallied(names):
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(pair), pa.string()), pa.nulls(len(pair), pa.binary()),
-                 pa.array(pair.view(np.int64)), pa.array(n)], names=["lang", "word", "pair", "n"])
+                [pa.nulls(len(n), pa.string()), pa.nulls(len(n), pa.binary()), pair, n],
+                names=["lang", "word", "pair", "n"])
 
     for batch in batches:
         for rows, texts in chunks(batch, "text"):
@@ -122,7 +133,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own = words.setdefault(lang, Counter())
                     own.update(tokens[:starts])
                     own.pop(_MARK, None)
-                    pair, both = pair_names(tokens, hashes, _lang_name(lang))
+                    _, pair, both = pair_names(tokens, hashes, _lang_name(lang))
                     names.append(pair[:starts][both[:starts]])
                     waiting += len(names[-1])
             if sum(map(len, words.values())) > _HELD:
@@ -134,13 +145,43 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from pair_rows()
 
 
-def _leaves(bitmap: bytes, depth: int):
-    """(lang, suffix, n): suffixes as far as their pairs may be frequent, two words at least."""
+def tallied(names: list[np.ndarray]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Distinct names and how often each occurs; empties the list."""
+    if names:
+        name, n = np.unique(np.concatenate(names), return_counts=True)
+        names.clear()
+        yield pa.array(name.view(np.int64)), pa.array(n)
+
+
+def _triples(pairs: bytes):
+    """(pair, n): names of triples of which both pairs may be frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, bits = WordHashes(), np.frombuffer(pairs, np.uint8)
+        names: list[np.ndarray] = []
+        for batch in batches:
+            for rows, texts in chunks(batch, "text"):
+                for lang, text in zip(rows.column(0).to_pylist(), texts):
+                    for tokens, starts in blocks(text):
+                        own, pair, both = pair_names(tokens, hashes, _lang_name(lang))
+                        go = both & in_map(pair, bits)
+                        if len(go) > 1:
+                            names.append(longer_names(pair, own)[:starts][(go[:-1] & go[1:])[:starts]])
+                if sum(map(len, names)) > 1 << 21:
+                    yield from (pa.RecordBatch.from_arrays(list(t), names=["pair", "n"])
+                                for t in tallied(names))
+        yield from (pa.RecordBatch.from_arrays(list(t), names=["pair", "n"]) for t in tallied(names))
+
+    return run
+
+
+def _leaves(pairs: bytes, triples: bytes, depth: int):
+    """(lang, suffix, n): suffixes as far as their pairs and triples may be frequent, two
+    words at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        bits = np.frombuffer(bitmap, np.uint8)
-        shift = U(64 - MAP_BITS)
+        maps = [np.frombuffer(m, np.uint8) for m in (pairs, triples)]
         found: dict[str, Counter] = {}
 
         def rows_out() -> Iterator[pa.RecordBatch]:
@@ -154,16 +195,18 @@ def _leaves(bitmap: bytes, depth: int):
             for rows, texts in chunks(batch, "text"):
                 for lang, text in zip(rows.column(0).to_pylist(), texts):
                     for tokens, starts in blocks(text, depth):
-                        pair, both = pair_names(tokens, hashes, _lang_name(lang))
-                        at = (pair >> shift).astype(np.int64)
-                        go = both & ((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1) == 1)
-                        reach = go.astype(np.int8)  # frequent pairs in a row from here
+                        own, pair, both = pair_names(tokens, hashes, _lang_name(lang))
+                        go = both & in_map(pair, maps[0])
+                        on = np.zeros(len(go), bool)  # the suffix goes on after its pair
+                        if len(go) > 1:
+                            on[:-1] = go[:-1] & go[1:] & in_map(longer_names(pair, own), maps[1])
+                        reach = go.astype(np.int8)  # words to read after the first one
                         for _ in range(depth - 2):
                             after = np.append(reach[1:], np.int8(0))
-                            reach = np.where(go, np.minimum(after + 1, depth - 1), 0).astype(np.int8)
-                        own = found.setdefault(lang, Counter())
+                            reach = np.where(on, np.minimum(after + 1, depth - 1), go).astype(np.int8)
+                        counter = found.setdefault(lang, Counter())
                         places = np.flatnonzero(reach[:starts])
-                        own.update(b" ".join(tokens[i:i + n + 1]) for i, n in zip(
+                        counter.update(b" ".join(tokens[i:i + n + 1]) for i, n in zip(
                             places.tolist(), reach[places].tolist()))
                 if sum(map(len, found.values())) > _HELD:
                     yield from rows_out()
@@ -172,8 +215,8 @@ def _leaves(bitmap: bytes, depth: int):
     return run
 
 
-def frequent_pairs(counts: DataFrame, least: int) -> bytes:
-    """The map of the names of pairs that are met ``least`` times: 2^MAP_BITS bits, of which
+def frequent_names(counts: DataFrame, least: int) -> bytes:
+    """The map of the names that are met ``least`` times: 2^MAP_BITS bits, of which
     at most 2^(MAP_BITS - 6) words come to the driver, whatever the corpus."""
     bit = F.shiftrightunsigned("pair", 64 - MAP_BITS)
     words = counts.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("n")).where(
@@ -277,8 +320,10 @@ def phrase_counts(docs: DataFrame, depth: int = LONGEST, least: int = LEAST, bud
     counts = stash(counts.where((F.col("n") >= least) | F.col("word").isNotNull()), "counts")
     words = counts.where("word IS NOT NULL")
     sizes = stash(words.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
+    pairs = frequent_names(counts, least)
+    triples = frequent_names(texts.mapInArrow(_triples(pairs), "pair long, n long"), least)
     leaves = stash(texts.mapInArrow(
-        _leaves(frequent_pairs(counts, least), depth), "lang string, suffix binary, n long"
+        _leaves(pairs, triples, depth), "lang string, suffix binary, n long"
     ).groupBy("lang", "suffix").agg(F.sum("n").alias("n")).select(
         "lang", F.col("suffix").cast("string").alias("suffix"), "n"), "leaves")
     placed, above = partitioned(leaves, depth, budget)
