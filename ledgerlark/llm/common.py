@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +62,19 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES
     pa.default_memory_pool().release_unused()  # idle workers share the executor's memory
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, after which its worker gives freed memory back to the system: workers
+    wait for their next task beside those of other stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return wrapped
+
+
 def replaced(batch: pa.RecordBatch, drop: str, name: str, values: pa.Array) -> pa.RecordBatch:
     """The batch without ``drop`` and any old ``name``, with ``values`` as ``name``."""
     keep = [i for i, n in enumerate(batch.schema.names) if n not in (drop, name)]
