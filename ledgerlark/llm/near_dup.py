@@ -1,6 +1,7 @@
 """Near-duplicate groups by MinHash bands and odd sketches.
 
-Each distinct word sequence is one class of documents, stood for by its least id.
+Each distinct word sequence is one class, with a number of its own; documents, and ids
+that stand on several texts, are put together by their classes.
 Classes whose MinHash values agree in one band meet in a bucket.  A candidate pair is
 first judged by its odd sketches: every MinHash sample flips one bit of a bitmap, so
 the bits in which two bitmaps differ are at most twice the samples that differ.  Pairs
@@ -13,18 +14,20 @@ buckets that still hold several components are compared further, block by block,
 only across components: a link within one cannot change the result.  There the sets are
 intersected in place, so that a large group of almost-duplicates costs no emitted pairs.
 
-A pair at the asked similarity shares no band with chance (1 - 0.85^5)^26 = 2.4e-7.
+There are as many bands as make a pair at the asked similarity share none with chance
+MISSED at most: 26 at 85 %, 39 at 80 %.
 
 Defined cases: texts without words (null, empty, blank) have no shingles and stand
-alone; rows with one doc_id are one document and each gets a row; a null doc_id links
-with nothing (component_id null, kept true); other columns are ignored.
+alone; rows with one doc_id are one document and each gets a row with the size of its own
+text, and the links of all its texts; a null doc_id links with nothing (component_id
+null, kept true); other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -37,73 +40,100 @@ from ledgerlark.llm.words import WordHashes, mix, shingle_set, split_words
 
 U = np.uint64
 SHINGLE_WORDS = 5
-BANDS, BAND_ROWS = 26, 5
+BAND_ROWS = 5
+MISSED = 2.5e-7
 SKETCH_BITS = 1024
 BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 200_000
-_HASHES = BANDS * BAND_ROWS
-_SEEDS = mix(np.arange(1, 2 * _HASHES + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
-_FLIP, _TIMES = _SEEDS[:_HASHES, None], _SEEDS[_HASHES:, None] | U(1)
+
+
+def bands_for(percent: int, missed: float = MISSED) -> int:
+    """Bands of BAND_ROWS samples of which a pair at ``percent`` shares one, but for the
+    chance ``missed``."""
+    alike = min(max(percent, 1), 99) / 100
+    return ceil(log(missed) / log(1 - alike**BAND_ROWS))
 
 
 def most_differing_bits(percent: int, chance: float = 1e-9) -> int:
     """Bits by which two sketches of documents at ``percent`` similarity differ at
     most, but for ``chance``: two for each differing sample."""
     miss = 1 - percent / 100
+    hashes = bands_for(percent) * BAND_ROWS
     tail, samples = 1.0, 0
-    for samples in range(_HASHES + 1):
-        tail -= comb(_HASHES, samples) * miss**samples * (1 - miss) ** (_HASHES - samples)
+    for samples in range(hashes + 1):
+        tail -= comb(hashes, samples) * miss**samples * (1 - miss) ** (hashes - samples)
         if tail < chance:
             break
     return 2 * samples
 
 
-def min_hashes(shingles: np.ndarray) -> np.ndarray:
-    least = np.full(_HASHES, np.iinfo(np.uint64).max, np.uint64)
+def min_hashes(shingles: np.ndarray, hashes: int) -> np.ndarray:
+    seeds = mix(np.arange(1, 2 * hashes + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
+    flip, times = seeds[:hashes, None], seeds[hashes:, None] | U(1)
+    least = np.full(hashes, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), 2048):
-        part = (shingles[None, start:start + 2048] ^ _FLIP) * _TIMES
+        part = (shingles[None, start:start + 2048] ^ flip) * times
         np.minimum(least, part.min(axis=1), out=least)
     return least
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
-    value = np.arange(1, BANDS + 1, dtype=np.uint64)
+    bands = len(least) // BAND_ROWS
+    value = np.arange(1, bands + 1, dtype=np.uint64)
     for k in range(BAND_ROWS):
-        value = mix(value * U(0x9E3779B97F4A7C15) + least.reshape(BANDS, BAND_ROWS)[:, k])
+        value = mix(value * U(0x9E3779B97F4A7C15) + least.reshape(bands, BAND_ROWS)[:, k])
     return value.view(np.int64)
 
 
 def odd_sketch(least: np.ndarray) -> bytes:
     """Parity of the samples that fall on each bit."""
-    bits = mix(least + np.arange(_HASHES, dtype=np.uint64) * U(0x632BE59BD9B4E019))
+    bits = mix(least + np.arange(len(least), dtype=np.uint64) * U(0x632BE59BD9B4E019))
     parity = np.bincount((bits % U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in batches:
-        for rows, texts in chunks(batch, "text"):
-            counts, contents, keys, sketches = [], [], [], []
-            for text in texts:
-                words = split_words(text)
-                shingles = shingle_set(hashes.of(words), SHINGLE_WORDS)
-                counts.append(len(shingles))
-                if not words:
-                    contents.append(None), keys.append(None), sketches.append(None)
-                    continue
-                contents.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
-                least = min_hashes(shingles)
-                keys.append(band_keys(least))
-                sketches.append(odd_sketch(least))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(counts, pa.int64()), pa.array(contents, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n_shingles", "content", "bands", "sketch"])
+def content_of(words: list[bytes]) -> bytes | None:
+    """What a word sequence is known by."""
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
+
+
+def _sign(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, samples = WordHashes(), bands_for(percent) * BAND_ROWS
+        for batch in batches:
+            for rows, texts in chunks(batch, "text"):
+                counts, contents, keys, sketches = [], [], [], []
+                for text in texts:
+                    words = split_words(text)
+                    shingles = shingle_set(hashes.of(words), SHINGLE_WORDS)
+                    counts.append(len(shingles))
+                    contents.append(content_of(words))
+                    if not words:
+                        keys.append(None), sketches.append(None)
+                        continue
+                    least = min_hashes(shingles, samples)
+                    keys.append(band_keys(least))
+                    sketches.append(odd_sketch(least))
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.array(counts, pa.int64()), pa.array(contents, pa.binary()),
+                     pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                    names=["doc_id", "n_shingles", "content", "bands", "sketch"])
+
+    return run
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _sign, "doc_id long, n_shingles long, content binary, bands array<long>, sketch binary")
+        _sign(percent),
+        "doc_id long, n_shingles long, content binary, bands array<long>, sketch binary")
+
+
+def _with_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows, texts in chunks(batch, "text"):
+            contents = [content_of(split_words(t)) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(contents, pa.binary())],
+                names=[*rows.schema.names, "content"])
 
 
 def _plausible(size_a: str, size_b: str, percent: int) -> str:
@@ -175,7 +205,7 @@ def incidence(sets: list[np.ndarray]) -> np.ndarray:
 def _across(percent: int):
     """Links between members of two blocks of one bucket (or of one) that lie in other
     components; a pair is looked at in the first band it shares only."""
-    bits_allowed = most_differing_bits(percent)
+    bits_allowed, bands = most_differing_bits(percent), bands_for(percent)
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -183,7 +213,7 @@ def _across(percent: int):
                                      for c in ("id", "comp", "n", "side", "band"))
         sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64)
         sketch = sketch.reshape(len(ids), -1)
-        keys = rows.column("bands").chunk(0).flatten().to_numpy().reshape(len(ids), BANDS)
+        keys = rows.column("bands").chunk(0).flatten().to_numpy().reshape(len(ids), bands)
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         likely: list[tuple[int, np.ndarray]] = []
         for i in left:
@@ -238,38 +268,61 @@ def across_components(buckets: DataFrame, nodes: DataFrame, texts: DataFrame, co
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text):
     documents whose shingle sets share ``percent`` of their union are linked."""
-    signed = stash(signatures(docs), "signatures")
-    classes = signed.where("content IS NOT NULL AND doc_id IS NOT NULL").groupBy("content").agg(
-        F.min("doc_id").alias("id"))
-    classes = stash(classes, "classes")
-    stands = classes.select(F.col("id").alias("doc_id"), "content")
-    nodes = signed.join(stands, ["doc_id", "content"]).select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch")
+    signed = stash(signatures(docs, percent), "signatures")
+    able = signed.where("content IS NOT NULL AND doc_id IS NOT NULL")
+    classes = able.groupBy("content").agg(F.min("doc_id").alias("doc_id"))
+    classes = stash(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    nodes = signed.join(classes, ["doc_id", "content"]).select(
+        "id", F.col("n_shingles").alias("n"), "bands", "sketch")
     rows = nodes.select("id", F.posexplode("bands").alias("band", "key"))
     # Written, so that the joins on it have plain shuffles, whose hot keys Spark splits.
     shared = stash(rows.groupBy("key").agg(
         F.min("id").alias("least"), F.max("id").alias("most")
     ).where("least != most").select("key", "least"), "shared")
     buckets = stash(rows.join(shared, "key").select("key", "band", "id", "least"), "buckets")
-    met = small_enough(stash(buckets.select("id").distinct(), "met"))
-    nodes = stash(nodes.dropDuplicates(["id"]).join(met, "id"), "nodes")
-    texts = stash(docs.select(F.col("doc_id").cast("long").alias("id"),
-                              F.col("text").cast("binary").alias("text")).join(met, "id")
-                  .dropDuplicates(["id"]), "texts")
+    met = stash(buckets.select("id").distinct(), "met")
+    nodes = stash(nodes.dropDuplicates(["id"]).join(small_enough(met), "id"), "nodes")
+    texts = stash(class_texts(docs, classes.join(small_enough(met), "id", "left_semi")), "texts")
 
     first = buckets.where("id != least").select(
         F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     links = stash(confirm(likely(first, nodes, percent), texts, percent), "confirmed")
+    links = stash(links.union(links_by_id(able, classes)), "confirmed")
     comps = stash(connected_components(links), "components")
     more = stash(across_components(
         buckets.select("key", "band", "id"), nodes, texts, comps, percent), "links")
     if more.take(1):
         comps = stash(connected_components(links.union(more)), "components")
 
-    known = classes.join(comps, "id", "left").select(
-        "content", F.coalesce("component", "id").alias("component"))
+    named = classes.join(comps, "id", "left").select(
+        "content", "doc_id", F.coalesce("component", "id").alias("component"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
+    known = named.join(least, "component").select("content", "least")
     return signed.select("doc_id", "n_shingles", "content").join(known, "content", "left").select(
         "doc_id", "n_shingles",
-        F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(component, doc_id) END"
+        F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(least, doc_id) END"
                ).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def class_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, text): one text of each of some ``classes`` (id, doc_id, content).  Only texts
+    under the ids of classes move."""
+    ids = small_enough(stash(classes.select("doc_id").distinct(), "class-ids"))
+    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
+    named = own.join(ids, "doc_id", "left_semi").mapInArrow(
+        _with_content, "doc_id long, text binary, content binary")
+    return named.join(classes, ["doc_id", "content"]).dropDuplicates(["doc_id", "content"]).select(
+        "id", "text")
+
+
+def links_by_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of an id that stands on several texts."""
+    pairs = rows.select("doc_id", "content").distinct()
+    least = pairs.groupBy("doc_id").agg(
+        F.min("content").alias("least"), F.count("*").alias("n")).where("n > 1")
+    both = pairs.join(least.select("doc_id", "least"), "doc_id").where("content <> least")
+    for name, column in (("a", "least"), ("b", "content")):
+        both = both.join(classes.select(F.col("content").alias(column), F.col("id").alias(name)),
+                         column)
+    return both.select("a", "b").distinct()

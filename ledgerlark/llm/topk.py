@@ -88,7 +88,12 @@ def survivors(query: np.ndarray, norm: float, threshold: float, unit: np.ndarray
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best, ties to the smaller id."""
+    """Places of the k best ids, ties to the smaller id; an id on several places counts
+    once, by its best score."""
+    order = np.lexsort((ids, -scores)) if len(np.unique(ids)) < len(ids) else None
+    if order is not None:
+        _, first = np.unique(ids[order], return_index=True)
+        return order[np.sort(first)[:k]]
     if len(scores) > 4 * k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         near = np.flatnonzero(scores >= least)

@@ -191,3 +191,23 @@ def test_near_duplicates_against_brute_force(spark, percent, broadcast_ids, odd_
             assert (r.n_shingles, r.component_id) == want[r.doc_id]
             assert r.kept == (r.doc_id == r.component_id)
     assert near_dup.near_duplicates(df.limit(0), percent).count() == 0
+
+
+def test_an_id_with_two_texts_links_through_both(spark):
+    """9 and 11, and 10 and 12, share 36 of 38 shingles; 5 has the texts of 9 and 10."""
+    one, two = [f"a{k}" for k in range(41)], [f"b{k}" for k in range(41)]
+    texts = {9: one, 11: [*one[:-1], "x"], 10: two, 12: [*two[:-1], "y"], 20: ["other"] * 9}
+    rows = [(k, " ".join(t)) for k, t in texts.items()]
+    alone = near_dup.near_duplicates(spark.createDataFrame(rows, DOCS), 85).collect()
+    assert {r.doc_id: r.component_id for r in alone} == {9: 9, 11: 9, 10: 10, 12: 10, 20: 20}
+    rows += [(5, " ".join(one)), (5, " ".join(two).upper()), (5, None)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(3), 85).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {
+        (5, 5, True), (9, 5, False), (10, 5, False), (11, 5, False), (12, 5, False), (20, 20, True)}
+    assert len(got) == len(rows)
+
+
+def test_bands_keep_what_is_missed_below_one_bound():
+    for percent, bands in ((85, 26), (80, 39), (50, 479)):
+        assert near_dup.bands_for(percent) == bands
+        assert (1 - (percent / 100) ** 5) ** bands <= near_dup.MISSED

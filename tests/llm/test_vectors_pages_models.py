@@ -43,6 +43,21 @@ def test_top_k_against_brute_force(spark):
     assert topk.top_k(df.limit(0), F.col("id") % 10 == 0).count() == 0
 
 
+def test_an_id_on_several_vectors_takes_one_rank(spark):
+    """Vec_id 7 on six vectors and six others, all in one bucket."""
+    rows = [(50, [1.0, 1.0])] + [(7, [1.0, 1.0 + k / 100]) for k in range(6)]
+    rows += [(k, [1.0, 1.0 - k / 1000]) for k in (1, 2, 3, 4, 5, 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(topk.top_k(df, F.col("id") == 50).collect())
+    vector = [256, 256]
+    best = {}
+    for k, v in rows[1:]:
+        score = sum(a * math.floor(256 * x) for a, x in zip(vector, v))
+        best[k] = max(score, best.get(k, score))
+    want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5]
+    assert [tuple(r) for r in got] == [(50, n, k, s) for n, (k, s) in enumerate(want, 1)]
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     rng = np.random.default_rng(0)
     vectors = rng.normal(size=(500, 8)) * rng.uniform(0.8, 1, (500, 1))
