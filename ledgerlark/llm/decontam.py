@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import chunks, schema_with, stash
@@ -132,11 +132,14 @@ def _scan(docs: DataFrame, shared: Broadcast, window: int) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                          block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` that hold no test string, one pass a block of strings."""
-    kept, context = docs, docs.sparkSession.sparkContext
+    """The rows of ``docs`` that hold no test string, one pass a block of strings.  Other
+    columns travel in one struct, whatever their names."""
+    others = F.struct(*(c for c in docs.columns if c != "text")).alias("others")
+    kept, context = docs.select("text", others), docs.sparkSession.sparkContext
     for block in _blocks(benchmark, block_words):
-        kept = _scan(kept, context.broadcast(block), window).where("size(spans) = 0").select(*docs.columns)
-    return kept
+        kept = _scan(kept, context.broadcast(block), window).where("size(spans) = 0").select(
+            "text", "others")
+    return kept.select(*(F.col(c) if c == "text" else F.col(f"others.`{c}`") for c in docs.columns))
 
 
 def united(spans: list) -> list[list[int]]:
@@ -150,6 +153,20 @@ def united(spans: list) -> list[list[int]]:
     return whole
 
 
+def united_column(spans: Column) -> Column:
+    """``united`` of an array of spans, as an expression."""
+    none = F.expr("CAST(array() AS array<array<bigint>>)")
+
+    def add(whole: Column, span: Column) -> Column:
+        last = F.element_at(whole, -1)
+        longer = F.array(F.array(last[0], F.greatest(last[1], span[1])))
+        return F.when((F.size(whole) > 0) & (span[0] <= F.try_element_at(whole, F.lit(-1))[1]),
+                      F.concat(F.slice(whole, 1, F.size(whole) - 1), longer)
+                      ).otherwise(F.concat(whole, F.array(span)))
+
+    return F.aggregate(F.sort_array(spans), none, add)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, spans (hit word runs [start, end)) and items (sorted ids)."""
@@ -170,11 +187,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         hits = stash(found, "hits") if hits is None else hits.union(stash(found, "hits"))
         shared.destroy()  # the driver holds one block and the next
         block, following = following, next(blocks, None)
-    unite = F.udf(lambda parts: united(sorted(map(tuple, parts))), "array<array<long>>")
     joined = hits.groupBy("_row").agg(
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    joined = joined.select("_row", unite("spans").alias("spans"), "items")
+    joined = joined.select("_row", united_column(F.col("spans")).alias("spans"), "items")
     return counted.drop("spans", "items").join(joined, "_row", "left").select(
         "doc_id", "n_words", F.coalesce("spans", F.expr("CAST(array() AS array<array<long>>)")).alias("spans"),
         F.coalesce("items", F.expr("CAST(array() AS array<string>)")).alias("items"))

@@ -282,6 +282,8 @@ def archive_round_trip(pages: DataFrame, least_revisit: int = 0) -> DataFrame:
     responses = stash(responses, "responses")  # plain shuffles in the join: hot keys are split
     return read.join(responses, "first_row", "left").select(
         "page_id", F.coalesce("size", "first_size").alias("payload_bytes"),
-        F.coalesce("own", "first_own").alias("payload_digest"),
+        F.when(F.coalesce("own", "first_own") != F.col("digest"), F.raise_error(F.concat(
+            F.lit("the digest of a record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")),
+            F.lit(" does not hold")))).otherwise(F.coalesce("own", "first_own")).alias("payload_digest"),
         F.col("kind").alias("record_type"), "refers_to",
         (F.coalesce("own", "first_own") == F.col("digest")).alias("digest_holds"))

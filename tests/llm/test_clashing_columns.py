@@ -27,3 +27,13 @@ def test_repeated_strings_with_clashing_columns(spark):
         (3, part[2], 600, "s", "n", "k")]
     narrow = docs.select("doc_id", "text", "n_chars", F.lit(1).alias("_row2"))
     assert corpus_pipeline.remove_repeated_strings(spark, narrow, "").count() == 3
+
+
+def test_near_duplicates_stage_keeps_columns_named_as_its_own(spark):
+    import corpus_pipeline
+
+    rows = [(1, "a b c d e f", 5, "x", 2.0), (2, "a b c d e f", 6, "y", 3.0), (3, "other", 7, "z", 4.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int, Row_ string, number double")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [rows[0], rows[2]]
