@@ -22,6 +22,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with marks behind it until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def others_packed(docs: DataFrame) -> Column:
     """The columns but ``text`` as ``_row``, out of the way of those an operator adds."""
     return F.struct(*(c for c in docs.columns if c != "text")).alias("_row")
@@ -41,15 +49,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps one row of each group of rows that share 80 % of their 5-word shingles,
     directly or through others: that of the smallest id, null last.  Rows are told apart
     by a number of their own, so that copies under one id or a null id are a group too."""
-    rows = stash(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = stash(near_dup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(
-        F.col("doc_id").alias("_row"), "component_id"), "grouped")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
-    groups = stash(found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(
-        first["_row"].alias("_first"), F.count("*").alias("_n")).where("_n > 1"), "groups")
-    dropped = small_enough(stash(
-        found.join(groups, "component_id").where("_row != _first").select("_row"), "dropped"))
-    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
+    number = free_name(docs, "row")
+    rows = stash(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    ids = rows.select(F.col(number).alias("number"), "doc_id")
+    found = stash(near_dup.near_duplicates(rows.select(F.col(number).alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("number"), "component_id"), "grouped")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "number"))
+    groups = stash(found.join(ids, "number").groupBy("component_id").agg(
+        first["number"].alias("first"), F.count("*").alias("n")).where("n > 1"), "groups")
+    dropped = stash(found.join(groups, "component_id").where("number != first").select(
+        F.col("number").alias(number)), "dropped")
+    return rows.join(small_enough(dropped), number, "left_anti").select(*docs.columns)
 
 
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
