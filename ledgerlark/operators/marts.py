@@ -6,8 +6,9 @@ Plan shape
   items on ``order_id``).  No hints: AQE turns a join into a broadcast only
   from measured sizes, and splits skewed partitions when one order or one
   customer carries a large share of the rows.
-* Money is summed exactly as ``DECIMAL(quantity) * DECIMAL(27,12)(price)``, so
-  the totals do not depend on partitioning or summation order.
+* Money is summed exactly (``operators/money.py``), so the totals do not depend on
+  partitioning or summation order.  Lines whose price DECIMAL(27,12) does not hold are
+  summed by limbs and joined to each mart; where there are none, no plan changes.
 * Distinct order counts never use ``count(DISTINCT ...)``: with three distinct
   expressions Catalyst plans an ``Expand`` that multiplies the input rows.
   Instead lines are first rolled up to one row per order (``order_rollup``),
@@ -33,6 +34,7 @@ from ledgerlark.functions.columns import (
     revenue_flag,
     strict_timestamp,
 )
+from ledgerlark.operators import money
 
 # Mart names and their column order.
 MART_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -71,15 +73,9 @@ def sort_keys(mart: str) -> list[Column]:
             for c, desc in _SORT[mart]]
 
 
-# Exact paid revenue of a fact line; 0 for unpaid lines, null if unknown.
-# Twelve decimals and prices below 10^15 keep every factor and product exact.
-LINE_REVENUE_SQL = ("CASE WHEN is_revenue_order = 1 THEN CAST(quantity AS DECIMAL(10,0)) "
-                    "* CAST(unit_price AS DECIMAL(27,12)) ELSE 0 END")
-
-
-def _money_sql(total: str) -> str:
-    """Exact decimal total rounded half away from zero to cents, as DOUBLE."""
-    return f"CAST(round({total}, 2) AS DOUBLE)"
+def _paid_sql(split: bool) -> str:
+    """Exact paid revenue of a fact line; 0 for unpaid lines, null if unknown."""
+    return f"CASE WHEN is_revenue_order = 1 THEN {money.line_value_sql(split)} ELSE 0 END"
 
 
 def _exprs(*pairs: tuple[str, str]) -> list[Column]:
@@ -119,19 +115,31 @@ def fact_order_items(customers: DataFrame, orders: DataFrame, items: DataFrame,
     )
 
 
-def order_rollup(fact: DataFrame) -> DataFrame:
-    """Fact lines reduced to one row per order and its attributes.
+def wide_lines(fact: DataFrame) -> DataFrame:
+    """The paid lines whose price needs the sum by limbs."""
+    return fact.where("is_revenue_order = 1").where(f"NOT {money.FITS_SQL}")
+
+
+def has_wide_prices(items: DataFrame) -> bool:
+    """Whether any price of ``items`` needs the sum by limbs: a scan of one column."""
+    return bool(items.select("unit_price").where(f"NOT {money.FITS_SQL}").take(1))
+
+
+def order_rollup(fact: DataFrame, split: bool = False) -> DataFrame:
+    """Fact lines reduced to one row per order and its attributes.  With ``split`` the lines
+    of ``wide_lines`` are left to the marts' limbs.
 
     Grouping by every order-level attribute loses nothing the marts need, and
     because the keys include ``order_id`` partial aggregation collapses the
     lines of an order before the shuffle.
     """
     return fact.groupBy(*_ORDER_KEYS).agg(
-        *_exprs(("revenue", f"sum({LINE_REVENUE_SQL})"), ("lines", "count(1)")))
+        *_exprs(("revenue", f"sum({_paid_sql(split)})"), ("lines", "count(1)")))
 
 
 def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFrame,
-                          date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> DataFrame:
+                          date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
+                          split: bool = False) -> DataFrame:
     """The same rollup computed without the fact: items are pre-aggregated per
     order (map-side partial aggregation, so only one row per order and map
     task crosses the shuffle), then joined with orders and customers.
@@ -142,10 +150,9 @@ def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFr
     unique in ``orders``, which the quality gate guarantees before the job
     uses it.
     """
-    line_value = (F.col("quantity").cast("int").cast("decimal(10,0)")
-                  * F.col("unit_price").cast("double").cast("decimal(27,12)"))
+    line_value = money.line_value_sql(split)
     per_order = items.groupBy("order_id").agg(
-        F.sum(line_value).alias("_gross"), F.count(F.lit(1)).alias("lines"))
+        F.expr(f"sum({line_value})").alias("_gross"), F.count(F.lit(1)).alias("lines"))
     o = _dated(orders, date_formats)
     c = customers.select("customer_id", "country", "segment")
     joined = o.join(c, "customer_id").join(per_order, "order_id")
@@ -185,50 +192,65 @@ def _order_counts() -> list[Column]:
     )
 
 
-def daily_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True) -> DataFrame:
-    """Orders and paid revenue per day (M1)."""
+def _limbs(wide: DataFrame | None, keys: Sequence[str]) -> DataFrame | None:
+    return None if wide is None else money.limb_sums(wide, keys)
+
+
+def daily_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True,
+                  wide: DataFrame | None = None) -> DataFrame:
+    """Orders and paid revenue per day (M1).  ``wide``: the ``wide_lines`` that the rollup
+    left out."""
     per_day = _per_order(rollup, ["order_date"], unique_orders).groupBy("order_date").agg(
         *_order_counts()
     )
+    per_day = money.with_limbs(per_day, _limbs(wide, ["order_date"]), ["order_date"])
     out = per_day.select(
         "order_date", "total_orders", "paid_orders", "canceled_orders",
-        *_exprs(("gross_revenue", _money_sql("_revenue")),
-                ("avg_order_value",
-                 money_round_sql(Sql("try_divide(CAST(_revenue AS DOUBLE), paid_orders)")))),
+        *_exprs(("gross_revenue", money.cents_sql("_revenue")),
+                ("avg_order_value", money_round_sql(
+                    Sql(f"try_divide({money.double_sql('_revenue')}, paid_orders)")))),
     )
     return out.orderBy(*sort_keys("daily_revenue")) if ordered else out
 
 
-def customer_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True) -> DataFrame:
+def customer_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True,
+                     wide: DataFrame | None = None) -> DataFrame:
     """Orders, revenue and last paid day per customer (M2)."""
     keys = ["customer_id", "country", "segment"]
     per_customer = _per_order(rollup, keys, unique_orders).groupBy(*keys).agg(
         *_order_counts(), *_exprs(("last_paid_order_date", "max(paid_date)"))
     )
+    per_customer = money.with_limbs(per_customer, _limbs(wide, keys), keys)
     out = per_customer.select(
         *keys, "total_orders", "paid_orders", "canceled_orders",
-        *_exprs(("gross_revenue", _money_sql("_revenue"))), "last_paid_order_date",
+        *_exprs(("gross_revenue", money.cents_sql("_revenue"))), "last_paid_order_date",
     )
     return out.orderBy(*sort_keys("customer_revenue")) if ordered else out
 
 
-def product_revenue(fact: DataFrame, top_n: int | None = PRODUCT_TOP_N) -> DataFrame:
+def product_revenue(fact: DataFrame, top_n: int | None = PRODUCT_TOP_N,
+                    wide: DataFrame | None = None) -> DataFrame:
     """Units sold and not paid, and paid revenue per product; top ``top_n`` (M3).
 
     The ordered limit plans as ``TakeOrderedAndProject``: every partition
     keeps its own best ``top_n`` rows, so only ``top_n`` x partitions reach
     the final merge.
     """
-    grouped = fact.groupBy("product_id", "description").agg(*_exprs(
+    keys = ["product_id", "description"]
+    grouped = fact.groupBy(*keys).agg(*_exprs(
         ("units_sold", "CAST(sum(quantity * is_revenue_order) AS BIGINT)"),
         ("units_canceled", "CAST(sum(quantity * (1 - is_revenue_order)) AS BIGINT)"),
-        ("gross_revenue", _money_sql(f"sum({LINE_REVENUE_SQL})")),
+        ("_revenue", f"sum({_paid_sql(wide is not None)})"),
     ))
+    grouped = money.with_limbs(grouped, _limbs(wide, keys), keys).select(
+        *keys, "units_sold", "units_canceled",
+        *_exprs(("gross_revenue", money.cents_sql("_revenue"))))
     ordered = grouped.orderBy(*sort_keys("product_revenue"))
     return ordered.limit(top_n) if top_n else ordered
 
 
-def country_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True) -> DataFrame:
+def country_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True,
+                    wide: DataFrame | None = None) -> DataFrame:
     """Customers, orders and revenue per country and segment (M4)."""
     keys = ["country", "segment"]
     if unique_orders:
@@ -255,21 +277,23 @@ def country_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: boo
             F.col("country").eqNullSafe(F.col("_country"))
             & F.col("segment").eqNullSafe(F.col("_segment")),
         )
-    out = grouped.select(
+    out = money.with_limbs(grouped, _limbs(wide, keys), keys).select(
         *keys, "customers", "total_orders", "paid_orders", "canceled_orders",
-        *_exprs(("gross_revenue", _money_sql("_revenue"))),
+        *_exprs(("gross_revenue", money.cents_sql("_revenue"))),
     )
     return out.orderBy(*sort_keys("country_revenue")) if ordered else out
 
 
 def build_marts(fact: DataFrame, unique_orders: bool = False, rollup: DataFrame | None = None,
-                ordered: bool = True) -> dict[str, DataFrame]:
+                ordered: bool = True, split: bool = False) -> dict[str, DataFrame]:
     """All four marts from one fact (M5).  Pass a materialised ``rollup`` to
-    avoid re-reducing the fact for each order-grain mart."""
-    rollup = order_rollup(fact) if rollup is None else rollup
+    avoid re-reducing the fact for each order-grain mart.  ``split``: some prices need the
+    sum by limbs (``has_wide_prices``); without it such a price is an error, never a loss."""
+    rollup = order_rollup(fact, split) if rollup is None else rollup
+    wide = wide_lines(fact) if split else None
     return {
-        "daily_revenue": daily_revenue(rollup, unique_orders, ordered),
-        "customer_revenue": customer_revenue(rollup, unique_orders, ordered),
-        "product_revenue": product_revenue(fact),
-        "country_revenue": country_revenue(rollup, unique_orders, ordered),
+        "daily_revenue": daily_revenue(rollup, unique_orders, ordered, wide),
+        "customer_revenue": customer_revenue(rollup, unique_orders, ordered, wide),
+        "product_revenue": product_revenue(fact, wide=wide),
+        "country_revenue": country_revenue(rollup, unique_orders, ordered, wide),
     }

@@ -1,22 +1,20 @@
 """Reads over published marts and report tables.
 
-Marts are published in two forms: as built, and in their published order with each
-row's position.  A page of any depth is a filter on stored positions.  Latest-run lookups use ``max_by`` (one partial
+Marts are published once, in their published order with each row's place.  A page of any
+depth is a filter on stored places.  Latest-run lookups use ``max_by`` (one partial
 aggregate), never a sort of the run history.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.marts import MART_NAMES, sort_keys
-from ledgerlark.session import shared_dir
 from ledgerlark.sources import fs
-from ledgerlark.sources.sinks import Release, report_paths
+from ledgerlark.sources.sinks import PLACES, Release, report_paths
 
 DEFAULT_LIMIT = 100
 MAX_LIMIT = 1000
@@ -46,15 +44,17 @@ def check_bounds(limit: int, offset: int) -> None:
         raise ValueError("offset must be zero or positive")
 
 
-def write_positions(mart_df: DataFrame, mart: str, path: str) -> None:
-    """Store a mart in its published order, each row with its place.
+def write_positions(mart_df: DataFrame, mart: str, path: str) -> int:
+    """Store a mart in its published order, each row with its place (O3, O5); its rows.
 
     One range sort; partition and place in it are written by the tasks that sorted
-    them, so every later read sees the same positions."""
-    ordered = mart_df.orderBy(*sort_keys(mart))
-    ordered.select("*", F.spark_partition_id().alias("_part"),
-                   (F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).alias("_place")
-                   ).write.mode("overwrite").parquet(path)
+    them, so every later read sees the same places."""
+    rows = Observation()
+    placed = mart_df.orderBy(*sort_keys(mart)).select(
+        "*", F.spark_partition_id().alias(PLACES[0]),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias(PLACES[1]))
+    placed.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return int(rows.get["rows"])
 
 
 def stored_page(stored: DataFrame, mart: str, limit: int = DEFAULT_LIMIT,
@@ -76,12 +76,10 @@ def stored_page(stored: DataFrame, mart: str, limit: int = DEFAULT_LIMIT,
 
 
 def page(mart_df: DataFrame, mart: str, limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:
-    """A page of a mart that is not published: it is stored with positions first."""
+    """A page of a mart that is not published: an ordered top-k of offset + limit rows.
+    For deep pages publish the mart, or store it with ``write_positions``."""
     check_bounds(limit, offset)
-    spark = mart_df.sparkSession
-    path = f"{shared_dir(spark)}/ledgerlark-pages/{mart}-{uuid.uuid4().hex}"
-    write_positions(mart_df, mart, path)
-    return stored_page(spark.read.parquet(path), mart, limit, offset)[0]
+    return mart_df.orderBy(*sort_keys(mart)).offset(offset).limit(limit)
 
 
 def page_records(rows: DataFrame) -> DataFrame:
@@ -103,7 +101,8 @@ def read_mart_page(spark: SparkSession, out_root: str, mart: str, limit: int = D
     if table not in MART_NAMES:
         raise KeyError(f"Unknown mart: {mart}")
     check_bounds(limit, offset)
-    rows, total = stored_page(Release(spark, out_root).read(f"pages/{table}"), table, limit, offset)
+    rows, total = stored_page(Release(spark, out_root).read_placed(f"marts/{table}"),
+                             table, limit, offset)
     return MartPage(mart, total, limit, offset, rows)
 
 

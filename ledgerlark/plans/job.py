@@ -3,21 +3,29 @@
 Job layout (actions per run)
 ----------------------------
 1. quality: one job for every check row (+ one bounded sample job only when
-   checks failed); the report rows are appended *before* the gate can raise;
+   checks failed); the report rows are appended *before* the gate can raise.  A run that
+   passed leaves a manifest in its folder: schemas, counts, measured bytes, the proof of
+   the gate and the date layouts, which is all that the warehouse stage starts from, in
+   this session or another (``resume_run``);
 2. warehouse: raw copies and the fact are written concurrently; the fact is
    read back from storage (lineage cut, an executor loss re-reads files
    instead of recomputing joins); the order rollup is written to the
-   shared work folder (``spark.checkpoint.dir``) and read back; the four marts are written concurrently, each
-   counting its rows through an ``Observation`` during the write;
+   shared work folder (``spark.checkpoint.dir``) and read back; the four marts are written
+   concurrently, each once, in its published order with every row's place, which serves
+   readers and pages alike, and counted through an ``Observation`` during the write;
 3. publish: one pointer write makes the run visible; a summary row is
    appended to ``pipeline_runs``.
 
+A running job holds a lease on its run folder, so that ``Release.prune`` of another job
+leaves it alone.
+
 A failure at any stage appends a failure summary and re-raises the original
 error; a failing report write never masks it.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 from datetime import datetime
 from collections.abc import Callable, Mapping, Sequence
@@ -31,6 +39,7 @@ from pyspark.sql import types as T
 
 from ledgerlark.functions.columns import DEFAULT_DATE_FORMATS
 from ledgerlark.operators import marts as mart_ops
+from ledgerlark.operators import money
 from ledgerlark.operators.reads import write_positions
 from ledgerlark.operators.quality import (
     CRITICAL,
@@ -74,6 +83,18 @@ class Validation:
     raw_bytes: dict[str, int] = field(default_factory=dict)
     # Layouts in which the checked dates are written.
     date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
+    # Whether prices need the sum by limbs; None: not counted.
+    wide_prices: bool | None = None
+
+
+@dataclass(frozen=True)
+class Staged:
+    """Typed raw tables of a run folder and what was observed while they were written."""
+
+    tables: dict[str, DataFrame]
+    rows: dict[str, int]
+    bytes: dict[str, int]
+    wide_prices: bool | None
 
 
 @dataclass
@@ -121,7 +142,7 @@ class RunRecord:
 def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, release: Release,
                      run_id: str, raw_format: str = "parquet",
                      csv_options: Mapping[str, str] | None = None,
-                     ) -> tuple[dict[str, DataFrame], dict[str, int], dict[str, int]]:
+                     ) -> Staged:
     """Type the raw tables once and write them as Parquet copies in the run
     folder (S2, S3).  Row counts, measured bytes and type violations are
     observed during the writes; later stages scan the columnar copies instead
@@ -129,8 +150,10 @@ def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, re
     # Text files are typed by name on the way in; frames handed over in memory
     # are copied as they are (their checks see the values as given).
     typing = isinstance(raw, str) and raw_format == "csv"
-    text = files.read_raw_text(spark, raw, raw_format) if isinstance(raw, str) else dict(raw)
+    text = (files.read_raw_text(spark, raw, raw_format, csv_options=csv_options)
+            if isinstance(raw, str) else dict(raw))
     observations: dict[str, Observation] = {}
+    prices: Observation | None = None
     tasks: dict[str, Callable[[], Any]] = {}
     paths: dict[str, str] = {}
     schemas: dict[str, T.StructType] = {}
@@ -143,19 +166,25 @@ def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, re
         observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"),
                                  measured_bytes(frame).alias("bytes"), *counters)
         typed = observed.select(*files.typed_columns(observed, name)) if typing else observed
+        if name == "order_items" and dict(typed.dtypes).get("unit_price") in ("double", "float"):
+            prices = Observation()
+            typed = typed.observe(prices, money.wide_prices().alias("wide"))
         schemas[name] = typed.schema
         paths[name] = release.table_path(run_id, f"raw_{name}")
         tasks[name] = (lambda df=typed, p=paths[name]: sinks.write_table(df, p))
     _parallel(tasks)
     metrics = {name: obs.get for name, obs in observations.items()}
+    if prices is not None:
+        metrics["order_items"]["wide"] = prices.get["wide"]
     violations = {k: int(v) for m in metrics.values() for k, v in m.items()
-                  if k not in ("rows", "bytes") and v}
+                  if k not in ("rows", "bytes", "wide") and v}
     if violations:
         raise files.RawTypeError(violations)
     raw_rows = {name: int(m["rows"]) for name, m in metrics.items()}
     raw_bytes = {name: int(m["bytes"] or 0) for name, m in metrics.items()}
     staged = {name: spark.read.schema(schemas[name]).parquet(p) for name, p in paths.items()}
-    return staged, raw_rows, raw_bytes
+    wide = metrics.get("order_items", {}).get("wide")
+    return Staged(staged, raw_rows, raw_bytes, None if wide is None else wide > 0)
 
 
 def measured_bytes(frame: DataFrame) -> Column:
@@ -186,18 +215,18 @@ def load_unstaged(spark: SparkSession, raw: Mapping[str, DataFrame] | str,
 
 def check_and_report(spark: SparkSession, tables: Mapping[str, DataFrame], reports_root: str,
                      run_id: str, started_at: str, rules: QualityRules = DEFAULT_RULES,
-                     raw_rows: Mapping[str, int] | None = None,
-                     raw_bytes: Mapping[str, int] | None = None) -> Validation:
+                     staged: Staged | None = None) -> Validation:
     """Run every check, always persist the report rows, then gate."""
     engine = QualityEngine(tables, rules)
     checks = engine.run()
     domain_checks = {s.name for s in engine.specs if s.kind == "accepted_values"}
-    rows = dict(raw_rows or {}) or {c.name.split(".")[0]: int(c.details.get("rows", 0))
+    rows = dict(staged.rows) if staged else {c.name.split(".")[0]: int(c.details.get("rows", 0))
                                     for c in checks if c.name.endswith(".not_empty")}
     path = sinks.append_quality_results(spark, reports_root, run_id, iso_millis(utc_now()), checks)
     validation = Validation(run_id, started_at, rows, checks, tallies(checks),
-                            {"quality_report": path}, dict(tables), dict(raw_bytes or {}),
-                            tuple(rules.date_formats))
+                            {"quality_report": path}, dict(tables),
+                            dict(staged.bytes) if staged else {}, tuple(rules.date_formats),
+                            staged.wide_prices if staged else None)
     gate = QualityGateError(checks, rows)
     if any(not c.passed and c.name in domain_checks for c in checks):
         whole = engine.invalid_domain_values().withColumns(
@@ -211,18 +240,52 @@ def check_and_report(spark: SparkSession, tables: Mapping[str, DataFrame], repor
 
 def run_quality_stage(spark: SparkSession, raw: Mapping[str, DataFrame] | str, reports_root: str,
                       run_id: str, started_at: str, rules: QualityRules = DEFAULT_RULES,
-                      raw_format: str = "parquet", release: Release | None = None) -> Validation:
+                      raw_format: str = "parquet", release: Release | None = None,
+                      csv_options: Mapping[str, str] | None = None) -> Validation:
     """Load, check, always persist the report rows, then gate.
 
     With a ``release`` the typed raw tables are first staged in its run folder
-    (see ``stage_raw_tables``); without one the given frames are checked as
-    they are."""
+    (see ``stage_raw_tables``) and a passed gate leaves the run's manifest there; without
+    one the given frames are checked as they are."""
     if release is not None:
-        tables, raw_rows, raw_bytes = stage_raw_tables(spark, raw, release, run_id, raw_format)
-        return check_and_report(spark, tables, reports_root, run_id, started_at, rules,
-                                raw_rows, raw_bytes)
-    return check_and_report(spark, load_unstaged(spark, raw, raw_format), reports_root, run_id,
-                            started_at, rules)
+        staged = stage_raw_tables(spark, raw, release, run_id, raw_format, csv_options)
+        validation = check_and_report(spark, staged.tables, reports_root, run_id, started_at, rules,
+                                      staged)
+        write_manifest(release, validation)
+        return validation
+    return check_and_report(spark, load_unstaged(spark, raw, raw_format, csv_options), reports_root,
+                            run_id, started_at, rules)
+
+
+MANIFEST = "_manifest.json"
+
+
+def write_manifest(release: Release, validation: Validation) -> None:
+    """What the warehouse stage has to know of a run whose gate passed."""
+    v = validation
+    text = json.dumps({
+        "run_id": v.run_id, "started_at": v.started_at,
+        "tables": {name: {"schema": frame.schema.jsonValue(), "rows": v.raw_rows[name],
+                          "bytes": v.raw_bytes[name]} for name, frame in v.tables.items()},
+        "wide_prices": v.wide_prices, "date_formats": list(v.date_formats), "outputs": v.outputs,
+        "checks": [[c.check_no, c.name, c.passed, c.severity, c.failed_rows] for c in v.checks],
+    })
+    fs.write_text_atomic(release.spark, release.table_path(v.run_id, MANIFEST), text)
+
+
+def read_manifest(release: Release, run_id: str) -> Validation:
+    """The validation of a staged run, with its tables as they were written."""
+    text = fs.read_text(release.spark, release.table_path(run_id, MANIFEST))
+    if text is None:
+        raise FileNotFoundError(f"run {run_id} left no manifest: its gate did not pass here")
+    m = json.loads(text)
+    checks = [CheckResult(*row) for row in m["checks"]]
+    tables = {name: release.spark.read.schema(T.StructType.fromJson(t["schema"])).parquet(
+        release.table_path(run_id, f"raw_{name}")) for name, t in m["tables"].items()}
+    return Validation(
+        run_id, m["started_at"], {n: t["rows"] for n, t in m["tables"].items()}, checks,
+        tallies(checks), m["outputs"], tables, {n: t["bytes"] for n, t in m["tables"].items()},
+        tuple(m["date_formats"]), m["wide_prices"])
 
 
 def keys_proven_by(rules: QualityRules) -> bool:
@@ -250,12 +313,14 @@ class WarehouseBase:
     fact_path: str
     rollup_path: str
     unique_orders: bool
+    split: bool
 
 
 def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes: Mapping[str, int],
                release: Release, run_id: str, unique_orders: bool,
                broadcast_bytes: int = MEASURED_BROADCAST_BYTES,
-               date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> WarehouseBase:
+               date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
+               wide_prices: bool | None = None) -> WarehouseBase:
     """Write the fact (S4) and the order rollup for ``run_id``.
 
     Dimensions whose *measured* size is small are broadcast; anything else (or
@@ -263,6 +328,7 @@ def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes:
     ``unique_orders`` the rollup is built from items pre-aggregated per order,
     next to the fact instead of after it."""
     t = tables
+    split = mart_ops.has_wide_prices(t["order_items"]) if wide_prices is None else wide_prices
     fact_path = release.table_path(run_id, "fact_order_items")
     small = {name for name, size in raw_bytes.items()
              if name in ("customers", "orders") and size <= broadcast_bytes}
@@ -274,13 +340,13 @@ def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes:
     rollup_path = _rollup_path(spark, run_id)
     if unique_orders:
         rollup_df = mart_ops.order_rollup_from_raw(dims["customers"], dims["orders"],
-                                                   t["order_items"], date_formats)
+                                                   t["order_items"], date_formats, split)
         _parallel({"fact": lambda: sinks.write_table(fact, fact_path),
                    "rollup": lambda: sinks.write_table(rollup_df, rollup_path)})
     else:
         sinks.write_table(fact, fact_path)
-        sinks.write_table(mart_ops.order_rollup(spark.read.parquet(fact_path)), rollup_path)
-    return WarehouseBase(fact_path, rollup_path, unique_orders)
+        sinks.write_table(mart_ops.order_rollup(spark.read.parquet(fact_path), split), rollup_path)
+    return WarehouseBase(fact_path, rollup_path, unique_orders, split)
 
 
 def _rollup_path(spark: SparkSession, run_id: str) -> str:
@@ -306,21 +372,19 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     unique_orders = all(name in passed for name in _KEY_CHECKS)
     if base is None or (base.unique_orders and not unique_orders):
         base = build_base(spark, validation.tables, validation.raw_bytes, release, run_id,
-                          unique_orders, broadcast_bytes, validation.date_formats)
+                          unique_orders, broadcast_bytes, validation.date_formats,
+                          validation.wide_prices)
     outputs["fact_order_items"] = base.fact_path
     fact_stored = spark.read.parquet(base.fact_path)
     rollup = spark.read.parquet(base.rollup_path)
-    # Parquet marts are written unsorted (readers page with an ordered top-k);
-    # only the CSV export pays for a global sort into the published order.
     marts = mart_ops.build_marts(fact_stored, unique_orders=base.unique_orders, rollup=rollup,
-                                 ordered=False)
+                                 ordered=False, split=base.split)
 
     def write_mart(name: str, frame: DataFrame) -> dict[str, Any]:
         path = release.table_path(run_id, f"marts/{name}")
-        rows = sinks.write_table(frame, path, count_rows=True)
-        write_positions(spark.read.parquet(path), name, release.table_path(run_id, f"pages/{name}"))
+        rows = write_positions(frame, name, path)
         if export_csv:
-            ordered = spark.read.parquet(path).orderBy(*mart_ops.sort_keys(name))
+            ordered = spark.read.parquet(path).orderBy(*sinks.PLACES).drop(*sinks.PLACES)
             write_csv(ordered, release.table_path(run_id, f"export/{name}.csv"))
         return {"rows": int(rows), "columns": list(frame.columns), "path": path}
 
@@ -362,29 +426,23 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
     ahead: Future | None = None
     pool = ThreadPoolExecutor(max_workers=1)
     try:
+        release.lease(run_id)
         if copy_raw:
-            tables, raw_rows, raw_bytes = stage_raw_tables(spark, raw, release, run_id,
-                                                           raw_format, csv_options)
-            if overlap and keys_proven_by(rules) and _has_warehouse_inputs(tables):
-                ahead = pool.submit(build_base, spark, tables, raw_bytes, release, run_id, True,
-                                    date_formats=rules.date_formats)
-            validation = check_and_report(spark, tables, reports_root, run_id, started_at,
-                                          rules, raw_rows, raw_bytes)
+            staged = stage_raw_tables(spark, raw, release, run_id, raw_format, csv_options)
+            if overlap and keys_proven_by(rules) and _has_warehouse_inputs(staged.tables):
+                ahead = pool.submit(build_base, spark, staged.tables, staged.bytes, release, run_id,
+                                    True, date_formats=rules.date_formats,
+                                    wide_prices=staged.wide_prices)
+            validation = check_and_report(spark, staged.tables, reports_root, run_id, started_at,
+                                          rules, staged)
+            write_manifest(release, validation)
         else:
             validation = check_and_report(
                 spark, load_unstaged(spark, raw, raw_format, csv_options), reports_root, run_id,
                 started_at, rules)
         record.checked(validation.checks, validation.raw_rows, reports_root)
-        record.stage = "warehouse"
         base = ahead.result() if ahead is not None else None
-        warehouse = run_warehouse_stage(spark, validation, out_root, export_csv, copy_raw,
-                                        base=base)
-        record.marts = {name: {"rows": int(m["rows"]), "columns": list(m["columns"])}
-                        for name, m in warehouse.marts.items()}
-        record.outputs.update(warehouse.outputs)
-        record.stage = "publish_summary"
-        summary = record.close()
-        summary["outputs"]["run_summary"] = sinks.append_run_summary(spark, reports_root, summary)
+        summary = _finish(spark, validation, record, out_root, reports_root, export_csv, copy_raw, base)
     except Exception as error:
         if isinstance(error, QualityGateError):
             logger.warning("run %s stopped by the quality gate: %s", run_id, error)
@@ -407,11 +465,49 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame] | str, out_ro
         raise
     finally:
         pool.shutdown(wait=True)
+        release.end_lease(run_id)
     if keep_releases > 0:
         release.prune(keep_releases)  # the run is over: what fails here fails alone
     return summary
 
 
+def _finish(spark: SparkSession, validation: Validation, record: RunRecord, out_root: str,
+            reports_root: str, export_csv: bool, copy_raw: bool,
+            base: WarehouseBase | None = None) -> dict[str, Any]:
+    """Warehouse and publication of a run whose gate passed."""
+    record.stage = "warehouse"
+    warehouse = run_warehouse_stage(spark, validation, out_root, export_csv, copy_raw, base=base)
+    record.marts = {name: {"rows": int(m["rows"]), "columns": list(m["columns"])}
+                    for name, m in warehouse.marts.items()}
+    record.outputs.update(warehouse.outputs)
+    record.stage = "publish_summary"
+    summary = record.close()
+    summary["outputs"]["run_summary"] = sinks.append_run_summary(spark, reports_root, summary)
+    return summary
+
+
+def resume_run(spark: SparkSession, out_root: str, reports_root: str, run_id: str, *,
+               export_csv: bool = False) -> dict[str, Any]:
+    """The warehouse stage of a staged run, from its manifest alone (P2): in another
+    session than its checks, or again after a failure there.  The staged tables stay where
+    a failure leaves them, so that it can be tried again."""
+    release = Release(spark, out_root)
+    if release.current_run() == run_id:
+        raise ValueError(f"run {run_id} is published already")
+    validation = read_manifest(release, run_id)
+    record = RunRecord(run_id, datetime.fromisoformat(validation.started_at))
+    record.checked(validation.checks, validation.raw_rows, reports_root)
+    release.lease(run_id)
+    try:
+        return _finish(spark, validation, record, out_root, reports_root, export_csv, True)
+    except Exception as error:
+        logger.exception("run %s failed in stage %s", run_id, record.stage)
+        sinks.append_run_summary(spark, reports_root, record.close(error))
+        raise
+    finally:
+        release.end_lease(run_id)
+
+
 def _has_warehouse_inputs(tables: Mapping[str, DataFrame]) -> bool:
     need = {"customers": {"customer_id", "country", "segment"},
             "orders": {"order_id", "customer_id", "order_date", "status"},

@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,10 @@ from ledgerlark.sources import fs
 from ledgerlark.sources.files import CSV_OPTIONS
 
 POINTER = "_CURRENT"
+# Columns that tell where a row stands in a table written in its published order.
+PLACES = ("_part", "_place")
+# A run folder without publication is left alone while its lease lasts.
+LEASE_HOURS = 24
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
@@ -82,23 +86,48 @@ class Release:
         run_id = self.current_run()
         return self.table_path(run_id, name) if run_id else None
 
+    def _note(self, kind: str, run_id: str) -> str:
+        return f"{self.root.rstrip('/')}/_{kind}-{self.folder}/{run_id}"
+
     def publish(self, run_id: str) -> None:
-        """Make ``run_id`` the visible release in one pointer write."""
+        """Make ``run_id`` the visible release in one pointer write; its time is recorded
+        before, so that every published run has one."""
+        fs.write_text_atomic(self.spark, self._note("published", run_id), iso_micros(utc_now()))
         fs.write_text_atomic(self.spark, f"{self.root.rstrip('/')}/{self.pointer}", run_id + "\n")
 
+    def lease(self, run_id: str, hours: float = LEASE_HOURS) -> None:
+        """Keep ``prune`` from the folder of a running job; taken anew, it lasts anew."""
+        until = utc_now() + timedelta(hours=hours)
+        fs.write_text_atomic(self.spark, self._note("leases", run_id), iso_micros(until))
+
+    def end_lease(self, run_id: str) -> None:
+        fs.delete(self.spark, self._note("leases", run_id))
+
     def prune(self, keep: int = 2) -> list[str]:
-        """Delete all but the newest ``keep`` runs; the published run always
-        stays.  Run ids sort by time, so names order the runs.  Returns the
-        removed run ids."""
-        current = self.current_run()
+        """Delete all but the ``keep`` runs published last, by their recorded times, whatever
+        their names.  The visible run always stays; runs never published go unless their
+        lease lasts.  Returns the removed run ids."""
         runs = fs.list_dirs(self.spark, f"{self.root.rstrip('/')}/{self.folder}")
-        kept = set(runs[-keep:]) if keep > 0 else set()
-        removed = [r for r in runs if r not in kept and r != current]
+        times = {r: fs.read_text(self.spark, self._note("published", r)) for r in runs}
+        now = iso_micros(utc_now())
+        held = {r for r in runs if (fs.read_text(self.spark, self._note("leases", r)) or "") > now}
+        by_time = sorted((r for r in runs if times[r]), key=lambda r: (times[r], r))
+        kept = {*by_time[len(by_time) - max(keep, 0):], self.current_run(), *held}
+        removed = [r for r in runs if r not in kept]
         for run_id in removed:
             fs.delete(self.spark, self.run_dir(run_id))
+            for kind in ("published", "leases"):
+                fs.delete(self.spark, self._note(kind, run_id))
         return removed
 
     def read(self, name: str) -> DataFrame:
+        path = self.current_path(name)
+        if path is None:
+            raise FileNotFoundError(f"no published release under {self.root}")
+        return self.spark.read.parquet(path).drop(*PLACES)
+
+    def read_placed(self, name: str) -> DataFrame:
+        """A table written in its published order, with the places of its rows."""
         path = self.current_path(name)
         if path is None:
             raise FileNotFoundError(f"no published release under {self.root}")
@@ -210,6 +239,11 @@ def iso_millis(value: datetime) -> str:
     return f"{utc:%Y-%m-%dT%H:%M:%S}.{utc.microsecond // 1000:03d}Z"
 
 
+def iso_micros(value: datetime) -> str:
+    """UTC time with six decimals; texts sort as the times do."""
+    return f"{value.astimezone(UTC):%Y-%m-%dT%H:%M:%S.%f}Z"
+
+
 def new_run_id(value: datetime) -> str:
     """Compact UTC time with microseconds, so that ids sort by time (fixed format)."""
     utc = value.astimezone(UTC)

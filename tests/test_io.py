@@ -101,15 +101,34 @@ def test_page_records_keep_nulls_and_drop_nan(spark):
     assert items == ['{"k":"a","x":null,"y":null}', '{"k":"b","x":1.5,"y":2.0}']
 
 
-def test_release_prune_keeps_newest_and_current(spark, tmp_path):
-    release = sinks.Release(spark, str(tmp_path / "wh"))
-    for run_id in ("r1", "r2", "r3", "r4"):
+def _runs(spark, root, *run_ids):
+    release = sinks.Release(spark, str(root / "wh"))
+    for run_id in run_ids:
         sinks.write_table(spark.range(1), release.table_path(run_id, "t"))
-    release.publish("r1")
-    removed = release.prune(keep=2)
-    assert removed == ["r2"]
+    return release
+
+
+def test_prune_goes_by_the_time_of_publication(spark, tmp_path):
+    release = _runs(spark, tmp_path, "r1", "r2", "r3", "r4")
+    for run_id in ("r4", "r2", "r1", "r3"):  # the older name r1 is published later than r4
+        release.publish(run_id)
+    assert release.prune(keep=2) == ["r2", "r4"]
+    assert release.prune(keep=2) == []
     assert release.read("t").count() == 1
-    assert (tmp_path / "wh" / "runs" / "r4").exists() and not (tmp_path / "wh" / "runs" / "r2").exists()
+    release.publish("r1")  # the visible run stays, however few are kept
+    assert release.prune(keep=0) == ["r3"]
+    assert (tmp_path / "wh" / "runs" / "r1").exists()
+
+
+def test_prune_leaves_running_jobs_alone(spark, tmp_path):
+    release = _runs(spark, tmp_path, "done", "failed", "lapsed", "running")
+    release.publish("done")
+    release.lease("running")
+    release.lease("lapsed", hours=-1)
+    assert release.prune(keep=1) == ["failed", "lapsed"]
+    assert (tmp_path / "wh" / "runs" / "running").exists()
+    release.end_lease("running")
+    assert release.prune(keep=1) == ["running"]
 
 
 def test_feed_scan_maps_missing_tokens(spark, tmp_path):
