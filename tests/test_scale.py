@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ledgerlark.operators import marts, quality
+from ledgerlark.operators import marts, normalize, quality
 from ledgerlark.plans import job
 from ledgerlark.sources.driver_tables import DriverTables
 from tests.conftest import SF_SMALL
@@ -50,7 +50,7 @@ def test_key_checks_and_rollup_aggregate_before_shuffling(spark):
     # Every exchange of key counts is fed by a partial aggregate, so a hot key
     # crosses the shuffle once per map task.
     assert "partial_count" in plan
-    assert "NOT IN" not in plan.upper().replace("NOT INSET", "")
+    assert "LeftAnti" not in plan and "Expand" not in plan
     fact = marts.fact_order_items(raw["customers"], raw["orders"], raw["order_items"])
     rollup_plan = _plan(marts.order_rollup(fact))
     assert re.search(r"HashAggregate\(keys=\[.*order_id.*functions=\[partial_sum", rollup_plan)
@@ -89,3 +89,25 @@ def test_scans_read_only_needed_columns(spark, tmp_path):
     text = daily._jdf.queryExecution().executedPlan().toString()
     schema = re.search(r"FileScan parquet \[([^\]]*)\]", text).group(1)
     assert "product_id" not in schema and "description" not in schema
+
+
+def test_the_gate_scans_each_table_once(spark, tmp_path):
+    tables = {}
+    for name, frame in DriverTables(spark, SF_SMALL).raw_tables().items():
+        frame.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    plan = _plan(quality.QualityEngine(tables).results())
+    assert plan.count("FileScan parquet") == len(tables)
+    for column in ("first_invoice_date", "status", "unit_price"):  # one of each table alone
+        assert len(re.findall(rf"FileScan parquet \[[^\]]*{column}", plan)) == 1, column
+    assert "Join" not in plan
+
+
+def test_order_header_and_counts_fold_in_hash_maps(spark):
+    tables = DriverTables(spark, SF_SMALL)
+    lines = normalize.parsed_lines(tables.retail_source(), tables.home_country)
+    header = _plan(normalize.orders_from(normalize.clean_lines(lines)))
+    assert "HashAggregate" in header and "SortAggregate" not in header
+    counts = _plan(normalize.preparation_counts(lines))
+    assert "SortAggregate" not in counts
+    assert len(re.findall(r"FileScan parquet [^\n]*/lineitem\.parquet", counts)) == 1
