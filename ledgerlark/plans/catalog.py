@@ -6,10 +6,11 @@ whole tables in ``sf_dir``.  ``ORACLE`` maps the same names to DuckDB SQL.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import finite
@@ -395,3 +396,136 @@ def q_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_published_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     out_root, _ = _gated(spark, sf_dir, dirty=False)
     return reads.read_mart_page(spark, out_root, "daily-revenue", PAGE_LIMIT, PAGE_OFFSET).rows
+
+
+# ------------------------------------------------- feeds, views, reports, reruns
+@register("feed_csv_scan", sql.feed_scan_sql(files.NA_TOKENS))
+def q_feed_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written as CSV files of two column orders and read by name."""
+    feed = DriverTables(spark, sf_dir).retail_source()
+    root = _scratch(spark, "feed")
+    later = F.pmod(F.xxhash64("StockCode", "InvoiceDate"), F.lit(2)) == 1
+    sinks.write_csv(feed.where(~later), f"{root}/first")
+    sinks.write_csv(feed.where(later).select(*reversed(feed.columns)), f"{root}/later")
+    return files.read_source(spark, f"{root}/*").select(*feed.columns)
+
+
+@register("number_classes", sql.NUMBER_CLASSES)
+def q_number_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by what the lenient parse makes of a number, infinite and NaN told apart."""
+    pairs = _lines(spark, sf_dir).select(F.explode(F.array(
+        F.struct(F.lit("quantity").alias("field"), F.col("quantity_value").alias("v")),
+        F.struct(F.lit("unit_price").alias("field"), F.col("unit_price").alias("v")))).alias("x"))
+    v = F.col("x.v")
+    kind = (F.when(v.isNull(), "none").when(F.isnan(v), "nan").when(F.abs(v) == float("inf"), "infinite")
+            .when(v < 0, "negative").when(v == 0, "zero").otherwise("positive"))
+    return pairs.groupBy(F.col("x.field").alias("field"), kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+@register("sql_views", sql.RAW + sql.VIEW_QUERY)
+def q_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the raw tables as registered views (S5), in a session of their own."""
+    own = spark.newSession()
+    files.register_views(DriverTables(own, sf_dir).raw_tables())
+    return own.sql(sql.VIEW_QUERY)
+
+
+@register("page_records", sql.records_sql())
+def q_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer mart as JSON records, taken apart again."""
+    mart = marts.customer_revenue(marts.order_rollup(_fact(spark, sf_dir)), ordered=False)
+    cell = {c: F.get_json_object("item", f"$.{c}")
+            for c in ("customer_id", "gross_revenue", "last_paid_order_date")}
+    return reads.page_records(mart).select(
+        cell["customer_id"].alias("customer_id"),
+        cell["gross_revenue"].cast("double").alias("gross_revenue"),
+        cell["last_paid_order_date"].alias("last_paid"),
+        F.col("item").contains('"last_paid_order_date":null').alias("null_kept"))
+
+
+@register("ordered_export", sql.EXPORTS)
+def q_ordered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each prepared CSV that stand behind a greater key (O1): within a file by its
+    lines, between files by their names."""
+    tables = DriverTables(spark, sf_dir)
+    out = _scratch(spark, "export")
+    paths = prepare.prepare_source(spark, tables.retail_source(), out, fmt="csv",
+                                   home_country=tables.home_country)["outputs"]
+    parts = []
+    for name, keys in prepare._SORT_KEYS.items():
+        lines = files.read_csv_text(spark, paths[name]).select(
+            F.struct(*keys).alias("key"), F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"))
+        before = F.lag("key").over(Window.partitionBy("file").orderBy("block", "line"))
+        by_file = lines.withColumn("late", before > F.col("key")).groupBy("file").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if("late").alias("late"),
+            F.min("key").alias("least"), F.max("key").alias("most"))
+        # One row a file.
+        ahead = F.lag("most").over(Window.partitionBy(F.lit(0)).orderBy("file"))
+        parts.append(by_file.withColumn("overlap", ahead > F.col("least")).agg(
+            F.sum("rows").alias("rows"),
+            (F.sum("late") + F.count_if("overlap")).alias("misplaced")).select(
+            F.lit(name).alias("table"), "rows", "misplaced"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@register("rerun_counts", sql.rerun_sql())
+def q_rerun_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each mart and the runs that gave them, over two runs of one input."""
+    root = _scratch(spark, "rerun")
+    raw = DriverTables(spark, sf_dir).raw_tables()
+    for _ in range(2):
+        job.run_pipeline(spark, raw, f"{root}/warehouse", f"{root}/reports")
+    runs = spark.read.parquet(sinks.report_paths(f"{root}/reports")["pipeline_runs"])
+    return runs.where("status = 'success'").select("run_id", F.explode("marts").alias("mart", "m")).groupBy(
+        "mart", F.col("m.rows").alias("rows")).agg(F.count_distinct("run_id").alias("runs"))
+
+
+def _gaps(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The dirty tables without customers, and orders without their status."""
+    tables = DriverTables(spark, sf_dir).dirty_tables()
+    return {"orders": tables["orders"].drop("status"), "order_items": tables["order_items"]}
+
+
+@register("skipped_checks", sql.skipped_sql(quality.DEFAULT_RULES, "customers", "orders", "status"))
+def q_skipped_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over tables with gaps: gaps fail (Q1, Q2), what reads them is skipped."""
+    return quality.QualityEngine(_gaps(spark, sf_dir)).results().select("name", "passed", "failed_rows")
+
+
+@register("empty_table_checks", sql.empty_table_sql(quality.DEFAULT_RULES, "orders"))
+def q_empty_table_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate where no order is left: not_empty fails (Q3), and each item is an orphan."""
+    tables = DriverTables(spark, sf_dir).raw_tables()
+    tables["orders"] = tables["orders"].where("order_id IS NULL")
+    return quality.QualityEngine(tables).results().select("name", "passed", "failed_rows")
+
+
+@register("check_details", sql.details_sql(quality.DEFAULT_RULES))
+def q_check_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored details of the failed value and key checks."""
+    root = _scratch(spark, "details")
+    path = sinks.append_quality_results(spark, root, "query", sinks.iso_millis(sinks.utc_now()),
+                                        _engine(spark, sf_dir).run())
+    lists = [F.from_json(F.get_json_object("details", f"$.{k}"), "array<string>")
+             for k in ("invalid_values", "missing_values")]
+    return spark.read.parquet(path).withColumn("list", F.coalesce(*lists)).where("list IS NOT NULL").select(
+        "name", F.get_json_object("details", "$.null_rows").cast("long").alias("null_rows"),
+        F.size("list").cast("long").alias("n_values"), F.array_min("list").alias("first_value"),
+        F.array_max("list").alias("last_value"))
+
+
+@register("resumed_run_summary", sql.run_summary_sql(dirty=False))
+def q_resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks in one session, warehouse and publication in another, from the manifest."""
+    root = _scratch(spark, "resumed")
+    release = sinks.Release(spark, f"{root}/warehouse")
+    run_id, now = sinks.new_run_id(sinks.utc_now()), sinks.iso_millis(sinks.utc_now())
+    job.run_quality_stage(spark, DriverTables(spark, sf_dir).raw_tables(), f"{root}/reports", run_id,
+                          now, release=release)
+    other = spark.newSession()
+    job.resume_run(other, f"{root}/warehouse", f"{root}/reports", run_id)
+    return reads.latest_run(spark, f"{root}/reports").select(
+        *_RUN_COLUMNS, *[F.col("marts")[m]["rows"].alias(f"{m}_rows") for m in marts.MART_NAMES])

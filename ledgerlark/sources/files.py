@@ -7,6 +7,8 @@ by position, so a dropped or reordered column would silently shift data.
 
 from __future__ import annotations
 
+import csv
+import functools
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -75,6 +77,31 @@ def read_csv_text(spark: SparkSession, path: str, options: Mapping[str, str] | N
     return spark.read.options(**{**CSV_OPTIONS, **(options or {})}).csv(path)
 
 
+def read_feed_text(spark: SparkSession, path: str, options: Mapping[str, str] | None = None
+                   ) -> DataFrame:
+    """CSV files of one feed, bound by column name: each group of files with one header is
+    scanned with its own, and the groups are united by the names that all of them have.
+
+    Only headers pass through the driver: the first line of each file."""
+    merged = {**CSV_OPTIONS, **(options or {})}
+    paths = fs.list_files(spark, path)
+    if merged["header"] != "true" or len(paths) < 2:
+        return read_csv_text(spark, path, options)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        lines = list(pool.map(lambda p: fs.first_line(spark, p), paths))
+    sep, quote = merged.get("sep", merged.get("delimiter", ",")), merged["quote"]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(paths, lines):
+        names = next(csv.reader([line.lstrip("\ufeff")], delimiter=sep, quotechar=quote))
+        groups.setdefault(tuple(names), []).append(file)
+    if len(groups) == 1:
+        return read_csv_text(spark, path, options)
+    common = [c for c in next(iter(groups)) if all(c in names for names in groups)]
+    scans = [spark.read.options(**merged).csv(files).select(*(f"`{c}`" for c in common))
+             for files in groups.values()]
+    return functools.reduce(DataFrame.unionByName, scans)
+
+
 def _missing_to_null(c: str, tokens: Sequence[str]) -> Sql:
     tokens_sql = ", ".join(lit(t) for t in tokens)
     return Sql(f"CASE WHEN {ref(c)} IN ({tokens_sql}) THEN NULL ELSE {ref(c)} END")
@@ -87,11 +114,12 @@ def read_source(spark: SparkSession, path: str, max_rows: int = 0,
 
     A cap is the feature here (a sample run); it takes the first rows of the
     explicit ``order_by`` when given, else of the scan.  ``csv_options`` override
-    the defaults; ``{"multiLine": "true"}`` reads line breaks inside quotes.
+    the defaults; ``{"multiLine": "true"}`` reads line breaks inside quotes.  Files whose
+    headers name the columns in another order are read by name (``read_feed_text``).
     """
     if max_rows < 0:
         raise ValueError("max_rows must be zero or a positive integer")
-    return cap_rows(na_to_null(read_csv_text(spark, path, csv_options)), max_rows, order_by)
+    return cap_rows(na_to_null(read_feed_text(spark, path, csv_options)), max_rows, order_by)
 
 
 def na_to_null(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:

@@ -40,6 +40,33 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """The non-empty files that a path or glob names, those of a folder one by one; hidden
+    names (_ or .) are left out, as by Spark's own readers."""
+    fs, p, _ = _fs_and_path(spark, path)
+    found: list[str] = []
+    for top in fs.globStatus(p) or ():
+        for status in fs.listStatus(top.getPath()) if top.isDirectory() else (top,):
+            if not (status.isDirectory() or status.getPath().getName()[0] in "_.") and status.getLen():
+                found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, compressed or not."""
+    fs, p, jvm = _fs_and_path(spark, path)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration())
+    codec = codecs.getCodec(p)
+    stream = fs.open(p)
+    try:
+        stream = stream if codec is None else codec.createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
 def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file next to ``path`` and move it into place.
 

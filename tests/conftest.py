@@ -44,16 +44,25 @@ def valid_frames(spark):
 SOURCE_SCHEMA = ("InvoiceNo string, StockCode string, Description string, Quantity double, "
                  "InvoiceDate string, UnitPrice double, CustomerID string, Country string")
 
+_TEA = ("tea", "Green tea", 4.0, "2012-03-05 10:00:00", 2.25, "77.0", "Chile")
+
+
+def _but(order, **cells):
+    """An order line for green tea that differs in some cells."""
+    names = ("product", "description", "quantity", "date", "price", "customer", "country")
+    return (order, *(cells.get(n, v) for n, v in zip(names, _TEA)))
+
+
+# Four lines that are kept (two customers, three orders), one line for each reason to drop a
+# line, and one with two reasons.
 SOURCE_ROWS = [
-    (" 10001 ", " P1 ", " Product ", 2.0, "2010-12-01 08:26:00", 3.5, "12345.0", " United Kingdom "),
-    ("C10002", "P2", "Returned product", -1.0, "2010-12-02 09:00:00", 2.0, "12345.0", "United Kingdom"),
-    ("10003", "P3", "Missing customer", 1.0, "2010-12-03 09:00:00", 1.0, None, "United Kingdom"),
-    ("10004", "P4", "   ", 1.0, "2010-12-04 09:00:00", 1.0, "12345.0", "United Kingdom"),
-    ("10005", "P5", "Infinite price", 1.0, "2010-12-05 09:00:00", float("inf"), "12345.0",
-     "United Kingdom"),
-    ("10006", "P6", "Fractional quantity", 1.5, "2010-12-06 09:00:00", 1.0, "12345.0",
-     "United Kingdom"),
-    ("10007", "P7", "Missing country", 1.0, "2010-12-07 09:00:00", 1.0, "12345.0", " "),
+    ("  A-1 ", *_TEA),
+    _but("A-1", product=" cup ", quantity=-3.0, customer="77", price=1.5),
+    _but("c-2", quantity=1.0, date="2012-04-01", customer=" 88.0", country="United Kingdom\u00a0"),
+    _but("B-3", product="pot", quantity=6.0, date="2012-02-01 09:30:00", price=10.0, country="Peru"),
+    _but(None), _but("D-1", product=""), _but("D-2", description="\t"), _but("D-3", customer=None),
+    _but("D-4", country="   "), _but("D-5", date="2012-13-40 00:00:00"), _but("D-6", price=0.0),
+    _but("D-7", quantity=0.0), _but("D-8", quantity=2.5, price=-1.0),
 ]
 
 

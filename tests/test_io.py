@@ -175,3 +175,22 @@ def test_shared_dir_needs_a_setting_on_a_cluster():
     from ledgerlark.session import is_one_machine
 
     assert is_one_machine("local[4]") and not is_one_machine("local-cluster[2,1,1024]")
+
+
+def test_feed_files_of_several_headers_are_bound_by_name(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    _write(feed / "a.csv", "InvoiceNo,Country,Extra\n1,Chile,x\n2,Peru,y\n")
+    _write(feed / "b.csv", '"Country","InvoiceNo"\n"Cuba, West",3\nNA,4\n')
+    _write(feed / "c.csv", "\ufeffInvoiceNo,Country,Extra\n5,Oman,z\n")
+    (feed / "empty.csv").write_bytes(b"")
+    import gzip
+
+    (feed / "d.csv.gz").write_bytes(gzip.compress(b"Country,InvoiceNo\nFiji,6\n"))
+    for path in (str(feed), f"{feed}/*.csv*"):
+        got = files.read_source(spark, path)
+        assert sorted(got.columns) == ["Country", "InvoiceNo"]
+        assert sorted((r.InvoiceNo, r.Country) for r in got.collect()) == [
+            ("1", "Chile"), ("2", "Peru"), ("3", "Cuba, West"), ("4", None), ("5", "Oman"),
+            ("6", "Fiji")]
+    assert files.read_source(spark, str(feed / "a.csv")).columns == ["InvoiceNo", "Country", "Extra"]

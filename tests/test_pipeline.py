@@ -143,3 +143,55 @@ def test_overlap_and_sequential_runs_agree(spark, raw_tables, tmp_path):
         marts_of[overlap] = {m: sorted(tuple(r) for r in release.read(f"marts/{m}").collect())
                              for m in summary["marts"]}
     assert marts_of[True] == marts_of[False]
+
+
+def test_csv_options_reach_the_staged_load(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "customers.csv").write_text("customer_id,country,segment,first_invoice_date\n"
+                                       "1,Chile,export,2020-01-01\n")
+    (raw / "orders.csv").write_text("order_id,customer_id,order_date,status\n9,1,2020-01-01,paid\n")
+    (raw / "order_items.csv").write_text("order_id,product_id,description,quantity,unit_price\n"
+                                         '9,P,"two\nlines",2,1.25\n')
+    out = str(tmp_path / "wh")
+    job.run_pipeline(spark, str(raw), out, str(tmp_path / "rep"), raw_format="csv",
+                     csv_options={"multiLine": "true"})
+    fact = sinks.Release(spark, out).read("fact_order_items").first()
+    assert (fact.description, fact.line_value) == ("two\nlines", 2.5)
+
+
+def test_a_staged_run_is_resumed_in_another_session(spark, raw_tables, tmp_path, monkeypatch):
+    out, rep = str(tmp_path / "wh"), str(tmp_path / "reports")
+    release = sinks.Release(spark, out)
+    job.run_quality_stage(spark, raw_tables, rep, "run-1", "2026-01-01T00:00:00.000Z", release=release)
+    assert release.current_run() is None
+    other = spark.newSession()
+    monkeypatch.setattr(job, "build_base", lambda *a, **k: (_ for _ in ()).throw(OSError("disk gone")))
+    with pytest.raises(OSError):
+        job.resume_run(other, out, rep, "run-1")
+    last = reads.latest_run(spark, rep).first()
+    assert (last.status, last.failed_stage, last.total_checks) == ("failed", "warehouse", 25)
+    monkeypatch.undo()
+    summary = job.resume_run(other, out, rep, "run-1")  # the staged tables are still there
+    whole = job.run_pipeline(spark, raw_tables, str(tmp_path / "wh2"), str(tmp_path / "rep2"))
+    assert (summary["marts"], summary["raw_rows"]) == (whole["marts"], whole["raw_rows"])
+    assert release.current_run() == "run-1"
+    with pytest.raises(ValueError):
+        job.resume_run(other, out, rep, "run-1")
+    with pytest.raises(FileNotFoundError):
+        job.resume_run(other, out, rep, "run-2")
+
+
+def test_marts_are_written_once_in_order(spark, raw_tables, tmp_path):
+    import os
+
+    out = str(tmp_path / "wh")
+    summary = job.run_pipeline(spark, raw_tables, out, str(tmp_path / "rep"))
+    release = sinks.Release(spark, out)
+    folders = set(os.listdir(release.run_dir(summary["run_id"])))
+    assert folders == {"raw_customers", "raw_orders", "raw_order_items", "fact_order_items", "marts",
+                       "_manifest.json", "._manifest.json.crc"} & folders
+    placed = release.read_placed("marts/customer_revenue").orderBy(*sinks.PLACES).collect()
+    keys = [(-r.gross_revenue, r.customer_id) for r in placed]
+    assert keys == sorted(keys) and len(keys) == summary["marts"]["customer_revenue"]["rows"]
+    assert "_place" not in release.read("marts/customer_revenue").columns
