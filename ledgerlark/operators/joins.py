@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers: broadcast only behind a size check, hot keys dealt out by a salt."""
 
 from __future__ import annotations
 
@@ -32,3 +32,46 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+# A key is hot from this share of a shuffle partition's fair load on, and is cut into
+# pieces of the smaller share, so that pieces that meet in one partition stay small.
+HOT_SHARE = 4
+PIECE_SHARE = 16
+
+
+def hot_keys(lines: DataFrame, key: str, partitions: int | None = None) -> DataFrame | None:
+    """The keys that hold more than 1 / (HOT_SHARE * ``partitions``) of ``lines``, with
+    ``_parts``, the number of pieces to cut each into; None without any.
+
+    Lines are counted by key with map-side partial sums, so a hot key crosses the shuffle
+    once a map task.  Fewer than HOT_SHARE * ``partitions`` keys can be hot, and their
+    pieces number at most (HOT_SHARE + PIECE_SHARE) * ``partitions``.
+    """
+    spark = lines.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = lines.select(key).where(F.col(key).isNotNull())
+    total = keyed.count()
+    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    pieces = F.ceil(F.col("n") * PIECE_SHARE * partitions / F.lit(max(total, 1))).cast("long")
+    hot = counts.where(F.col("n") * HOT_SHARE * partitions > total).select(
+        key, F.least("n", pieces).alias("_parts"))
+    rows = [r for r in hot.collect() if r["_parts"] > 1]
+    return spark.createDataFrame(rows, hot.schema) if rows else None
+
+
+def join_dealt(lines: DataFrame, header: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Inner join of ``lines`` with ``header`` on ``key``.  The lines of a key of ``hot`` (see
+    ``hot_keys``) are dealt out over its pieces by their place in the scan, and its header
+    rows are repeated for each piece; other keys, and null ones, are joined as they are.
+
+    A task that is run again has to read its lines in the same order, as scans of stored
+    files do."""
+    if hot is None:
+        return header.join(lines, key)
+    parts = F.broadcast(hot)
+    dealt = lines.join(parts, key, "left").withColumn(
+        "_piece", F.expr("pmod(monotonically_increasing_id(), coalesce(_parts, 1L))")).drop("_parts")
+    copies = header.join(parts, key, "left").withColumn(
+        "_piece", F.expr("explode(sequence(0L, coalesce(_parts, 1L) - 1L))")).drop("_parts")
+    return copies.join(dealt, [key, "_piece"]).drop("_piece")

@@ -4,8 +4,8 @@ Plan shape
 ----------
 * The fact is two equi-joins (orders-customers on ``customer_id``, then the
   items on ``order_id``).  No hints: AQE turns a join into a broadcast only
-  from measured sizes, and splits skewed partitions when one order or one
-  customer carries a large share of the rows.
+  from measured sizes.  When one order or one customer carries a large share of
+  the rows, its rows are dealt out by a salt (``joins.join_dealt``).
 * Money is summed exactly (``operators/money.py``), so the totals do not depend on
   partitioning or summation order.  Lines whose price DECIMAL(27,12) does not hold are
   summed by limbs and joined to each mart; where there are none, no plan changes.
@@ -22,7 +22,7 @@ Plan shape
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,7 @@ from ledgerlark.functions.columns import (
     strict_timestamp,
 )
 from ledgerlark.operators import money
+from ledgerlark.operators.joins import join_dealt
 
 # Mart names and their column order.
 MART_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -92,13 +93,24 @@ def _dated(orders: DataFrame, date_formats: Sequence[str]) -> DataFrame:
     return orders.select("order_id", "customer_id", day.alias("order_date"), "status")
 
 
+def _with_customers(orders: DataFrame, customers: DataFrame,
+                    hot: Mapping[str, DataFrame | None] | None) -> DataFrame:
+    """Order headers with their customer's attributes."""
+    dealt = (hot or {}).get("customer_id")
+    if dealt is None:
+        return orders.join(customers, "customer_id")
+    return join_dealt(orders, customers, "customer_id", dealt)
+
+
 def fact_order_items(customers: DataFrame, orders: DataFrame, items: DataFrame,
-                     date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> DataFrame:
-    """One row per order line with customer attributes."""
+                     date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
+                     hot: Mapping[str, DataFrame | None] | None = None) -> DataFrame:
+    """One row per order line with customer attributes (M0, J1, J2, F18-F20).  ``hot``: by
+    join key, the keys whose rows are dealt out (``joins.hot_keys``)."""
     o = _dated(orders, date_formats)
     c = customers.select("customer_id", "country", "segment")
     i = items.select("order_id", "product_id", "description", "quantity", "unit_price")
-    joined = o.join(c, "customer_id").join(i, "order_id")
+    joined = join_dealt(i, _with_customers(o, c, hot), "order_id", (hot or {}).get("order_id"))
     return joined.select(
         "order_id",
         "customer_id",
@@ -139,7 +151,8 @@ def order_rollup(fact: DataFrame, split: bool = False) -> DataFrame:
 
 def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFrame,
                           date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
-                          split: bool = False) -> DataFrame:
+                          split: bool = False,
+                          hot: Mapping[str, DataFrame | None] | None = None) -> DataFrame:
     """The same rollup computed without the fact: items are pre-aggregated per
     order (map-side partial aggregation, so only one row per order and map
     task crosses the shuffle), then joined with orders and customers.
@@ -155,7 +168,7 @@ def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFr
         F.expr(f"sum({line_value})").alias("_gross"), F.count(F.lit(1)).alias("lines"))
     o = _dated(orders, date_formats)
     c = customers.select("customer_id", "country", "segment")
-    joined = o.join(c, "customer_id").join(per_order, "order_id")
+    joined = _with_customers(o, c, hot).join(per_order, "order_id")
     return joined.select(
         "order_id", "customer_id", "country", "segment",
         "order_date", "status",

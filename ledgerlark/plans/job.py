@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.functions.columns import DEFAULT_DATE_FORMATS
+from ledgerlark.operators import joins, money
 from ledgerlark.operators import marts as mart_ops
-from ledgerlark.operators import money
 from ledgerlark.operators.reads import write_positions
 from ledgerlark.operators.quality import (
     CRITICAL,
@@ -324,7 +324,8 @@ def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes:
     """Write the fact (S4) and the order rollup for ``run_id``.
 
     Dimensions whose *measured* size is small are broadcast; anything else (or
-    anything unmeasured) is shuffled, and AQE may still convert it.  With
+    anything unmeasured) is shuffled, with the rows of hot keys dealt out by a salt,
+    and AQE may still convert it.  With
     ``unique_orders`` the rollup is built from items pre-aggregated per order,
     next to the fact instead of after it."""
     t = tables
@@ -334,13 +335,17 @@ def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes:
              if name in ("customers", "orders") and size <= broadcast_bytes}
     dims = {name: (F.broadcast(t[name]) if name in small else t[name])
             for name in ("customers", "orders")}
+    # Which keys are hot matters only where a join shuffles.
+    hot = {key: joins.hot_keys(t[many], key)
+           for one, many, key in (("customers", "orders", "customer_id"),
+                                  ("orders", "order_items", "order_id")) if one not in small}
     fact = mart_ops.fact_order_items(dims["customers"], dims["orders"], t["order_items"],
-                                     date_formats)
+                                     date_formats, hot)
     # Intermediate, not published: lives in the cluster's shared work folder.
     rollup_path = _rollup_path(spark, run_id)
     if unique_orders:
         rollup_df = mart_ops.order_rollup_from_raw(dims["customers"], dims["orders"],
-                                                   t["order_items"], date_formats, split)
+                                                   t["order_items"], date_formats, split, hot)
         _parallel({"fact": lambda: sinks.write_table(fact, fact_path),
                    "rollup": lambda: sinks.write_table(rollup_df, rollup_path)})
     else:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.operators import marts, normalize, quality
+from ledgerlark.operators import joins, marts, normalize, quality
 from ledgerlark.plans import job
 from ledgerlark.sources.driver_tables import DriverTables
 from tests.conftest import SF_SMALL
@@ -111,3 +112,65 @@ def test_order_header_and_counts_fold_in_hash_maps(spark):
     counts = _plan(normalize.preparation_counts(lines))
     assert "SortAggregate" not in counts
     assert len(re.findall(r"FileScan parquet [^\n]*/lineitem\.parquet", counts)) == 1
+
+
+def _one_hot_order(spark, n_orders=4000, n_customers=800):
+    """Orders of six lines each but for one that holds a third of all lines; a third of the
+    orders is of one customer."""
+    customers = spark.range(n_customers).selectExpr(
+        "concat('c', id) customer_id", "concat('land', id % 5) country", "'new' segment")
+    orders = spark.range(n_orders).selectExpr(
+        "concat('o', id) order_id", f"concat('c', IF(id % 3 = 0, 7, id % {n_customers})) customer_id",
+        "'2026-01-02' order_date", "IF(id % 9 = 0, 'canceled', 'paid') status")
+    items = spark.range(9 * n_orders).selectExpr(
+        f"concat('o', IF(id % 3 = 0, 11, id % {n_orders})) order_id", "concat('p', id % 50) product_id",
+        "'thing' description", "id % 7 + 1 quantity", "1.25D unit_price")
+    return customers, orders, items
+
+
+@pytest.fixture
+def no_aqe(spark):
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def _loads(frame):
+    return sorted(r["count"] for r in frame.groupBy(F.spark_partition_id().alias("task")).count().collect())
+
+
+def test_hot_order_is_dealt_out_without_aqe(spark, no_aqe):
+    customers, orders, items = _one_hot_order(spark)
+    hot = {"order_id": joins.hot_keys(items, "order_id"),
+           "customer_id": joins.hot_keys(orders, "customer_id")}
+    assert [r.order_id for r in hot["order_id"].collect()] == ["o11"]
+    assert [r.customer_id for r in hot["customer_id"].collect()] == ["c7"]
+    plain = marts.fact_order_items(customers, orders, items)
+    dealt = marts.fact_order_items(customers, orders, items, hot=hot)
+    assert dealt.columns == plain.columns
+    assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+    before, after = _loads(plain), _loads(dealt)
+    assert before[-1] > 2 * before[len(before) // 2]  # the salt has something to do
+    assert len(after) == 8 and after[-1] < 2 * after[len(after) // 2]
+    headers = _loads(marts._with_customers(orders.select("order_id", "customer_id"), customers, hot))
+    assert headers[-1] < 2 * headers[len(headers) // 2]
+    rollup = [marts.order_rollup_from_raw(customers, orders, items, hot=h) for h in (None, hot)]
+    assert rollup[0].exceptAll(rollup[1]).isEmpty() and rollup[1].exceptAll(rollup[0]).isEmpty()
+
+
+def test_dealt_join_of_null_repeated_and_missing_keys(spark):
+    lines = spark.createDataFrame([("a", n) for n in range(40)] + [("b", 1), (None, 2), ("gone", 3)],
+                                  "k string, n long")
+    header = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("idle", 5)], "k string, h long")
+    hot = joins.hot_keys(lines, "k", partitions=2)
+    assert [r.k for r in hot.collect()] == ["a"]
+    got = sorted(map(tuple, joins.join_dealt(lines, header, "k", hot).collect()))
+    want = sorted(map(tuple, header.join(lines, "k").collect()))
+    assert len(got) == 81 and got == want
+    empty = lines.limit(0)
+    assert joins.hot_keys(empty, "k") is None
+    assert joins.join_dealt(empty, header, "k", hot).isEmpty()
