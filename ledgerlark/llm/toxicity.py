@@ -7,7 +7,9 @@ where the second term estimates the risk on clean documents without any.  Where
 puts it below zero (a sign of over-fitting), it has no part in the step.
 
 g adds up weights, none below zero, of the words and word beginnings present, of all
-those in the toxic documents drawn (a word of over WORD_BYTES bytes goes by its digest).
+those in the toxic documents drawn (a word of over WORD_BYTES bytes goes by its digest),
+and of the shares that beginnings reach: one that any text may hold by chance still tells
+toxic text by how many of its words begin so.
 It is trained in numpy on at most ``sample`` toxic and ``2 * sample`` unlabelled
 documents, those of the smallest id hashes.  The prior is a parameter.  If none is given
 it is estimated from word counts over all documents: a word met in toxic text only is as
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ from ledgerlark.llm.quality import votes
 SAMPLE = 3000
 WORD_BYTES = 48
 PREFIXES = (4, 5, 6)
+SHARES = (7, 6, 5, 4)  # a beginning of one word in 128, 64, 32, 16
+REPEATS = 2  # words that a share needs at least
 EPOCHS = 40
 BATCH = 256
 RATE = 0.3
@@ -46,12 +50,29 @@ PRIOR_WORDS = 5
 BINS, BIN = 10_000, 0.01
 
 
-def word_set(text: bytes | None) -> set[bytes]:
-    """Words, and their first PREFIXES bytes behind a mark; long words by their digest."""
-    words = set(words_of(text))
-    short = {w if len(w) <= WORD_BYTES else b"#" + hashlib.blake2b(w, digest_size=16).digest()
-             for w in words}
-    return short.union(*({b"^" + w[:n] for w in words if len(w) > n} for n in PREFIXES))
+def word_set(text: bytes | None, starts: set[bytes] | None = None) -> set[bytes]:
+    """Words, and their first PREFIXES bytes behind a mark; long words by their digest.  A
+    beginning of REPEATS words is marked once more with each of SHARES that it reaches, those
+    in ``starts`` only if given (as ``share_starts`` gives them)."""
+    counts = Counter(words_of(text))
+    found = {w if len(w) <= WORD_BYTES else b"#" + hashlib.blake2b(w, digest_size=16).digest()
+             for w in counts}
+    found.update(*({b"^" + w[:n] for w in counts if len(w) > n} for n in PREFIXES))
+    met = Counter()
+    for word in counts if starts is None else [w for w in counts if w[:PREFIXES[0]] in starts]:
+        for size in PREFIXES:
+            if len(word) > size:
+                met[word[:size]] += counts[word]
+    total = counts.total()
+    for start, n in met.items():
+        if n >= REPEATS:
+            found.update(b"%d^%s" % (share, start) for share in SHARES if n << share >= total)
+    return found
+
+
+def share_starts(names: Iterable[bytes]) -> set[bytes]:
+    """The first bytes of the beginnings of which a share is among ``names``."""
+    return {name.split(b"^")[1][:PREFIXES[0]] for name in names if b"^" in name[1:]}
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -104,15 +125,16 @@ def estimate_prior(rows: DataFrame, met: dict[bytes, int], n_toxic: int) -> floa
     """Share of toxic documents among all ``rows``; ``met``: in how many of ``n_toxic`` toxic
     documents each word is."""
     common = {w for w, n in met.items() if n >= max(2, n_toxic / 10)}
-    shared = rows.sparkSession.sparkContext.broadcast(common)
+    shared = rows.sparkSession.sparkContext.broadcast((common, share_starts(common)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counter()
+        wanted, starts = shared.value
         for batch in batches:
             for _, texts in chunks(batch, "text"):
                 counts[b""] += len(texts)  # no word
                 for t in texts:
-                    counts.update(word_set(t) & shared.value)
+                    counts.update(word_set(t, starts) & wanted)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
             names=["word", "n"])
@@ -175,10 +197,11 @@ class Model:
                  examples: np.ndarray | None = None):
         """examples: sums of weights of the toxic documents drawn."""
         self.weights, self.bias, self.prior, self.examples = weights, bias, prior, examples
+        self.starts = share_starts(weights)
 
     def total(self, text: bytes | None) -> float:
         weight = self.weights.get
-        return float(sum(weight(w, 0.0) for w in word_set(text)))
+        return float(sum(weight(w, 0.0) for w in word_set(text, self.starts)))
 
 
 def fit(docs: DataFrame, toxic: DataFrame, prior: float | None, sample: int = SAMPLE) -> Model:

@@ -123,7 +123,11 @@ def test_quality_query_against_plain_descent(spark, docs, labels):
 def test_toxicity_query_against_plain_risk(spark, docs, labels):
     def words(text):
         found = set()
-        for w in re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower()):
+        every = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower())
+        begun = Counter(w[:n] for w in every for n in toxicity.PREFIXES if len(w) > n)
+        found |= {b"%d^%s" % (s, start) for start, n in begun.items() for s in toxicity.SHARES
+                  if n >= toxicity.REPEATS and n / len(every) >= 1 / 2**s}
+        for w in every:
             long = len(w) > toxicity.WORD_BYTES
             found.add(b"#" + hashlib.blake2b(w, digest_size=16).digest() if long else w)
             found |= {b"^" + w[:n] for n in toxicity.PREFIXES if len(w) > n}
