@@ -23,6 +23,12 @@ def test_generated_methods_are_compiled(spark, name):
     assert max(code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())) < JIT_LIMIT
 
 
+def test_clean_lines_parse_each_date_once(spark):
+    """No join condition or filter below the projection parses cells again."""
+    plan = catalog.QUERIES["valid_rows"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("regexp_extract") == 1
+
+
 def test_odd_texts_keep_their_meaning(spark):
     cases = {"+NaN": True, "-inf": True, "INFINITY": True, "+1e5": True, "1_0": False, "1f": False,
              "inf x": False, "nan\n": False, "x\n1": False, "1\n": True, "e": False, "--1": False}
