@@ -64,7 +64,7 @@ WHOLE_NUMBER_PATTERN = r"^\s*[+-]?\d+(?:\.0*)?\s*$"
 # Text with a letter that never occurs in plain decimal or exponent text, unless it is
 # one of the special words a lenient parse accepts.
 _NO_NUMBER_PATTERN = (
-    r"^(?![+-]?(?i:inf|infinity|nan)\z)[^a-df-zA-DF-Z]*[a-df-zA-DF-Z](?s:.*)\z"
+    r"^(?![+-]?(?i:inf|infinity|nan)\z)[^a-df-zA-DF-Z]*+[a-df-zA-DF-Z](?s:.*)\z"
 )
 
 # Timestamp layouts tried in order by the strict date parse.
