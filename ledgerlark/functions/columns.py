@@ -130,7 +130,9 @@ def non_blank_sql(c: Ref) -> Sql:
 
 
 def is_blank_sql(c: Ref) -> Sql:
-    return Sql(f"coalesce({trim_text_sql(c)} = '', false)")
+    # Whether anything is left does not depend on the other end, so the strip stops at the
+    # first character that is no space.
+    return Sql(f"coalesce(trim(LEADING {lit(SPACE_CHARS)} FROM CAST({ref(c)} AS STRING)) = '', false)")
 
 
 def finite_sql(c: Ref) -> Sql:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A dimension is shipped to every executor only when the optimizer's size
@@ -38,28 +38,55 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
 # pieces of the smaller share, so that pieces that meet in one partition stay small.
 HOT_SHARE = 4
 PIECE_SHARE = 16
+# The share of a shuffle partition up to which a join side goes into a hash map.
+MAX_HASHED_BYTES = 64 * 1024 * 1024
+# Buckets of keys for each key that could be hot.
+BUCKETS = 64
 
 
 def hot_keys(lines: DataFrame, key: str, partitions: int | None = None) -> DataFrame | None:
     """The keys that hold more than 1 / (HOT_SHARE * ``partitions``) of ``lines``, with
     ``_parts``, the number of pieces to cut each into; None without any.
 
-    Lines are counted by key with map-side partial sums, so a hot key crosses the shuffle
-    once a map task.  Fewer than HOT_SHARE * ``partitions`` keys can be hot, and their
+    Lines are first counted by bucket of the key's hash, which map-side partial sums bring
+    down to a few rows a task.  A hot key makes its bucket at least as large, so only the keys
+    of crowded buckets are counted one by one, and mostly there are none.  Fewer than
+    HOT_SHARE * ``partitions`` keys can be hot, and their
     pieces number at most (HOT_SHARE + PIECE_SHARE) * ``partitions``.
     """
     spark = lines.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = lines.select(key).where(F.col(key).isNotNull())
-    total = keyed.count()
-    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    pieces = F.ceil(F.col("n") * PIECE_SHARE * partitions / F.lit(max(total, 1))).cast("long")
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS * HOT_SHARE * partitions))
+    crowded = crowded_buckets(keyed.select(bucket.alias("bucket")), partitions)
+    if not crowded:
+        return None
+    total = next(iter(crowded.values()))
+    counts = keyed.where(bucket.isin(*crowded)).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    pieces = F.ceil(F.col("n") * PIECE_SHARE * partitions / F.lit(total)).cast("long")
     hot = counts.where(F.col("n") * HOT_SHARE * partitions > total).select(
         key, F.least("n", pieces).alias("_parts"))
     rows = [r for r in hot.collect() if r["_parts"] > 1]
     return spark.createDataFrame(rows, hot.schema) if rows else None
 
 
+def fits_hash_map(spark: SparkSession, size: int | None, max_bytes: int = MAX_HASHED_BYTES) -> bool:
+    """Whether a join side of ``size`` measured bytes, of unique keys, may be looked up in a
+    hash map, which spares sorting the lines: its share of a shuffle partition is bounded.  A
+    hash map cannot spill, so without a measure, or above the bound, the join sorts."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return size is not None and size <= max_bytes * partitions
+
+
+def crowded_buckets(buckets: DataFrame, partitions: int) -> dict[int, int]:
+    """The buckets that hold more rows than a key has to have to be hot, fewer than HOT_SHARE *
+    ``partitions``, and with each the number of all rows."""
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # one row a bucket
+    counted = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).withColumn("total", total)
+    return {r["bucket"]: r["total"] for r in counted.where(
+        F.col("n") * HOT_SHARE * partitions > F.col("total")).collect()}
+
+
 def join_dealt(lines: DataFrame, header: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Inner join of ``lines`` with ``header`` on ``key``.  The lines of a key of ``hot`` (see
     ``hot_keys``) are dealt out over its pieces by their place in the scan, and its header

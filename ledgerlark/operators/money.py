@@ -1,7 +1,9 @@
 """Exact sums of quantity x price for prices of any size.
 
 A price counts as the decimal number that its shortest text spells.  Prices below 10^9
-with up to 12 decimals fit DECIMAL(27,12) and are summed as such.  Any other line is split
+with up to 12 decimals fit DECIMAL(27,12) and are summed as such; those below 10^7 in whole
+cents, which no other number of up to 15 digits shares its double with, get there by integers
+instead of text.  Any other line is split
 into limbs of nine digits, (limb, value) with the value in units of 10^(9 limb); limbs are
 summed for each key and limb, which partial aggregation does map-side, and only then joined:
 carries run from the lowest limb up, so the total is exact whatever the partitioning.
@@ -18,12 +20,20 @@ from pyspark.sql import functions as F
 WIDE_PRICE = 1.0e9
 _PRICE = "CAST(unit_price AS DOUBLE)"
 
+# The price in cents, if it has no more than two decimals (the division is rounded correctly).
+_CENTS = f"floor({_PRICE} * 100D + 0.5D)"
+IN_CENTS_SQL = (f"coalesce({_PRICE} >= 0D AND {_PRICE} < 1.0E7D "
+                f"AND CAST({_CENTS} AS DOUBLE) / 100D = {_PRICE}, false)")
+
 #: Whether DECIMAL(27,12) holds the price exactly; null for a null price.
-FITS_SQL = (f"(CASE WHEN {_PRICE} < {WIDE_PRICE}D AND {_PRICE} > -{WIDE_PRICE}D "
+FITS_SQL = (f"(CASE WHEN {IN_CENTS_SQL} THEN true "
+            f"WHEN {_PRICE} < {WIDE_PRICE}D AND {_PRICE} > -{WIDE_PRICE}D "
             f"THEN CAST(CAST({_PRICE} AS DECIMAL(27,12)) AS DOUBLE) = {_PRICE} "
             f"WHEN {_PRICE} IS NOT NULL THEN false END)")
 _PLAIN_SQL = ("CAST(CAST(quantity AS INT) AS DECIMAL(10,0)) "
               f"* CAST({_PRICE} AS DECIMAL(27,12))")
+_CENTS_VALUE_SQL = (f"CAST(CAST(CAST(CAST(quantity AS INT) AS BIGINT) * {_CENTS} AS DECIMAL(19,0)) "
+                    "* CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(38,12))")
 
 
 def line_value_sql(split: bool) -> str:
@@ -31,7 +41,7 @@ def line_value_sql(split: bool) -> str:
     summed elsewhere (``split``), and is an error where they are not."""
     other = ("CAST(0 AS DECIMAL(38,12))" if split else
              "raise_error(concat('price ', CAST(unit_price AS STRING), ' needs the sum by limbs'))")
-    return (f"CASE WHEN {FITS_SQL} THEN {_PLAIN_SQL} "
+    return (f"CASE WHEN {IN_CENTS_SQL} THEN {_CENTS_VALUE_SQL} WHEN {FITS_SQL} THEN {_PLAIN_SQL} "
             f"WHEN unit_price IS NOT NULL AND quantity IS NOT NULL THEN {other} END")
 
 

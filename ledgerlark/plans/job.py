@@ -325,9 +325,12 @@ def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes:
 
     Dimensions whose *measured* size is small are broadcast; anything else (or
     anything unmeasured) is shuffled, with the rows of hot keys dealt out by a salt,
-    and AQE may still convert it.  With
-    ``unique_orders`` the rollup is built from items pre-aggregated per order,
-    next to the fact instead of after it."""
+    and AQE may still convert it; without hot keys, the header side is hashed where its
+    measured share of a partition is small.  With
+    ``unique_orders`` and broadcast orders the rollup is built from items pre-aggregated per
+    order, next to the fact.  A shuffled fact join has brought the lines of an order
+    together, so the rollup is then read from the stored fact: its map-side sums leave one row
+    an order, and the lines are not shuffled again."""
     t = tables
     split = mart_ops.has_wide_prices(t["order_items"]) if wide_prices is None else wide_prices
     fact_path = release.table_path(run_id, "fact_order_items")
@@ -339,11 +342,15 @@ def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes:
     hot = {key: joins.hot_keys(t[many], key)
            for one, many, key in (("customers", "orders", "customer_id"),
                                   ("orders", "order_items", "order_id")) if one not in small}
+    # Keys that the gate has proven unique, and none of them hot, make a bounded hash map.
+    hashed = [one for one, key in (("customers", "customer_id"), ("orders", "order_id"))
+              if unique_orders and one not in small and hot[key] is None
+              and joins.fits_hash_map(spark, raw_bytes.get(one))]
     fact = mart_ops.fact_order_items(dims["customers"], dims["orders"], t["order_items"],
-                                     date_formats, hot)
+                                     date_formats, hot, hashed)
     # Intermediate, not published: lives in the cluster's shared work folder.
     rollup_path = _rollup_path(spark, run_id)
-    if unique_orders:
+    if unique_orders and "orders" in small:
         rollup_df = mart_ops.order_rollup_from_raw(dims["customers"], dims["orders"],
                                                    t["order_items"], date_formats, split, hot)
         _parallel({"fact": lambda: sinks.write_table(fact, fact_path),
