@@ -17,7 +17,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (file sizes for scans), if available."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))  # a number here or there, as the gateway has it
     except Exception:  # Spark Connect or an unusual plan: no estimate
         return None
 
@@ -34,6 +34,22 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
     return df
 
 
+# How much larger than its compressed file a table is taken to be in memory.
+EXPANSION = 10
+
+
+def looked_up(df: DataFrame) -> DataFrame:
+    """``df`` as the side of an equi-join that lines are looked up in, at most a few rows a
+    key: broadcast when bounded, hashed where its share of a shuffle partition is, which spares
+    sorting the lines, and sorted otherwise."""
+    size = estimated_bytes(df)
+    if size is None:
+        return df
+    if size <= DEFAULT_BROADCAST_BYTES:
+        return F.broadcast(df)
+    return df.hint("shuffle_hash") if fits_hash_map(df.sparkSession, size * EXPANSION) else df
+
+
 # A key is hot from this share of a shuffle partition's fair load on, and is cut into
 # pieces of the smaller share, so that pieces that meet in one partition stay small.
 HOT_SHARE = 4

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import segment
-from ledgerlark.operators.joins import broadcast_if_bounded
+from ledgerlark.operators.joins import broadcast_if_bounded, looked_up
 
 HOME_COUNTRY = "NATION_0"
 
@@ -100,7 +100,7 @@ class DriverTables:
         return self._orders_keyed().drop("_key")
 
     def _items_keyed(self) -> DataFrame:
-        part = broadcast_if_bounded(self.table("part").select("p_partkey", "p_name", "p_retailprice"))
+        part = looked_up(self.table("part").select("p_partkey", "p_name", "p_retailprice"))
         return (
             self.table("lineitem")
             .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
@@ -133,19 +133,17 @@ class DriverTables:
         orders = self.table("orders").select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
         )
-        part = broadcast_if_bounded(
-            self.table("part").select("p_partkey", "p_name", "p_retailprice"))
-        supplier_nation = broadcast_if_bounded(
-            self.table("supplier").select("s_suppkey", "s_nationkey").join(
-                broadcast_if_bounded(self.table("nation").select("n_nationkey", "n_name")),
-                F.col("s_nationkey") == F.col("n_nationkey"),
-            ))
+        part = looked_up(self.table("part").select("p_partkey", "p_name", "p_retailprice"))
+        # The estimate of a join is the product of its sides, so each is judged by itself.
+        supplier = looked_up(self.table("supplier").select("s_suppkey", "s_nationkey"))
+        nation = broadcast_if_bounded(self.table("nation").select("n_nationkey", "n_name"))
         lines = (
             self.table("lineitem")
             .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(looked_up(orders), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .join(supplier_nation, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         )
         k, p, n = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
         day = F.to_date("o_orderdate").cast("string")

@@ -110,3 +110,37 @@ def test_shuffled_run_reads_the_rollup_from_the_fact(spark, tmp_path, monkeypatc
     want = marts.order_rollup_from_raw(v.tables["customers"], v.tables["orders"], v.tables["order_items"])
     got = spark.read.parquet(base.rollup_path).select(*want.columns)
     assert got.count() and want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
+
+
+def test_sizes_are_estimated(spark):
+    """A scan has its file's size, so small tables are broadcast and larger ones hashed."""
+    part = DriverTables(spark, SF_SMALL).table("part")
+    assert 0 < joins.estimated_bytes(part) < joins.DEFAULT_BROADCAST_BYTES
+    feed = _plan(DriverTables(spark, SF_SMALL).retail_source())
+    assert feed.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in feed
+
+
+def test_lines_are_not_sorted_for_their_tables(spark, monkeypatch):
+    tables = DriverTables(spark, SF_SMALL)
+    want = sorted(tables.retail_source().collect(), key=repr)
+    monkeypatch.setattr(joins, "DEFAULT_BROADCAST_BYTES", 1)
+    hashed = tables.retail_source()
+    assert "SortMergeJoin" not in _plan(hashed) and "SortMergeJoin" not in _plan(tables.raw_order_items())
+    assert sorted(hashed.collect(), key=repr) == want
+    # A table too large for hash maps is sorted.
+    monkeypatch.setattr(joins, "MAX_HASHED_BYTES", 1)
+    monkeypatch.setattr(joins.fits_hash_map, "__defaults__", (1,))
+    assert "SortMergeJoin" in _plan(tables.raw_order_items())
+
+
+def test_cells_are_read_without_replacing(spark):
+    """Plain numbers and texts pass no regular-expression replacement and no search for
+    Unicode spaces."""
+    assert "regexp_replace" not in C.lenient_double_sql("v")
+    assert C.trim_text_sql("v").startswith("CASE WHEN") and C.is_blank_sql("v").startswith("CASE WHEN")
+    ends = ["a", "", " ", "\t", "!", "~", "\x7f", "é", " ", "\x1c", " ", "a b", "\x00"]
+    texts = [x + y for x in ends for y in ends] + [None]
+    got = spark.createDataFrame([(t,) for t in texts], "v string").select(
+        "v", C.trim_text("v").alias("t"), C.is_blank("v").alias("b")).collect()
+    assert all(r.t == (r.v if r.v is None else r.v.strip()) for r in got)
+    assert all(r.b == (r.v is not None and not r.v.strip()) for r in got)
