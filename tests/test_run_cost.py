@@ -144,3 +144,28 @@ def test_cells_are_read_without_replacing(spark):
         "v", C.trim_text("v").alias("t"), C.is_blank("v").alias("b")).collect()
     assert all(r.t == (r.v if r.v is None else r.v.strip()) for r in got)
     assert all(r.b == (r.v is not None and not r.v.strip()) for r in got)
+
+
+def test_samples_scan_each_table_once(spark):
+    """Bad values of a table come from one scan, keys without parents from one shuffle of keys,
+    and no task sees more than the first values of each other task."""
+    engine = quality.QualityEngine(DriverTables(spark, SF_SMALL).dirty_tables())
+    values = {s.name for s in engine.specs if s.kind == "positive_finite"}
+    plan = _plan(engine.samples(values))
+    assert plan.count("lineitem.parquet") == 1 and "WindowGroupLimit" in plan
+    keys = _plan(engine.samples({s.name for s in engine.specs if s.kind == "foreign_key"}))
+    assert keys.count("hashpartitioning(_space") == 1 and "LeftAnti" not in keys
+
+
+def test_samples_are_the_first_bad_values(spark):
+    rows = [("a", "x%02d" % i, "k%02d" % (i % 30)) for i in range(40)] + [("b", "1", None), (None, None, "p")]
+    child = spark.createDataFrame(rows, "c string, v string, fk string")
+    parent = spark.createDataFrame([("p",), ("k00",), (None,)], "id string")
+    fks = (quality.ForeignKey("t", "fk", "u", "id"), quality.ForeignKey("t", "c", "u", "id"))
+    rules = quality.QualityRules({"t": (), "u": ()}, {}, {}, (), (), (("t", "v"),), (("t", "c"),), fks)
+    found = quality.QualityEngine({"t": child, "u": parent}, rules).run()
+    details = {r.name: r.details for r in found}
+    assert details["t.v.positive_finite"]["invalid_values"] == ["x%02d" % i for i in range(20)]
+    assert details["t.c.parseable_date"]["invalid_values"] == ["a", "b"]
+    assert details["t.fk.fk_u.id"]["missing_values"] == ["k%02d" % i for i in range(1, 21)]
+    assert details["t.c.fk_u.id"]["missing_values"] == ["a", "b"]
