@@ -218,7 +218,11 @@ def check_and_report(spark: SparkSession, tables: Mapping[str, DataFrame], repor
                      staged: Staged | None = None) -> Validation:
     """Run every check, always persist the report rows, then gate."""
     engine = QualityEngine(tables, rules)
-    checks = engine.run()
+    work = f"{shared_dir(spark)}/ledgerlark/{run_id}/gate"
+    try:
+        checks = engine.run(work=work)
+    finally:
+        fs.delete(spark, work)
     domain_checks = {s.name for s in engine.specs if s.kind == "accepted_values"}
     rows = dict(staged.rows) if staged else {c.name.split(".")[0]: int(c.details.get("rows", 0))
                                     for c in checks if c.name.endswith(".not_empty")}

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import columns as C
 from ledgerlark.operators import joins, marts, money, quality
 from ledgerlark.plans import job
+from ledgerlark.session import shared_dir
+from ledgerlark.sources import fs
 from ledgerlark.sources.driver_tables import DriverTables
 from tests.conftest import SF_SMALL
 
@@ -169,3 +171,26 @@ def test_samples_are_the_first_bad_values(spark):
     assert details["t.c.parseable_date"]["invalid_values"] == ["a", "b"]
     assert details["t.fk.fk_u.id"]["missing_values"] == ["k%02d" % i for i in range(1, 21)]
     assert details["t.c.fk_u.id"]["missing_values"] == ["a", "b"]
+
+
+def test_the_gate_leaves_the_keys_without_parents(spark, tmp_path, monkeypatch):
+    """A gated run shuffles the keys once, whatever failed: the first job stores the orphans that
+    the samples are taken from, and its checks are those of the plain way."""
+    tables = DriverTables(spark, SF_SMALL)
+    clean, dirty = tables.raw_tables(), tables.dirty_tables()
+    none = {name: frame.where("false") for name, frame in clean.items()}
+    orphans = clean | {"orders": none["orders"]}
+    absent = {name: frame for name, frame in dirty.items() if name != "orders"}
+    for k, case in enumerate((clean, dirty, none, orphans, absent)):
+        want = quality.QualityEngine(case).run()
+        assert quality.QualityEngine(case).run(work=str(tmp_path / str(k))) == want
+    monkeypatch.setattr(quality.QualityEngine, "_missing_keys", lambda *a: 1 / 0)
+    engine = quality.QualityEngine(dirty)
+    assert any(c.details.get("missing_values") for c in engine.run(work=str(tmp_path / "again")))
+    root = str(tmp_path / "rep")
+    try:
+        job.check_and_report(spark, dirty, root, "r1", "2026-01-01T00:00:00.000Z")
+    except quality.QualityGateError as error:
+        assert any(c.details.get("missing_values") for c in error.checks)
+    # Nothing is left in the work folder.
+    assert not fs.exists(spark, f"{shared_dir(spark)}/ledgerlark/r1/gate")
