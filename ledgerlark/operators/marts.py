@@ -74,9 +74,11 @@ def sort_keys(mart: str) -> list[Column]:
             for c, desc in _SORT[mart]]
 
 
-def _paid_sql(split: bool) -> str:
-    """Exact paid revenue of a fact line; 0 for unpaid lines, null if unknown."""
-    return f"CASE WHEN is_revenue_order = 1 THEN {money.line_value_sql(split)} ELSE 0 END"
+def _with_cents(fact: DataFrame) -> DataFrame:
+    """Fact lines with _cents, the paid revenue of a line as BIGINT; 0 for unpaid lines, null if
+    unknown or not in whole cents."""
+    return fact.withColumn("_cents", F.expr(
+        f"CASE WHEN is_revenue_order = 1 THEN {money.CENTS_SQL} ELSE 0L END"))
 
 
 def _exprs(*pairs: tuple[str, str]) -> list[Column]:
@@ -149,8 +151,8 @@ def order_rollup(fact: DataFrame, split: bool = False) -> DataFrame:
     because the keys include ``order_id`` partial aggregation collapses the
     lines of an order before the shuffle.
     """
-    return fact.groupBy(*_ORDER_KEYS).agg(
-        *_exprs(("revenue", f"sum({_paid_sql(split)})"), ("lines", "count(1)")))
+    return _with_cents(fact).groupBy(*_ORDER_KEYS).agg(
+        *_exprs(("revenue", money.line_sum_sql("_cents", split)), ("lines", "count(1)")))
 
 
 def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFrame,
@@ -167,9 +169,8 @@ def order_rollup_from_raw(customers: DataFrame, orders: DataFrame, items: DataFr
     unique in ``orders``, which the quality gate guarantees before the job
     uses it.
     """
-    line_value = money.line_value_sql(split)
-    per_order = items.groupBy("order_id").agg(
-        F.expr(f"sum({line_value})").alias("_gross"), F.count(F.lit(1)).alias("lines"))
+    per_order = items.withColumn("_cents", F.expr(money.CENTS_SQL)).groupBy("order_id").agg(
+        *_exprs(("_gross", money.line_sum_sql("_cents", split)), ("lines", "count(1)")))
     o = _dated(orders, date_formats)
     c = customers.select("customer_id", "country", "segment")
     joined = _with_customers(o, c, hot).join(per_order, "order_id")
@@ -230,13 +231,24 @@ def daily_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool
     return out.orderBy(*sort_keys("daily_revenue")) if ordered else out
 
 
+_CUSTOMER_KEYS = ("customer_id", "country", "segment")
+
+
+def customer_rollup(rollup: DataFrame, unique_orders: bool = False) -> DataFrame:
+    """One row per customer and its attributes, from which the customer and, of unique orders,
+    the country mart are made."""
+    return _per_order(rollup, _CUSTOMER_KEYS, unique_orders).groupBy(*_CUSTOMER_KEYS).agg(
+        *_order_counts(), *_exprs(("last_paid_order_date", "max(paid_date)")))
+
+
 def customer_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True,
-                     wide: DataFrame | None = None) -> DataFrame:
-    """Orders, revenue and last paid day per customer (M2)."""
-    keys = ["customer_id", "country", "segment"]
-    per_customer = _per_order(rollup, keys, unique_orders).groupBy(*keys).agg(
-        *_order_counts(), *_exprs(("last_paid_order_date", "max(paid_date)"))
-    )
+                     wide: DataFrame | None = None,
+                     per_customer: DataFrame | None = None) -> DataFrame:
+    """Orders, revenue and last paid day per customer (M2).  ``per_customer``: the stored
+    ``customer_rollup``."""
+    keys = list(_CUSTOMER_KEYS)
+    if per_customer is None:
+        per_customer = customer_rollup(rollup, unique_orders)
     per_customer = money.with_limbs(per_customer, _limbs(wide, keys), keys)
     out = per_customer.select(
         *keys, "total_orders", "paid_orders", "canceled_orders",
@@ -254,10 +266,10 @@ def product_revenue(fact: DataFrame, top_n: int | None = PRODUCT_TOP_N,
     the final merge.
     """
     keys = ["product_id", "description"]
-    grouped = fact.groupBy(*keys).agg(*_exprs(
+    grouped = _with_cents(fact).groupBy(*keys).agg(*_exprs(
         ("units_sold", "CAST(sum(quantity * is_revenue_order) AS BIGINT)"),
         ("units_canceled", "CAST(sum(quantity * (1 - is_revenue_order)) AS BIGINT)"),
-        ("_revenue", f"sum({_paid_sql(wide is not None)})"),
+        ("_revenue", money.line_sum_sql("_cents", wide is not None)),
     ))
     grouped = money.with_limbs(grouped, _limbs(wide, keys), keys).select(
         *keys, "units_sold", "units_canceled",
@@ -267,21 +279,22 @@ def product_revenue(fact: DataFrame, top_n: int | None = PRODUCT_TOP_N,
 
 
 def country_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: bool = True,
-                    wide: DataFrame | None = None) -> DataFrame:
-    """Customers, orders and revenue per country and segment (M4)."""
+                    wide: DataFrame | None = None,
+                    per_customer: DataFrame | None = None) -> DataFrame:
+    """Customers, orders and revenue per country and segment (M4).  ``per_customer``: the stored
+    ``customer_rollup``, read where orders are unique."""
     keys = ["country", "segment"]
     if unique_orders:
         # Each order sits under exactly one customer, so customers can be
         # counted on the way up without a second distinct pass.
-        per_customer = _order_flags(rollup).groupBy(*keys, "customer_id").agg(*_exprs(
-            ("n", "count(order_id)"), ("p", "sum(paid)"), ("c", "sum(canceled)"),
-            ("r", "sum(revenue)")))
+        if per_customer is None:
+            per_customer = customer_rollup(rollup, True)
         grouped = per_customer.groupBy(*keys).agg(*_exprs(
             ("customers", "count(customer_id)"),
-            ("total_orders", "CAST(sum(n) AS BIGINT)"),
-            ("paid_orders", "CAST(sum(p) AS BIGINT)"),
-            ("canceled_orders", "CAST(sum(c) AS BIGINT)"),
-            ("_revenue", "sum(r)")))
+            ("total_orders", "CAST(sum(total_orders) AS BIGINT)"),
+            ("paid_orders", "CAST(sum(paid_orders) AS BIGINT)"),
+            ("canceled_orders", "CAST(sum(canceled_orders) AS BIGINT)"),
+            ("_revenue", "sum(_revenue)")))
     else:
         orders_part = _per_order(rollup, keys, False).groupBy(*keys).agg(*_order_counts())
         customers_part = (
@@ -302,15 +315,17 @@ def country_revenue(rollup: DataFrame, unique_orders: bool = False, ordered: boo
 
 
 def build_marts(fact: DataFrame, unique_orders: bool = False, rollup: DataFrame | None = None,
-                ordered: bool = True, split: bool = False) -> dict[str, DataFrame]:
+                ordered: bool = True, split: bool = False,
+                per_customer: DataFrame | None = None) -> dict[str, DataFrame]:
     """All four marts from one fact (M5).  Pass a materialised ``rollup`` to
-    avoid re-reducing the fact for each order-grain mart.  ``split``: some prices need the
+    avoid re-reducing the fact for each order-grain mart, and a ``customer_rollup`` to avoid
+    re-reducing that for each customer.  ``split``: some prices need the
     sum by limbs (``has_wide_prices``); without it such a price is an error, never a loss."""
     rollup = order_rollup(fact, split) if rollup is None else rollup
     wide = wide_lines(fact) if split else None
     return {
         "daily_revenue": daily_revenue(rollup, unique_orders, ordered, wide),
-        "customer_revenue": customer_revenue(rollup, unique_orders, ordered, wide),
+        "customer_revenue": customer_revenue(rollup, unique_orders, ordered, wide, per_customer),
         "product_revenue": product_revenue(fact, wide=wide),
-        "country_revenue": country_revenue(rollup, unique_orders, ordered, wide),
+        "country_revenue": country_revenue(rollup, unique_orders, ordered, wide, per_customer),
     }

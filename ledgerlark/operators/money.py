@@ -45,6 +45,20 @@ def line_value_sql(split: bool) -> str:
             f"WHEN unit_price IS NOT NULL AND quantity IS NOT NULL THEN {other} END")
 
 
+#: Value of a line in cents as BIGINT; null where the price is not in whole cents.
+CENTS_SQL = f"CASE WHEN {IN_CENTS_SQL} THEN CAST(CAST(quantity AS INT) AS BIGINT) * {_CENTS} END"
+
+
+def line_sum_sql(cents: str, split: bool) -> str:
+    """Exact sum of line values, the same as that of ``line_value_sql``.  Lines with ``cents``, a
+    BIGINT column, are summed as its upper and lower 32 bits, so that no sum of 64 bits runs
+    over; only the others are summed as decimals."""
+    plain = (f"CAST((CAST(sum(shiftright({cents}, 32)) AS DECIMAL(20,0)) * CAST(4294967296 AS DECIMAL(10,0)) "
+             f"+ CAST(sum({cents} & 4294967295L) AS DECIMAL(20,0))) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(38,12))")
+    rest = f"sum(CASE WHEN {cents} IS NULL THEN {line_value_sql(split)} END)"
+    return f"coalesce(CAST({plain} + {rest} AS DECIMAL(38,12)), {plain}, {rest})"
+
+
 def wide_prices() -> Column:
     """Counter of the lines whose price does not fit."""
     return F.expr(f"count_if(NOT {FITS_SQL})")

@@ -393,8 +393,10 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     outputs["fact_order_items"] = base.fact_path
     fact_stored = spark.read.parquet(base.fact_path)
     rollup = spark.read.parquet(base.rollup_path)
-    marts = mart_ops.build_marts(fact_stored, unique_orders=base.unique_orders, rollup=rollup,
-                                 ordered=False, split=base.split)
+
+    def build(per_customer: DataFrame | None = None) -> dict[str, DataFrame]:
+        return mart_ops.build_marts(fact_stored, unique_orders=base.unique_orders, rollup=rollup,
+                                    ordered=False, split=base.split, per_customer=per_customer)
 
     def write_mart(name: str, frame: DataFrame) -> dict[str, Any]:
         path = release.table_path(run_id, f"marts/{name}")
@@ -404,12 +406,23 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
             write_csv(ordered, release.table_path(run_id, f"export/{name}.csv"))
         return {"rows": int(rows), "columns": list(frame.columns), "path": path}
 
-    written = _parallel({name: (lambda n=name, f=frame: write_mart(n, f))
-                         for name, frame in marts.items()})
+    work = base.rollup_path.rsplit("/", 1)[0]
+
+    def write_customer_marts() -> dict[str, dict[str, Any]]:
+        # One reduction by customer serves both.
+        sinks.write_table(mart_ops.customer_rollup(rollup, base.unique_orders), f"{work}/customer_rollup")
+        made = build(spark.read.parquet(f"{work}/customer_rollup"))
+        return {n: write_mart(n, made[n]) for n in by_customer}
+
+    by_customer = ("customer_revenue", "country_revenue")
+    tasks = {name: (lambda n=name, f=frame: {n: write_mart(n, f)})
+             for name, frame in build().items() if name not in by_customer}
+    parts = _parallel({"by_customer": write_customer_marts, **tasks})
+    written = {n: part[n] for n in mart_ops.MART_NAMES for part in parts.values() if n in part}
     for name, info in written.items():
         outputs[name] = info.pop("path")
     release.publish(run_id)
-    fs.delete(spark, base.rollup_path.rsplit("/", 1)[0])
+    fs.delete(spark, work)
     outputs["release"] = release.run_dir(run_id)
     return Warehouse(marts=written, outputs=outputs)
 

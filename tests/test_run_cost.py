@@ -194,3 +194,38 @@ def test_the_gate_leaves_the_keys_without_parents(spark, tmp_path, monkeypatch):
         assert any(c.details.get("missing_values") for c in error.checks)
     # Nothing is left in the work folder.
     assert not fs.exists(spark, f"{shared_dir(spark)}/ledgerlark/r1/gate")
+
+
+def _fact(spark):
+    t = DriverTables(spark, SF_SMALL).raw_tables()
+    return marts.fact_order_items(t["customers"], t["orders"], t["order_items"])
+
+
+def test_cents_are_summed_as_integers(spark):
+    """Whole cents pass no decimal arithmetic before their sums, which are those of decimals,
+    also where 64 bits would run over, next to other prices, and without any."""
+    rows = [("cents", 3, 0.29), ("cents", 5, 100.01), ("large", 2**31 - 1, 9999999.99)] + [
+        ("many", 2**31 - 1, 9999999.99)] * 12 + [("mixed", 7, 1.005), ("mixed", 2, 8.5), ("mixed", -4, 0.1),
+        ("odd", 3, 0.0001), ("part", None, 2.0), ("part", 3, None), ("part", 1, 4.0), ("none", None, None)]
+    lines = spark.createDataFrame(rows, "k string, quantity int, unit_price double")
+    want = lines.groupBy("k").agg(F.expr(f"sum({money.line_value_sql(False)})").alias("v"))
+    got = lines.withColumn("_c", F.expr(money.CENTS_SQL)).groupBy("k").agg(
+        F.expr(money.line_sum_sql("_c", False)).alias("v"))
+    assert got.schema == want.schema
+    totals = {r.k: r.v for r in got.collect()}
+    assert totals == {r.k: r.v for r in want.collect()}
+    assert totals["many"] == 12 * (2**31 - 1) * Decimal("9999999.99") and totals["none"] is None
+    fact = _fact(spark)
+    for frame in (marts.order_rollup(fact), marts.product_revenue(fact)):
+        assert re.search(r"partial_sum\(shiftright\(_cents", _plan(frame))
+
+
+def test_customer_and_country_marts_share_one_reduction(spark, tmp_path):
+    """Both marts are read from the stored customers, and are those of the order rollup."""
+    rollup = marts.order_rollup(_fact(spark))
+    marts.customer_rollup(rollup, True).write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    for mart in (marts.customer_revenue, marts.country_revenue):
+        shared = mart(rollup, True, per_customer=stored)
+        assert "lineitem.parquet" not in _plan(shared)
+        assert shared.collect() == mart(rollup, False).collect() != []
