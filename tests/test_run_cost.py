@@ -229,3 +229,30 @@ def test_customer_and_country_marts_share_one_reduction(spark, tmp_path):
         shared = mart(rollup, True, per_customer=stored)
         assert "lineitem.parquet" not in _plan(shared)
         assert shared.collect() == mart(rollup, False).collect() != []
+
+
+def test_the_gate_leaves_the_bad_values(spark, tmp_path, monkeypatch):
+    """Bad numbers and dates are kept by the gate's job, not searched for, next to text keys;
+    without text keys they are searched for."""
+    engine = quality.QualityEngine(DriverTables(spark, SF_SMALL).dirty_tables())
+    sought = []
+    plain = quality.QualityEngine._bad_values
+    monkeypatch.setattr(quality.QualityEngine, "_bad_values",
+                        lambda self, specs: sought.extend(s.kind for s in specs) or plain(self, specs))
+    found = {c.name: c.details for c in engine.run(work=str(tmp_path / "text"))}
+    assert found["order_items.unit_price.positive_finite"]["invalid_values"]
+    assert found["orders.order_date.parseable_date"]["invalid_values"]
+    assert not {"positive_finite", "parseable_date", "foreign_key"} & set(sought)
+    # A column named as the gate's own, a value that is null or NaN, keys that are no text.
+    rows = [(1, None, "a"), (2, float("nan"), None), (2, -1.5, "b"), (4, 3.0, "2010-02-30"), (5, -1.5, "2010-01-02")]
+    child = spark.createDataFrame(rows, "k long, v double, d string").withColumn("_mask", F.lit("x"))
+    for kind in ("long", "string"):
+        case = {"t": child.withColumn("k", F.col("k").cast(kind)),
+                "u": spark.range(1, 4).select(F.col("id").cast(kind).alias("id"))}
+        rules = quality.QualityRules({"t": ("_mask",), "u": ()}, {}, {}, (("t", "k"),), (), (("t", "v"),),
+                                     (("t", "d"),), (quality.ForeignKey("t", "k", "u", "id"),))
+        want = quality.QualityEngine(case, rules).run()
+        assert quality.QualityEngine(case, rules).run(work=str(tmp_path / kind)) == want
+        details = {c.name: c.details for c in want}
+        assert details["t.v.positive_finite"]["invalid_values"] == ["-1.5"]
+        assert details["t.d.parseable_date"]["invalid_values"] == ["2010-02-30", "a", "b"]
