@@ -86,6 +86,13 @@ def hot_keys(lines: DataFrame, key: str, partitions: int | None = None) -> DataF
     return spark.createDataFrame(rows, hot.schema) if rows else None
 
 
+def none_hot(spark: SparkSession, counts: tuple[int, int] | None) -> bool:
+    """Whether ``hot_keys`` would find none, by the rows of the largest key and of all keys;
+    without counts that is not known."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return counts is not None and counts[0] * HOT_SHARE * partitions <= counts[1]
+
+
 def fits_hash_map(spark: SparkSession, size: int | None, max_bytes: int = MAX_HASHED_BYTES) -> bool:
     """Whether a join side of ``size`` measured bytes, of unique keys, may be looked up in a
     hash map, which spares sorting the lines: its share of a shuffle partition is bounded.  A

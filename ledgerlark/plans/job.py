@@ -85,6 +85,8 @@ class Validation:
     date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
     # Whether prices need the sum by limbs; None: not counted.
     wide_prices: bool | None = None
+    # By key column ("orders.customer_id"), the rows of its largest key and of all keys.
+    key_rows: dict[str, tuple[int, int]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -161,12 +163,15 @@ def stage_raw_tables(spark: SparkSession, raw: Mapping[str, DataFrame] | str, re
         obs = Observation()
         observations[name] = obs
         counters = files.violation_counters(frame, name) if typing else []
+        priced = name == "order_items" and dict(frame.dtypes).get("unit_price") in ("double", "float")
+        if priced and not typing:
+            counters.append(money.wide_prices().alias("wide"))
         # Measured during the same write: rows and the bytes of every value,
         # a size bound for the later join decisions (no estimate involved).
         observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"),
                                  measured_bytes(frame).alias("bytes"), *counters)
         typed = observed.select(*files.typed_columns(observed, name)) if typing else observed
-        if name == "order_items" and dict(typed.dtypes).get("unit_price") in ("double", "float"):
+        if typing and name == "order_items" and dict(typed.dtypes).get("unit_price") in ("double", "float"):
             prices = Observation()
             typed = typed.observe(prices, money.wide_prices().alias("wide"))
         schemas[name] = typed.schema
@@ -230,7 +235,7 @@ def check_and_report(spark: SparkSession, tables: Mapping[str, DataFrame], repor
     validation = Validation(run_id, started_at, rows, checks, tallies(checks),
                             {"quality_report": path}, dict(tables),
                             dict(staged.bytes) if staged else {}, tuple(rules.date_formats),
-                            staged.wide_prices if staged else None)
+                            staged.wide_prices if staged else None, engine.key_rows)
     gate = QualityGateError(checks, rows)
     if any(not c.passed and c.name in domain_checks for c in checks):
         whole = engine.invalid_domain_values().withColumns(
@@ -272,6 +277,7 @@ def write_manifest(release: Release, validation: Validation) -> None:
         "tables": {name: {"schema": frame.schema.jsonValue(), "rows": v.raw_rows[name],
                           "bytes": v.raw_bytes[name]} for name, frame in v.tables.items()},
         "wide_prices": v.wide_prices, "date_formats": list(v.date_formats), "outputs": v.outputs,
+        "key_rows": v.key_rows,
         "checks": [[c.check_no, c.name, c.passed, c.severity, c.failed_rows] for c in v.checks],
     })
     fs.write_text_atomic(release.spark, release.table_path(v.run_id, MANIFEST), text)
@@ -289,7 +295,8 @@ def read_manifest(release: Release, run_id: str) -> Validation:
     return Validation(
         run_id, m["started_at"], {n: t["rows"] for n, t in m["tables"].items()}, checks,
         tallies(checks), m["outputs"], tables, {n: t["bytes"] for n, t in m["tables"].items()},
-        tuple(m["date_formats"]), m["wide_prices"])
+        tuple(m["date_formats"]), m["wide_prices"],
+        {column: tuple(counts) for column, counts in m.get("key_rows", {}).items()})
 
 
 def keys_proven_by(rules: QualityRules) -> bool:
@@ -324,8 +331,10 @@ def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes:
                release: Release, run_id: str, unique_orders: bool,
                broadcast_bytes: int = MEASURED_BROADCAST_BYTES,
                date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
-               wide_prices: bool | None = None) -> WarehouseBase:
-    """Write the fact (S4) and the order rollup for ``run_id``.
+               wide_prices: bool | None = None,
+               key_rows: Mapping[str, tuple[int, int]] | None = None) -> WarehouseBase:
+    """Write the fact (S4) and the order rollup for ``run_id``.  ``key_rows``: the counts of the
+    gate; they tell without a scan where no key is hot.
 
     Dimensions whose *measured* size is small are broadcast; anything else (or
     anything unmeasured) is shuffled, with the rows of hot keys dealt out by a salt,
@@ -343,7 +352,8 @@ def build_base(spark: SparkSession, tables: Mapping[str, DataFrame], raw_bytes:
     dims = {name: (F.broadcast(t[name]) if name in small else t[name])
             for name in ("customers", "orders")}
     # Which keys are hot matters only where a join shuffles.
-    hot = {key: joins.hot_keys(t[many], key)
+    counted = key_rows or {}
+    hot = {key: None if joins.none_hot(spark, counted.get(f"{many}.{key}")) else joins.hot_keys(t[many], key)
            for one, many, key in (("customers", "orders", "customer_id"),
                                   ("orders", "order_items", "order_id")) if one not in small}
     # Keys that the gate has proven unique, and none of them hot, make a bounded hash map.
@@ -389,7 +399,7 @@ def run_warehouse_stage(spark: SparkSession, validation: Validation, out_root: s
     if base is None or (base.unique_orders and not unique_orders):
         base = build_base(spark, validation.tables, validation.raw_bytes, release, run_id,
                           unique_orders, broadcast_bytes, validation.date_formats,
-                          validation.wide_prices)
+                          validation.wide_prices, validation.key_rows)
     outputs["fact_order_items"] = base.fact_path
     fact_stored = spark.read.parquet(base.fact_path)
     rollup = spark.read.parquet(base.rollup_path)

@@ -256,3 +256,27 @@ def test_the_gate_leaves_the_bad_values(spark, tmp_path, monkeypatch):
         details = {c.name: c.details for c in want}
         assert details["t.v.positive_finite"]["invalid_values"] == ["-1.5"]
         assert details["t.d.parseable_date"]["invalid_values"] == ["2010-02-30", "a", "b"]
+
+
+def test_the_gate_tells_where_no_key_is_hot(spark, tmp_path, monkeypatch):
+    """The warehouse stage does not count keys that the gate has counted, also from a manifest,
+    and deals out hot ones as before."""
+    release = job.Release(spark, str(tmp_path / "wh"))
+    raw = DriverTables(spark, SF_SMALL).raw_tables()
+    job.run_quality_stage(spark, raw, str(tmp_path / "rep"), "r1", "2026-01-01T00:00:00.000Z", release=release)
+    v = job.read_manifest(release, "r1")
+    for table, key in (("orders", "customer_id"), ("order_items", "order_id")):
+        rows = [r["count"] for r in v.tables[table].groupBy(key).count().collect()]
+        assert v.key_rows[f"{table}.{key}"] == (max(rows), sum(rows))
+    searched = []
+    plain = joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda lines, key, *a: searched.append(key) or plain(lines, key, *a))
+    few = {c: (1, 10**9) for c in v.key_rows}
+    job.build_base(spark, v.tables, v.raw_bytes, release, "r1", True, broadcast_bytes=0, key_rows=few)
+    assert searched == []
+    many = {c: (10**6, 10**6) for c in v.key_rows}
+    job.build_base(spark, v.tables, v.raw_bytes, release, "r1", True, broadcast_bytes=0, key_rows=many)
+    assert searched == ["customer_id", "order_id"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert joins.none_hot(spark, (1, joins.HOT_SHARE * parts)) and not joins.none_hot(spark, None)
+    assert not joins.none_hot(spark, (1, joins.HOT_SHARE * parts - 1))
